@@ -6,13 +6,17 @@ set (``queryset LEFT JOIN measures``). Two helpers cover the two shapes:
 * keyed measures (at most one row per key, e.g. after ``groupBy(key)``):
   a plain left join. The aggregate already hash-partitions the measures by
   key, so the join reuses that partitioning and only the query set moves.
-* fan-out measures (several rows per key, e.g. duplicate records): the
-  left join is split into an inner join plus an anti join against the
-  *distinct* keys. Spark's adaptive skew handling can split a hot key on
-  either side of an inner join but never on the null-supplying side of an
-  outer join, so this form stays balanced when one key holds a large share
-  of the rows. The anti join sees one row per key (partial aggregation
-  removes duplicates before the shuffle).
+* fan-out measures (several rows per key, e.g. duplicate records):
+  - :func:`attach_counted` for categorical measures (few distinct values
+    per key): rows are counted per (key, value) with map-side combine, the
+    counts packed into one row per key (bounded by the value vocabulary),
+    joined 1:1 and replicated after the join. No shuffle ever sees a hot
+    key's raw rows and the query set is read once.
+  - ``attach(..., fanout=True)`` for open-ended values: the left join is
+    split into an inner join plus an anti join against the *distinct* keys.
+    Spark's adaptive skew handling can split a hot key on either side of an
+    inner join but never on the null-supplying side of an outer join, so
+    this form stays balanced when one key holds a large share of the rows.
 """
 
 from __future__ import annotations
@@ -54,3 +58,19 @@ def attach(queryset: DataFrame, measures: DataFrame, on: str, qkey: str = "targe
     keys = m.select(KEY).where(F.col(KEY).isNotNull()).distinct()
     unmatched = queryset.join(keys, cond, "left_anti")
     return matched.unionByName(unmatched, allowMissingColumns=True)
+
+
+def attach_counted(queryset: DataFrame, measures: DataFrame, on: str, qkey: str = "targetid") -> DataFrame:
+    """``queryset LEFT JOIN measures`` for fan-out measures with few distinct
+    values per key (category scores, flags): same rows as the plain join.
+
+    Each (key, value tuple) is counted (map-side combined), the counts are
+    packed per key into an array whose length is bounded by the number of
+    distinct value tuples, the packed row joins 1:1, and ``count`` copies of
+    each tuple are generated after the join (a narrow step)."""
+    vals = [c for c in measures.columns if c != on]
+    counted = measures.groupBy(F.col(on).alias(KEY), *vals).agg(F.count(F.lit(1)).alias("_n"))
+    packed = counted.groupBy(KEY).agg(F.collect_list(F.struct(*vals, "_n")).alias("_fan"))
+    out = queryset.join(packed, F.col(qkey) == F.col(KEY), "left").drop(KEY)
+    out = out.withColumn("_f", F.explode_outer("_fan")).withColumn("_rep", F.explode_outer(F.sequence(F.lit(1), F.col("_f._n"))))
+    return out.select(*queryset.columns, *[F.col("_f").getField(v).alias(v) for v in vals])

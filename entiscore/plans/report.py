@@ -24,15 +24,14 @@ from pyspark.sql import functions as F
 
 from entiscore.functions.measures import minmax_scaled
 from entiscore.operators import prototype as V
-from entiscore.operators.joins import DEFAULT_BROADCAST_ROWS, attach
+from entiscore.operators.joins import DEFAULT_BROADCAST_ROWS, attach, attach_counted
 from entiscore.operators.properties import (
     LOF,
     _location_measures_by_join,
     _lof,
     _term_membership,
-    category_score,
-    DISTRIBUTION_SCORES,
     driver_measures,
+    essentiality_values,
     location_class,
     location_label,
     location_results,
@@ -45,8 +44,8 @@ from entiscore.operators.properties import (
     probe_measures,
     safety_measures,
     secreted_flag,
-    SPECIFICITY_SCORES,
     tep_measures,
+    tissue_values,
     tractability_measures,
 )
 
@@ -173,16 +172,8 @@ def _wide_report(target, gene_essentiality, mouse, molecule, atlas, mouse_phenot
 
     # fan-out measures, attached last
     if "Nr_essential" in names:
-        ess = gene_essentiality.select(F.col("id"), F.col("geneEssentiality").alias("_ess"))
-        wide = attach(wide, ess, on="id", fanout=True)
-        wide = wide.withColumn("_e", F.explode_outer("_ess")).withColumn(
-            "Nr_essential", -F.col("_e.isEssential").cast("int")).drop("_ess", "_e")
-    tissue = atlas.select(
-        F.col("Ensembl").alias("id"),
-        category_score(F.col("`RNA tissue specificity`"), SPECIFICITY_SCORES).alias("Nr_specificity"),
-        category_score(F.col("`RNA tissue distribution`"), DISTRIBUTION_SCORES).alias("Nr_distribution"),
-    )
-    wide = attach(wide, tissue, on="id", fanout=True)
+        wide = attach_counted(wide, essentiality_values(gene_essentiality), on="id")
+    wide = attach_counted(wide, tissue_values(atlas), on="id")
     wide = (wide.withColumn("result", F.explode_outer("results"))
                 .withColumn("cal_score", F.explode_outer("scores"))
                 .withColumn("Nr_mb", membrane_flag(F.col("loc"), F.col("result")))

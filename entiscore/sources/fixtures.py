@@ -12,9 +12,31 @@ disjoint slice of ``lineitem``.
 
 from __future__ import annotations
 
+import os
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# sf_dir -> folder holding materialised stand-ins (see :func:`materialize`)
+_MATERIALISED: dict[str, str] = {}
+
+
+def _cached(builder: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """Read the stand-in from its materialised parquet copy when one exists."""
+    name = builder.__name__
+
+    def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+        base = _MATERIALISED.get(sf_dir)
+        if base is not None:
+            return spark.read.parquet(os.path.join(base, name))
+        return builder(spark, sf_dir)
+
+    build.__name__ = name
+    build.__doc__ = builder.__doc__
+    build.uncached = builder
+    return build
+
 # Fixed stand-in definitions (FIXTURES.md §2): view -> (table, where, columns).
 FLAT_VIEWS: dict[str, tuple[str, str, list[str]]] = {
     "f_target": ("part", "true", [
@@ -163,6 +185,7 @@ def _element(name: str):
     return F.struct(*[F.expr(c) for c in _struct_fields(name)])
 
 
+@_cached
 def target(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Entity table: one row per part with nested annotation arrays.
 
@@ -217,11 +240,13 @@ def _nest_by(df: DataFrame, key: str, out_key: str, array_col: str, fields: list
     )
 
 
+@_cached
 def gene_essentiality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(id, geneEssentiality array<struct<isEssential>>)``, one row per id."""
     return _nest_by(flat(spark, sf_dir, "f_essential"), "id", "id", "geneEssentiality", ["isEssential"])
 
 
+@_cached
 def mouse_phenotypes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(targetFromSourceId, modelPhenotypeClasses array<struct<id,label>>)``;
     each flat row is one array element."""
@@ -231,6 +256,7 @@ def mouse_phenotypes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_cached
 def phenotype_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Phenotype class score lookup ``(id, label, score, flag)`` (CSV shape)."""
     return flat(spark, sf_dir, "f_score").select(
@@ -241,6 +267,7 @@ def phenotype_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_cached
 def molecule(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(id, isApproved, maximumClinicalTrialPhase, linkedTargets.rows,
     linkedDiseases.rows)``; repeated (drug, target) pairs are kept."""
@@ -257,29 +284,35 @@ def molecule(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_cached
 def mechanism_of_action(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(actionType, chemblIds array<string>)``, one record per flat row."""
     return flat(spark, sf_dir, "f_mechanism").select("actionType", F.array("chembl").alias("chemblIds"))
 
 
+@_cached
 def interaction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat(spark, sf_dir, "f_interaction")
 
 
+@_cached
 def diseases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat(spark, sf_dir, "f_disease").select("id", F.array("area1", "area2").alias("therapeuticAreas"))
 
 
+@_cached
 def symbol_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CSV-shaped ``(hgnc_protein, EFO_disease, Therapy_area)``."""
     return flat(spark, sf_dir, "f_pair").withColumnRenamed("symbol", "hgnc_protein")
 
 
+@_cached
 def symbol_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Symbol -> entity id map; in the stand-in the symbol already is the id."""
     return flat(spark, sf_dir, "f_target").select(F.col("id").alias("symbol"), "id")
 
 
+@_cached
 def tissue_atlas(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Atlas records with the JSON field names (blanks included)."""
     return flat(spark, sf_dir, "f_atlas").select(
@@ -289,6 +322,7 @@ def tissue_atlas(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_cached
 def term_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Term list in the TSV shape (``Name``, ``Subcellular location ID``,
     ``Is a``, ``Is part of``)."""
@@ -298,3 +332,23 @@ def term_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("is_a").alias("Is a"),
         F.col("part_of").alias("Is part of"),
     )
+
+
+DATASETS = ("target", "gene_essentiality", "mouse_phenotypes", "phenotype_scores", "molecule",
+            "mechanism_of_action", "interaction", "diseases", "symbol_pairs", "symbol_map",
+            "tissue_atlas", "term_table")
+
+
+def materialize(spark: SparkSession, sf_dir: str, out_dir: str) -> str:
+    """Write every stand-in dataset once as parquet below ``out_dir`` (a
+    folder in the shared checkpoint location) and read them from there from
+    now on. This cuts the stand-ins' lineage: operators then start from
+    nested parquet files, as they do on real inputs."""
+    for name in DATASETS:
+        globals()[name].uncached(spark, sf_dir).write.mode("overwrite").parquet(os.path.join(out_dir, name))
+    _MATERIALISED[sf_dir] = out_dir
+    return out_dir
+
+
+def forget_materialized(sf_dir: str) -> None:
+    _MATERIALISED.pop(sf_dir, None)
