@@ -11,7 +11,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from entiscore.operators import hierarchy as H
 from entiscore.operators import network as N
@@ -156,7 +155,3 @@ CATALOG: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 # Flagship query for the smoke check.
 FLAGSHIP = "priority_report"
 
-
-def flat_columns(df: DataFrame) -> DataFrame:
-    """Helper for ad-hoc inspection: nested report exploded to rows."""
-    return df.select("targetid", F.inline("prioritisations"))

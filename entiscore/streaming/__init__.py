@@ -1,0 +1,62 @@
+"""Scoring a stream of entity records with the same-row measures.
+
+The reference is batch-only, and this package adds no operator. The
+same-row measures (O1, O2/O3, O4, O5, O7, O8, O9, O11, O13) are stateless
+projections, so the same expressions score each micro-batch of a
+``readStream`` of entity records (e.g. a folder that an upstream job fills
+with nested parquet files). No state or watermark is needed. Measures that
+need the whole table (O6's min/max, O16's global maximum, the cross-table
+joins) stay batch jobs.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from entiscore.operators.properties import (
+    biotype_measures,
+    driver_measures,
+    location_class,
+    location_label,
+    location_results,
+    ortholog_measures,
+    paralog_measures,
+    probe_measures,
+    safety_measures,
+    tep_measures,
+    tractability_measures,
+)
+
+
+def same_row_measures(entities: DataFrame, membrane_terms: Sequence[str], secreted_terms: Sequence[str],
+                      id_col: str = "id") -> DataFrame:
+    """Per entity record: biotype, location class and info list, tractability,
+    safety, paralog/ortholog ramps, driver, TEP and probe measures.
+
+    Works on batch and streaming DataFrames alike (two projections, no
+    join). Term lists are literal arrays here, because a stream cannot be
+    cross-joined with a batch aggregate without stateful semantics."""
+    groups = [
+        biotype_measures(F.col("biotype")),
+        tractability_measures(F.col("tractability")),
+        safety_measures(F.col("safetyLiabilities")),
+        paralog_measures(F.col("homologues")),
+        ortholog_measures(F.col("homologues")),
+        driver_measures(F.col("hallmarks.attributes")),
+        tep_measures(F.col("tep.description")),
+        probe_measures(F.col("chemicalProbes")),
+    ]
+    bases = [c for b, _ in groups for c in b]
+    derives = [c for _, d in groups for c in d]
+    m_arr = F.array(*[F.lit(t) for t in membrane_terms]).cast("array<string>")
+    s_arr = F.array(*[F.lit(t) for t in secreted_terms]).cast("array<string>")
+    labels = F.array_distinct(F.filter(
+        F.transform("subcellularLocations", lambda x: location_label(
+            x, lambda t: F.array_contains(m_arr, t), lambda t: F.array_contains(s_arr, t))),
+        lambda lbl: lbl.isNotNull()))
+    step1 = entities.select(F.col(id_col).alias("id"), labels.alias("_labels"),
+                            location_results(F.col("subcellularLocations")).alias("locationInfo"), *bases)
+    return step1.select("id", location_class(F.col("_labels")).alias("loc"), "locationInfo", *derives)

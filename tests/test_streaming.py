@@ -1,0 +1,28 @@
+"""The same-row measures give the same rows on a stream as on a batch."""
+
+import os
+import tempfile
+
+from entiscore.sources import fixtures as fx
+from entiscore.streaming import same_row_measures
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_stream_equals_batch(spark):
+    if not os.path.exists(SF):
+        return
+    src = tempfile.mkdtemp(prefix="entiscore-stream-src-")
+    target = fx.target.uncached(spark, SF)
+    target.repartition(3).write.mode("overwrite").parquet(src)
+    batch = same_row_measures(spark.read.parquet(src), ["SL-0039"], ["SL-0243"])
+
+    stream = spark.readStream.schema(target.schema).parquet(src)
+    q = (same_row_measures(stream, ["SL-0039"], ["SL-0243"]).writeStream
+         .format("memory").queryName("entiscore_stream_test").outputMode("append")
+         .option("checkpointLocation", tempfile.mkdtemp(prefix="entiscore-stream-ckpt-")).start())
+    q.processAllAvailable()
+    q.stop()
+    got = sorted(map(repr, map(tuple, spark.table("entiscore_stream_test").collect())))
+    want = sorted(map(repr, map(tuple, batch.collect())))
+    assert got == want and len(got) > 0
