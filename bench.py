@@ -5,7 +5,12 @@ Usage: ``python bench.py`` (env ``BENCH_SF_DIR``, default
 built once and written as parquet below the session's checkpoint folder
 (time reported as ``prepare_sec``), so each query starts from nested
 parquet as it would on real inputs. Each query runs to completion through
-Spark's ``noop`` sink (full execution, nothing collected on the driver).
+Spark's ``noop`` sink (full execution, nothing collected on the driver):
+one warm-up run, then the median of ``BENCH_REPS`` (default 3) timed runs.
+
+``baseline`` compares the one-pass report with the same report built by
+chaining the individual operators (wall time and shuffle count of the plan
+with automatic broadcasts off, i.e. the shape it has on large inputs).
 Prints one JSON line.
 """
 
@@ -13,12 +18,15 @@ from __future__ import annotations
 
 import json
 import os
+import re
+import statistics
 import sys
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from entiscore.plans.catalog import CATALOG  # noqa: E402
+from entiscore.plans import report as R  # noqa: E402
+from entiscore.plans.catalog import CATALOG, MEMBRANE_TERMS, SECRETED_TERMS  # noqa: E402
 from entiscore.session import local_session, scratch_path  # noqa: E402
 from entiscore.sources import fixtures as fx  # noqa: E402
 
@@ -29,6 +37,33 @@ def run(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
+def timed(build, reps: int) -> float:
+    run(build())  # warm-up
+    ts = []
+    for _ in range(reps):
+        t0 = time.time()
+        run(build())
+        ts.append(time.time() - t0)
+    return round(statistics.median(ts), 3)
+
+
+def shuffle_count(spark, df) -> int:
+    """Shuffles in the physical plan with automatic broadcasts disabled."""
+    old = (spark.conf.get("spark.sql.autoBroadcastJoinThreshold"),
+           spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold", None))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old[0])
+        if old[1] is None:
+            spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+        else:
+            spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", old[1])
+    return len(re.findall(r"Exchange (hashpartitioning|SinglePartition|rangepartitioning)", plan))
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -37,12 +72,22 @@ def main() -> None:
     fx.materialize(spark, sf_dir, scratch_path(spark, "bench-standins"))
     prepare = time.time() - t0
 
-    run(CATALOG["query_set"](spark, sf_dir))  # JVM warm-up, not timed
+    reps = int(os.environ.get("BENCH_REPS", "3"))
     times: dict[str, float] = {}
     for name, build in CATALOG.items():
-        t0 = time.time()
-        run(build(spark, sf_dir))
-        times[name] = round(time.time() - t0, 3)
+        times[name] = timed(lambda b=build: b(spark, sf_dir), reps)
+
+    def report_args():
+        return (fx.target(spark, sf_dir), fx.gene_essentiality(spark, sf_dir), fx.mouse_phenotypes(spark, sf_dir),
+                fx.molecule(spark, sf_dir), fx.tissue_atlas(spark, sf_dir), fx.mouse_phenotypes(spark, sf_dir),
+                fx.phenotype_scores(spark, sf_dir), MEMBRANE_TERMS, SECRETED_TERMS)
+
+    baseline = {
+        "one_pass_sec": times[HEADLINE],
+        "chained_sec": timed(lambda: R.priority_report_chained(*report_args()), reps),
+        "one_pass_shuffles": shuffle_count(spark, R.priority_report(*report_args())),
+        "chained_shuffles": shuffle_count(spark, R.priority_report_chained(*report_args())),
+    }
 
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     out = {
@@ -51,6 +96,7 @@ def main() -> None:
         "unit": "sec",
         "queries": times,
         "headline": {HEADLINE: times[HEADLINE]},
+        "baseline": baseline,
         "prepare_sec": round(prepare, 3),
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
         "cpus": cpus,

@@ -64,16 +64,18 @@ def approved_drugs(molecule: DataFrame, mechanism: DataFrame, queryset: DataFram
 
 def approved_drug_lists(molecule: DataFrame, mechanism: DataFrame,
                         targets_col: str = "linkedTargets.rows") -> DataFrame:
-    """Keyed V3 measures ``(id, App_drug_ChEMBL, App_drug_actionType, Nr_drug)``."""
-    actions = mechanism.select("actionType", F.explode("chemblIds").alias("chembl"))
-    approved = molecule.where(F.col("isApproved")).select(
-        F.col("id").alias("drug_id"), F.explode(F.col(targets_col)).alias("target"))
-    pairs = (
-        approved.where(F.col("target").isNotNull())
-        .join(actions, F.col("chembl") == F.col("drug_id"), "left")
-        .groupBy("target", "chembl")
-        .agg(F.min("actionType").alias("actionType"))
-    )
+    """Keyed V3 measures ``(id, App_drug_ChEMBL, App_drug_actionType, Nr_drug)``.
+
+    The action type depends only on the drug, so mechanisms are reduced to
+    one ``min(actionType)`` per drug (map-side combined) before the join,
+    and the (entity, drug) pairs are deduplicated before it: the join is
+    one row per pair, whatever the number of mechanism records per drug."""
+    actions = (mechanism.select("actionType", F.explode("chemblIds").alias("chembl"))
+               .groupBy("chembl").agg(F.min("actionType").alias("actionType")))
+    approved = (molecule.where(F.col("isApproved"))
+                .select(F.col("id").alias("drug_id"), F.explode(F.col(targets_col)).alias("target"))
+                .where(F.col("target").isNotNull()).distinct())
+    pairs = approved.join(actions, F.col("chembl") == F.col("drug_id"), "left").select("target", "chembl", "actionType")
     per_target = pairs.groupBy("target").agg(
         F.sort_array(F.collect_list(F.when(F.col("chembl").isNotNull(), F.struct("chembl", "actionType")))).alias("_p"))
     return per_target.select(

@@ -23,10 +23,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from entiscore.functions.measures import minmax_scaled
+from entiscore.operators import properties as P
 from entiscore.operators import prototype as V
 from entiscore.operators.joins import DEFAULT_BROADCAST_ROWS, attach, attach_counted
 from entiscore.operators.properties import (
     LOF,
+    PROTEIN_CODING,
     _location_measures_by_join,
     _lof,
     _term_membership,
@@ -225,15 +227,61 @@ def prototype_report(target: DataFrame, molecule: DataFrame, mechanism: DataFram
                      membrane_terms, queryset: DataFrame) -> DataFrame:
     """The prototype chain V1, V2, V3, V4, V6, V5: ``targetid``,
     ``Nr_biotype``, ``Nr_mb``, ``Nr_drug``, ``Nr_chprob``, ``Nr_Mousemodels``,
-    ``cal_score`` (one row per lof element)."""
-    out = V.biotype_binary(target, queryset).select("targetid", "Nr_biotype")
-    rows = (V.membrane_simple(target, membrane_terms).select(F.col("targetid").alias("id"), "Nr_mb")
-            .join(V.probe_moa_counts(target).select(F.col("targetid").alias("id"), "Nr_chprob"), "id", "left"))
-    out = attach(out, rows, on="id")
+    ``cal_score`` (one row per lof element).
+
+    One scan of the entity table gives V1's biotype, V2's membrane hit, V4's
+    probe list and V5's scores (the entity table is keyed by id, so V1's
+    distinct (id, biotype) is the row itself); V3 and V6 are keyed
+    aggregates joined on the id partitioning."""
+    m_col, m_one = _term_membership(membrane_terms)
+    base = target.select(F.col("id").alias("id"), "biotype", F.col("subcellularLocations").alias("_locs"),
+                         F.col("chemicalProbes").alias("_probes"), _lof(F.col("constraint")).alias("_lof"))
+    if m_one is not None:
+        base = base.crossJoin(F.broadcast(m_one.withColumnRenamed("terms", "_mterms")))
+        m_col = F.col("_mterms")
+    hit = F.coalesce(F.exists("_locs", lambda x: F.array_contains(m_col, x["termSL"])), F.lit(False))
+    hq = F.exists("_probes", lambda p: F.coalesce(p["isHighQuality"], F.lit(False)) & p["mechanismOfAction"].isNotNull()
+                  & (F.coalesce(F.size(p["urls"]), F.lit(0)) > 0))
+    rows = base.select(
+        "id",
+        F.when(F.col("biotype") == PROTEIN_CODING, F.lit(1)).otherwise(F.lit(0)).alias("Nr_biotype"),
+        F.when(hit, F.lit(1)).alias("Nr_mb"),
+        F.when(hq, F.lit(1)).alias("Nr_chprob"),
+        F.transform("_lof", lambda c: (c["upperRank"] - F.lit(V.BAND_CENTER)) / F.lit(V.BAND_SCALE)).alias("_s"),
+    )
+    out = attach(queryset, rows, on="id")
+    out = out.withColumn("Nr_biotype", F.coalesce("Nr_biotype", F.lit(0)))
     out = attach(out, V.approved_drug_lists(molecule, mechanism).select("id", "Nr_drug"), on="id")
     mm = mouse_model_counts(mouse).select("id", F.when(F.col("Nr_mouse_models") != 0, F.lit(1)).alias("Nr_Mousemodels"))
-    out = attach(out, mm, on="id")
-    bands = target.select("id", F.transform(_lof(F.col("constraint")), lambda c: (
-        c["upperRank"] - F.lit(V.BAND_CENTER)) / F.lit(V.BAND_SCALE)).alias("_s"))
-    out = attach(out, bands, on="id").withColumn("cal_score", F.explode_outer("_s")).drop("_s")
+    out = attach(out, mm, on="id").withColumn("cal_score", F.explode_outer("_s"))
     return out.select("targetid", "Nr_biotype", "Nr_mb", "Nr_drug", "Nr_chprob", "Nr_Mousemodels", "cal_score")
+
+
+def priority_report_chained(target: DataFrame, gene_essentiality: DataFrame, mouse: DataFrame,
+                            molecule: DataFrame, atlas: DataFrame, mouse_phenotypes: DataFrame,
+                            phenotype_scores: DataFrame, membrane_terms, secreted_terms,
+                            queryset: DataFrame | None = None) -> DataFrame:
+    """R1 built the straightforward way: every operator on its own, joined
+    one after another on the query set. Same rows as :func:`priority_report`;
+    kept as the comparison baseline for the one-pass plan (bench) and as an
+    independent check of it (tests)."""
+    q = P.query_set(target) if queryset is None else queryset
+    chain = P.location_profile(target, membrane_terms, secreted_terms, q).select(*q.columns, "Nr_mb", "Nr_secreted")
+    parts = [
+        (P.tractability_pivot(target, q), ["Nr_Pocket", "Nr_Ligand", "Nr_sMBinder"]),
+        (P.safety_events(target, q), ["Nr_Event"]),
+        (P.constraint_minmax(target, q), ["cal_score"]),
+        (P.paralog_ramp(target, q), ["Nr_paralogs"]),
+        (P.ortholog_ramp(target, q), ["Nr_ortholog"]),
+        (P.driver_flag(target, q), ["Nr_CDG"]),
+        (P.essentiality(gene_essentiality, q), ["Nr_essential"]),
+        (P.tep_flag(target, q), ["Nr_TEP"]),
+        (P.mouse_models(mouse, q), ["Nr_Mousemodels"]),
+        (P.chemical_probes(target, q), ["Nr_chprob"]),
+        (P.clinical_phase(molecule, q), ["inClinicalTrials"]),
+        (P.tissue_scores(atlas, q), ["Nr_specificity", "Nr_distribution"]),
+        (P.phenotype_harmonic(mouse_phenotypes, phenotype_scores, q), ["scaledHarmonicSum"]),
+    ]
+    for df, cols in parts:
+        chain = chain.join(df.select(F.col("targetid").alias("_k"), *cols), F.col("targetid") == F.col("_k"), "left").drop("_k")
+    return chain.select("targetid", *[F.col(src).alias(dst) for src, dst in REPORT_COLUMNS])
