@@ -18,6 +18,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from entiscore.sources.io import scan_entities
+
 # sf_dir -> folder holding materialised stand-ins (see :func:`materialize`)
 _MATERIALISED: dict[str, str] = {}
 
@@ -28,9 +30,11 @@ def _cached(builder: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spar
 
     def build(spark: SparkSession, sf_dir: str) -> DataFrame:
         base = _MATERIALISED.get(sf_dir)
-        if base is not None:
-            return spark.read.parquet(os.path.join(base, name))
-        return builder(spark, sf_dir)
+        if base is None:
+            return builder(spark, sf_dir)
+        if name == "target":  # entity table: read only the nested fields the operators use
+            return scan_entities(spark, os.path.join(base, name))
+        return spark.read.parquet(os.path.join(base, name))
 
     build.__name__ = name
     build.__doc__ = builder.__doc__

@@ -20,6 +20,22 @@ ATLAS_SCHEMA = ("Ensembl string, `RNA tissue distribution` string, `RNA tissue s
                 "Antibody array<string>")
 ATLAS_COLUMNS = ("Ensembl", "RNA tissue distribution", "RNA tissue specificity", "Antibody")
 
+# The nested fields of the entity table that the operators read. Higher-order
+# functions over arrays of structs do not prune unused struct fields from the
+# parquet scan, so reading the entity table with this schema is what keeps
+# the scan to these leaf columns on wide real-world records.
+ENTITY_READ_SCHEMA = (
+    "id string, approvedSymbol string, biotype string, "
+    "subcellularLocations array<struct<location:string,source:string,termSL:string>>, "
+    "tractability array<struct<id:string,value:boolean>>, "
+    "safetyLiabilities array<struct<event:string>>, "
+    "constraint array<struct<constraintType:string,upperRank:int>>, "
+    "homologues array<struct<homologyType:string,speciesName:string,queryPercentageIdentity:double>>, "
+    "hallmarks struct<attributes:array<struct<description:string>>>, "
+    "tep struct<description:string>, "
+    "chemicalProbes array<struct<isHighQuality:boolean,mechanismOfAction:string,urls:array<struct<url:string>>>>"
+)
+
 
 def scan_parquet(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
     """A Parquet file or directory; ``columns`` prunes the scan."""
@@ -27,6 +43,12 @@ def scan_parquet(spark: SparkSession, path: str, columns: Sequence[str] | None =
     return df.select(*[F.col(f"`{c}`") for c in columns]) if columns else df
 
 
+def scan_entities(spark: SparkSession, path: str, schema: str = ENTITY_READ_SCHEMA) -> DataFrame:
+    """S1 for the entity table: parquet read with the declared nested schema,
+    so only the struct fields the operators use are read from disk."""
+    return spark.read.schema(schema).parquet(path)
+
+
 def scan_delimited(spark: SparkSession, path: str, sep: str = "\t", header: bool = True,
                    schema: str | None = None) -> DataFrame:
     """Header TSV/CSV. With ``schema`` the columns are typed by position

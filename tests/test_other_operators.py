@@ -192,3 +192,21 @@ def test_one_pass_report_equals_operator_chain(spark):
     a = sorted(map(repr, map(tuple, R.priority_report(*args).collect())))
     b = sorted(map(repr, map(tuple, R.priority_report_chained(*args).collect())))
     assert a == b and len(a) > 0
+
+
+def test_entity_reader_prunes_nested_fields(spark, tmp_path):
+    import contextlib
+    import io as _io
+
+    from frames import hom
+    from entiscore.sources import io as sio
+
+    t = target_df(spark, target_row("A", homologues=[hom("other_paralog", "Human", 70.0)]))
+    t.write.mode("overwrite").parquet(str(tmp_path / "t"))
+    pruned = sio.scan_entities(spark, str(tmp_path / "t"))
+    buf = _io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        P.paralog_ramp(pruned).explain("formatted")
+    schema_lines = [line for line in buf.getvalue().splitlines() if "ReadSchema" in line]
+    assert schema_lines and all("targetGeneid" not in line for line in schema_lines)
+    assert [r["Nr_paralogs"] for r in P.paralog_ramp(pruned).collect()] == [-0.25]
