@@ -24,7 +24,7 @@ from entiscore.sources import io
 # Stand-in term lists (FIXTURES.md): membrane and secreted terms.
 MEMBRANE_TERMS = ["SL-0039"]
 SECRETED_TERMS = ["SL-0243"]
-HIERARCHY_NAME = "NATION_1"
+HIERARCHY_NAME = "Supplier#000000001"
 
 
 def _t(spark, d):

@@ -102,7 +102,7 @@ FLAT_VIEWS: dict[str, tuple[str, str, list[str]]] = {
         "concat('D', o_orderkey) as drug_id",
         "o_orderstatus = 'F' as isApproved",
         "cast(substr(o_orderpriority, 1, 1) as int) - 2 as phase",
-        "concat('DIS', o_custkey % 25) as disease",
+        "concat('DIS', o_custkey) as disease",
     ]),
     "f_linked_target": ("lineitem", "l_quantity between 24 and 25", [
         "concat('D', l_orderkey) as drug_id",
@@ -118,10 +118,10 @@ FLAT_VIEWS: dict[str, tuple[str, str, list[str]]] = {
         "concat('P', (l_partkey * 7 + l_suppkey) % 200) as targetB",
         "cast(round(l_discount * 100) as int) / cast(10 as double) as scoring",
     ]),
-    "f_disease": ("nation", "true", [
-        "concat('DIS', n_nationkey) as id",
-        "concat('TA', n_nationkey % 4) as area1",
-        "concat('TA', 4 + n_nationkey % 3) as area2",
+    "f_disease": ("customer", "true", [
+        "concat('DIS', c_custkey) as id",
+        "concat('TA', c_custkey % 4) as area1",
+        "concat('TA', 4 + c_custkey % 3) as area2",
     ]),
     "f_pair": ("part", "true", [
         "concat('P', p_partkey) as symbol",
@@ -133,11 +133,11 @@ FLAT_VIEWS: dict[str, tuple[str, str, list[str]]] = {
         "case p_size % 6 when 0 then 'Tissue enriched' when 1 then 'Group enriched' when 2 then 'Tissue enhanced' when 3 then 'Low tissue specificity' when 4 then 'Not detected' else 'other' end as specificity",
         "case p_size % 5 when 0 then 'Detected in single' when 1 then 'Detected in some' when 2 then 'Detected in many' when 3 then 'Detected in all' else 'Not detected' end as distribution",
     ]),
-    "f_term": ("nation", "true", [
-        "n_name as Name",
-        "concat('SL-', n_nationkey) as term_id",
-        "case when n_nationkey < 5 then null else concat('SL-', n_nationkey % 5, '; parent') end as is_a",
-        "case when n_nationkey % 3 = 0 then null else concat('SL-', n_nationkey % 7, '; whole, SL-', (n_nationkey + 1) % 7, '; whole') end as part_of",
+    "f_term": ("supplier", "true", [
+        "s_name as Name",
+        "concat('SL-', s_suppkey) as term_id",
+        "case when s_suppkey < 10 then null when s_suppkey % 4 = 0 then concat('SL-', cast(floor(s_suppkey / 10) as bigint), '; parent, SL-', cast(floor(s_suppkey / 20) as bigint), '; parent') else concat('SL-', cast(floor(s_suppkey / 10) as bigint), '; parent') end as is_a",
+        "case when s_suppkey % 3 = 0 then null else concat('SL-', cast(floor(s_suppkey / 7) as bigint), '; whole, SL-', cast(floor(s_suppkey / 7) as bigint) + 1, '; whole') end as part_of",
     ]),
 }
 

@@ -291,7 +291,7 @@ ORACLES: dict[str, str] = {
     "children": _with("SELECT * FROM h3", *H1_CTES),
     "part_members": _with("SELECT * FROM h4", *H1_CTES),
     "term_search_set": _with("SELECT * FROM h5", *H1_CTES),
-    "terms_for_name": _with("SELECT DISTINCT unnest(toSearch) AS term FROM h5 WHERE Name = 'NATION_1'", *H1_CTES),
+    "terms_for_name": _with("SELECT DISTINCT unnest(toSearch) AS term FROM h5 WHERE Name = 'Supplier#000000001'", *H1_CTES),
     "tractability_true": _with("""SELECT q.targetid, g.drug FROM q LEFT JOIN
         (SELECT id, list({'id': category, 'value': value} ORDER BY category) AS drug FROM f_tractability WHERE value GROUP BY id) g
         ON g.id = q.targetid"""),
