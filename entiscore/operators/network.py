@@ -43,14 +43,28 @@ def drugs_per_target(molecule: DataFrame, targets_col: str = "linkedTargets.rows
             .groupBy("target").agg(F.sort_array(F.collect_list("drug")).alias("CHEMBL")))
 
 
+def _kept_edges(interaction: DataFrame, source: str, min_score: float) -> DataFrame:
+    return (interaction.where((F.col("sourceDatabase") == F.lit(source)) & (F.col("scoring") > F.lit(min_score)))
+            .select(F.col("targetA"), F.col("targetB")).distinct())
+
+
 def partner_edges(interaction: DataFrame, queryset: DataFrame, source: str = PARTNER_SOURCE,
                   min_score: float = PARTNER_MIN_SCORE) -> DataFrame:
-    """Distinct (targetid, targetB) partner edges of the query set from
-    ``source`` with ``scoring > min_score``; ids without partners keep one
-    row with a null partner."""
-    edges = (interaction.where((F.col("sourceDatabase") == F.lit(source)) & (F.col("scoring") > F.lit(min_score)))
-             .select(F.col("targetA"), F.col("targetB")).distinct())
-    return attach(queryset, edges, on="targetA", fanout=True).select(*queryset.columns, "targetB").distinct()
+    """Distinct ``(targetid, targetB)`` partner edges of the query-set ids
+    from ``source`` with ``scoring > min_score``; ids without partners keep
+    one row with a null partner. Ids are deduplicated before the join and
+    edges are distinct, so the result needs no further dedupe."""
+    ids = queryset.select("targetid").distinct()
+    return attach(ids, _kept_edges(interaction, source, min_score), on="targetA", fanout=True)
+
+
+def partner_pairs(interaction: DataFrame, queryset: DataFrame, source: str = PARTNER_SOURCE,
+                  min_score: float = PARTNER_MIN_SCORE) -> DataFrame:
+    """Only the matched ``(targetid, targetB)`` edges (inner join: the steps
+    that use them drop entities without partners anyway)."""
+    ids = queryset.select("targetid").distinct()
+    return ids.join(_kept_edges(interaction, source, min_score), F.col("targetid") == F.col("targetA"), "inner").select(
+        "targetid", "targetB")
 
 
 def partner_drugs(molecule: DataFrame, interaction: DataFrame, queryset: DataFrame,
@@ -73,7 +87,7 @@ def drug_disease_area(molecule: DataFrame, interaction: DataFrame, diseases: Dat
     the drug through a partner; repeats kept. Drugs of partners are matched
     by an inner join (edges without a drug drop out), diseases and areas
     by outer joins."""
-    edges = partner_edges(interaction, queryset, source, min_score).where(F.col("targetB").isNotNull())
+    edges = partner_pairs(interaction, queryset, source, min_score)
     pairs = drug_target_pairs(molecule)
     reached = edges.join(pairs, F.col("targetB") == F.col("target"), "inner").select(
         F.col("drug"), F.col("targetid").alias("_entity"))
@@ -115,7 +129,7 @@ def target_drug_pairs(pairs: DataFrame, molecule: DataFrame, interaction: DataFr
                       source: str = PARTNER_SOURCE, min_score: float = PARTNER_MIN_SCORE) -> DataFrame:
     """entity–disease–area rows (N6) with every drug reachable through a
     partner (``ChEMBL``), repeats kept; rows without such a drug keep a null."""
-    edges = partner_edges(interaction, queryset, source, min_score).where(F.col("targetB").isNotNull())
+    edges = partner_pairs(interaction, queryset, source, min_score)
     reached = edges.join(drug_target_pairs(molecule), F.col("targetB") == F.col("target"), "inner").select(
         F.col("targetid").alias("_entity"), F.col("drug").alias("ChEMBL"))
     out = attach(pairs, reached, on="_entity", qkey="id", fanout=True)
