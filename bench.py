@@ -16,6 +16,8 @@ Prints one JSON line.
 
 from __future__ import annotations
 
+import contextlib
+import io
 import json
 import os
 import re
@@ -48,20 +50,23 @@ def timed(build, reps: int) -> float:
 
 
 def shuffle_count(spark, df) -> int:
-    """Shuffles in the physical plan with automatic broadcasts disabled."""
+    """Shuffles in the formatted physical plan (subqueries included) with
+    automatic broadcasts disabled."""
     old = (spark.conf.get("spark.sql.autoBroadcastJoinThreshold"),
            spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold", None))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     try:
-        plan = df._jdf.queryExecution().executedPlan().toString()
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            df.explain("formatted")
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old[0])
         if old[1] is None:
             spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
         else:
             spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", old[1])
-    return len(re.findall(r"Exchange (hashpartitioning|SinglePartition|rangepartitioning)", plan))
+    return len(re.findall(r"^\(\d+\) Exchange\b", buf.getvalue(), flags=re.M))
 
 
 def main() -> None:

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 KEY = "__key"
 
-# Lookup tables (score tables, term lists) are broadcast only below this
+# Lookup tables (e.g. score tables) are broadcast only below this
 # many rows; above it the plan falls back to a shuffle join.
 DEFAULT_BROADCAST_ROWS = 100_000
 

@@ -14,7 +14,7 @@ from entiscore.operators.properties import (
     _finish,
     _lof,
     _require,
-    _term_membership,
+    term_array,
     mouse_model_counts,
 )
 
@@ -38,12 +38,8 @@ def membrane_simple(target: DataFrame, membrane_terms, queryset: DataFrame | Non
                     id_col: str = "id", loc_col: str = "subcellularLocations") -> DataFrame:
     """V2: any location term in the membrane list → ``IsinMembrane`` Yes and
     ``Nr_mb`` 1; otherwise null."""
-    m_col, m_one = _term_membership(membrane_terms)
-    base = target.select(F.col(id_col).alias("id"), F.col(loc_col).alias("_locs"))
-    if m_one is not None:
-        base = base.crossJoin(F.broadcast(m_one.withColumnRenamed("terms", "_mterms")))
-        m_col = F.col("_mterms")
-    hit = F.coalesce(F.exists("_locs", lambda x: F.array_contains(m_col, x["termSL"])), F.lit(False))
+    base = target.select(F.col(id_col).alias("id"), F.col(loc_col).alias("_locs"), term_array(membrane_terms).alias("_mterms"))
+    hit = F.coalesce(F.exists("_locs", lambda x: F.array_contains(F.col("_mterms"), x["termSL"])), F.lit(False))
     m = base.select("id", hit.alias("_hit")).select(
         "id", F.when(F.col("_hit"), F.lit("Yes")).alias("IsinMembrane"), F.when(F.col("_hit"), F.lit(1)).alias("Nr_mb"))
     return _finish(m, queryset)

@@ -5,7 +5,7 @@ The wide reports are planned in one pass instead of a chain of joins:
 1. every same-row measure of the entity table (location, tractability,
    safety, constraint, homologues, driver, TEP, probes) is computed in two
    projections over a single scan, with the term lists and the lof min/max
-   arriving as one broadcast row each;
+   arriving as scalar subqueries (one value each, computed once);
 2. the cross-table measures are aggregated by entity id (map-side combined)
    and left-joined; each join reuses the id hash partitioning of the
    previous one;
@@ -25,17 +25,20 @@ from pyspark.sql import functions as F
 from entiscore.functions.measures import minmax_scaled
 from entiscore.operators import properties as P
 from entiscore.operators import prototype as V
-from entiscore.operators.joins import DEFAULT_BROADCAST_ROWS, attach, attach_counted
+from entiscore.operators.joins import attach, attach_counted
 from entiscore.operators.properties import (
     LOF,
     PROTEIN_CODING,
     _location_measures_by_join,
     _lof,
-    _term_membership,
+    term_array,
+    too_many_terms,
+    rank_range,
+    location_labels,
+    MAX_TERMS,
     driver_measures,
     essentiality_values,
     location_class,
-    location_label,
     location_results,
     max_phase_per_target,
     membrane_flag,
@@ -95,7 +98,7 @@ REPORT_COLUMNS_V1 = [
 
 
 def entity_measures(target: DataFrame, membrane_terms, secreted_terms, id_col: str = "id",
-                    max_terms: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                    max_terms: int = MAX_TERMS) -> DataFrame:
     """All same-row measures of the entity table in one scan, no shuffle.
 
     Output: ``id``, ``loc``, ``results`` (O3 array), ``scores`` (O6 array)
@@ -113,30 +116,14 @@ def entity_measures(target: DataFrame, membrane_terms, secreted_terms, id_col: s
     derives = [c for _, d in groups for c in d]
 
     lof = _lof(F.col("constraint"), LOF)
-    stats = target.select(F.explode(lof).alias("c")).agg(
-        F.min("c.upperRank").alias("_mn"), F.max("c.upperRank").alias("_mx"))
-
-    big = [t for t in (membrane_terms, secreted_terms)
-           if isinstance(t, DataFrame) and t.limit(max_terms + 1).count() > max_terms]
+    mn, mx = rank_range(target)
+    big = too_many_terms(membrane_terms, max_terms) or too_many_terms(secreted_terms, max_terms)
     b = target.select(F.col(id_col).alias("id"), F.col("subcellularLocations").alias("_locs"),
                       lof.alias("_lof"), *bases)
     base_names = [c for c in b.columns if c not in ("id", "_locs", "_lof")]
-    b = b.crossJoin(F.broadcast(stats))
-    if big:
-        labels = None
-    else:
-        m_col, m_one = _term_membership(membrane_terms)
-        s_col, s_one = _term_membership(secreted_terms)
-        if m_one is not None:
-            b = b.crossJoin(F.broadcast(m_one.withColumnRenamed("terms", "_mterms")))
-            m_col = F.col("_mterms")
-        if s_one is not None:
-            b = b.crossJoin(F.broadcast(s_one.withColumnRenamed("terms", "_sterms")))
-            s_col = F.col("_sterms")
-        labels = F.array_distinct(F.filter(
-            F.transform("_locs", lambda x: location_label(
-                x, lambda t: F.array_contains(m_col, t), lambda t: F.array_contains(s_col, t))),
-            lambda lbl: lbl.isNotNull()))
+    b = b.select("*", mn.alias("_mn"), mx.alias("_mx"),
+                 *([] if big else [term_array(membrane_terms).alias("_mterms"), term_array(secreted_terms).alias("_sterms")]))
+    labels = None if big else location_labels(F.col("_locs"), F.col("_mterms"), F.col("_sterms"))
     step1 = b.select(
         "id",
         *([labels.alias("_labels")] if labels is not None else []),
@@ -233,13 +220,10 @@ def prototype_report(target: DataFrame, molecule: DataFrame, mechanism: DataFram
     probe list and V5's scores (the entity table is keyed by id, so V1's
     distinct (id, biotype) is the row itself); V3 and V6 are keyed
     aggregates joined on the id partitioning."""
-    m_col, m_one = _term_membership(membrane_terms)
     base = target.select(F.col("id").alias("id"), "biotype", F.col("subcellularLocations").alias("_locs"),
-                         F.col("chemicalProbes").alias("_probes"), _lof(F.col("constraint")).alias("_lof"))
-    if m_one is not None:
-        base = base.crossJoin(F.broadcast(m_one.withColumnRenamed("terms", "_mterms")))
-        m_col = F.col("_mterms")
-    hit = F.coalesce(F.exists("_locs", lambda x: F.array_contains(m_col, x["termSL"])), F.lit(False))
+                         F.col("chemicalProbes").alias("_probes"), _lof(F.col("constraint")).alias("_lof"),
+                         term_array(membrane_terms).alias("_mterms"))
+    hit = F.coalesce(F.exists("_locs", lambda x: F.array_contains(F.col("_mterms"), x["termSL"])), F.lit(False))
     hq = F.exists("_probes", lambda p: F.coalesce(p["isHighQuality"], F.lit(False)) & p["mechanismOfAction"].isNotNull()
                   & (F.coalesce(F.size(p["urls"]), F.lit(0)) > 0))
     rows = base.select(

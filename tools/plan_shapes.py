@@ -1,13 +1,16 @@
 """Print a markdown table of every catalog query's physical plan shape with
 automatic broadcasts disabled (the shape the plans take on large inputs):
-shuffles, sort-merge joins, explicit (size-checked / one-row) broadcasts,
-parquet scans and Python evaluation nodes.
+shuffles, sort-merge joins, explicit (size-checked) broadcasts, scalar
+subqueries (one-row constants), file scans and Python evaluation nodes,
+counted from ``explain("formatted")`` (subquery plans included).
 
 Usage: python tools/plan_shapes.py [sf_dir]
 """
 
 from __future__ import annotations
 
+import contextlib
+import io
 import os
 import re
 import sys
@@ -19,14 +22,27 @@ from entiscore.session import local_session, scratch_path  # noqa: E402
 from entiscore.sources import fixtures as fx  # noqa: E402
 
 
+def formatted_plan(df) -> str:
+    """The formatted physical plan, subqueries included, as text."""
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("formatted")
+    return buf.getvalue()
+
+
 def shape(df) -> dict[str, int]:
-    plan = df._jdf.queryExecution().executedPlan().toString()
+    plan = formatted_plan(df)
+
+    def nodes(pattern):
+        return len(re.findall(rf"^\(\d+\) {pattern}", plan, flags=re.M))
+
     return {
-        "shuffles": len(re.findall(r"Exchange (hashpartitioning|SinglePartition|rangepartitioning|RoundRobinPartitioning)", plan)),
-        "smj": plan.count("SortMergeJoin"),
-        "broadcasts": plan.count("BroadcastExchange"),
-        "scans": len(re.findall(r"(FileScan|Scan) (parquet|json|csv)", plan)),
-        "python": len(re.findall(r"BatchEvalPython|ArrowEvalPython|FlatMapGroupsInPandas|MapInPandas", plan)),
+        "shuffles": nodes(r"Exchange\b"),
+        "smj": nodes(r"SortMergeJoin"),
+        "broadcasts": nodes(r"BroadcastExchange"),
+        "subqueries": len(re.findall(r"^Subquery:\d+", plan, flags=re.M)),
+        "scans": nodes(r"Scan (parquet|json|csv)"),
+        "python": nodes(r"(BatchEvalPython|ArrowEvalPython|FlatMapGroupsInPandas|MapInPandas)"),
     }
 
 
@@ -36,11 +52,11 @@ def main() -> None:
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     fx.materialize(spark, sf, scratch_path(spark, "plan-shapes"))
-    print("| query | shuffles | sort-merge joins | explicit broadcasts | scans | python nodes |")
-    print("|---|---|---|---|---|---|")
+    print("| query | shuffles | sort-merge joins | explicit broadcasts | scalar subqueries | scans | python nodes |")
+    print("|---|---|---|---|---|---|---|")
     for name, build in CATALOG.items():
         s = shape(build(spark, sf))
-        print(f"| `{name}` | {s['shuffles']} | {s['smj']} | {s['broadcasts']} | {s['scans']} | {s['python']} |")
+        print(f"| `{name}` | {s['shuffles']} | {s['smj']} | {s['broadcasts']} | {s['subqueries']} | {s['scans']} | {s['python']} |")
     spark.stop()
 
 
