@@ -1,7 +1,9 @@
 """Parameterised column expressions shared by the scoring operators.
 
 Every helper returns a ``Column`` built only from ``pyspark.sql.functions``,
-so the work stays inside whole-stage codegen / the JVM. Score convention:
+so the work stays in the JVM (scalar expressions are code-generated; array
+lambdas are evaluated by Spark's interpreter, never by Python). Score
+convention:
 ``1`` favourable, ``0`` neutral, ``-1`` unfavourable, graded values in
 between, and ``null`` meaning *no information* (never folded into 0).
 """
@@ -9,7 +11,7 @@ between, and ``null`` meaning *no information* (never folded into 0).
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -128,10 +130,3 @@ def rank_weighted_sum(groups) -> Column:
         ),
     )
 
-
-def exists_in(arr, pred) -> Column:
-    return F.exists(_c(arr), pred)
-
-
-def isin_list(x: Column, values: Iterable[str]) -> Column:
-    return x.isin(list(values))

@@ -71,6 +71,8 @@ def attach_counted(queryset: DataFrame, measures: DataFrame, on: str, qkey: str
     vals = [c for c in measures.columns if c != on]
     counted = measures.groupBy(F.col(on).alias(KEY), *vals).agg(F.count(F.lit(1)).alias("_n"))
     packed = counted.groupBy(KEY).agg(F.collect_list(F.struct(*vals, "_n")).alias("_fan"))
-    out = queryset.join(packed, F.col(qkey) == F.col(KEY), "left").drop(KEY)
-    out = out.withColumn("_f", F.explode_outer("_fan")).withColumn("_rep", F.explode_outer(F.sequence(F.lit(1), F.col("_f._n"))))
-    return out.select(*queryset.columns, *[F.col("_f").getField(v).alias(v) for v in vals])
+    qcols = queryset.columns
+    out = queryset.join(packed, F.col(qkey) == F.col(KEY), "left")
+    out = out.select(*qcols, F.explode_outer("_fan").alias("_f"))
+    out = out.select(*qcols, "_f", F.explode_outer(F.sequence(F.lit(1), F.col("_f._n"))).alias("_rep"))
+    return out.select(*qcols, *[F.col("_f").getField(v).alias(v) for v in vals])

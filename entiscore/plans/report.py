@@ -163,11 +163,12 @@ def _wide_report(target, gene_essentiality, mouse, molecule, atlas, mouse_phenot
     if "Nr_essential" in names:
         wide = attach_counted(wide, essentiality_values(gene_essentiality), on="id")
     wide = attach_counted(wide, tissue_values(atlas), on="id")
-    wide = (wide.withColumn("result", F.explode_outer("results"))
-                .withColumn("cal_score", F.explode_outer("scores"))
-                .withColumn("Nr_mb", membrane_flag(F.col("loc"), F.col("result")))
-                .withColumn("Nr_secreted", secreted_flag(F.col("loc"), F.col("result"))))
-    return wide.select("targetid", *[F.col(src).alias(dst) for src, dst in columns])
+    keep = [c for c in wide.columns if c not in ("results", "scores")]
+    wide = (wide.select(*keep, F.explode_outer("results").alias("result"), "scores")
+                .select(*keep, "result", F.explode_outer("scores").alias("cal_score")))
+    derived = {"Nr_mb": membrane_flag(F.col("loc"), F.col("result")),
+               "Nr_secreted": secreted_flag(F.col("loc"), F.col("result"))}
+    return wide.select("targetid", *[derived.get(src, F.col(src)).alias(dst) for src, dst in columns])
 
 
 def priority_report(target: DataFrame, gene_essentiality: DataFrame, mouse: DataFrame, molecule: DataFrame,
