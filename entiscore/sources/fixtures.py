@@ -170,23 +170,30 @@ def flat(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_table(spark, sf_dir, table).where(where).selectExpr(*cols)
 
 
-def _struct_fields(name: str) -> list[str]:
-    cols = FLAT_VIEWS[name][2]
-    return [c for c in cols if not c.endswith(" as id")]
+def _fields(name: str) -> dict[str, F.Column]:
+    """The non-id columns of a flat view as ``{alias: expression}``."""
+    out = {}
+    for col in FLAT_VIEWS[name][2]:
+        expr, alias = col.rsplit(" as ", 1)
+        if alias != "id":
+            out[alias] = F.expr(expr)
+    return out
 
 
 def _element(name: str):
-    """The struct (array element) for one flat row of a lineitem slice."""
+    """The struct (array element) for one flat row of a lineitem slice.
+
+    Two slices need a shape change: a tractability row's ``category`` is the
+    element's ``id`` field, and a probe row's ``n_urls`` stands for that many
+    url entries."""
+    f = _fields(name)
     if name == "f_tractability":
-        # the category becomes the struct's ``id`` field
-        _, _, cols = FLAT_VIEWS[name]
-        return F.struct(F.expr(cols[1].replace(" as category", "")).alias("id"), F.expr(cols[2]))
+        f = {"id": f.pop("category"), **f}
     if name == "f_probe":
-        _, _, cols = FLAT_VIEWS[name]
-        n_urls = F.expr(cols[3].replace(" as n_urls", ""))
-        urls = F.transform(F.sequence(F.lit(1), n_urls), lambda i: F.struct(F.concat(F.lit("url"), i.cast("string")).alias("url")))
-        return F.struct(F.expr(cols[1]), F.expr(cols[2]), urls.alias("urls"))
-    return F.struct(*[F.expr(c) for c in _struct_fields(name)])
+        n_urls = f.pop("n_urls")
+        f["urls"] = F.transform(F.sequence(F.lit(1), n_urls),
+                                lambda i: F.struct(F.concat(F.lit("url"), i.cast("string")).alias("url")))
+    return F.struct(*[e.alias(a) for a, e in f.items()])
 
 
 @_cached
@@ -214,10 +221,10 @@ def target(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg(*[F.collect_list(col).alias(col) for col in LINEITEM_ARRAYS])
     )
     t_cols = FLAT_VIEWS["f_target"][2]
-    c_table, c_where, c_cols = FLAT_VIEWS["f_constraint"]
+    c_where = FLAT_VIEWS["f_constraint"][1]
     base = read_table(spark, sf_dir, "part").select(
         *[F.expr(c) for c in t_cols],
-        F.when(F.expr(c_where), F.array(F.struct(F.expr(c_cols[1]), F.expr(c_cols[2])))).alias("constraint"),
+        F.when(F.expr(c_where), F.array(_element("f_constraint"))).alias("constraint"),
     )
     return (
         base.join(nested, "id", "left")
