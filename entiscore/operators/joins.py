@@ -60,19 +60,26 @@ def attach(queryset: DataFrame, measures: DataFrame, on: str, qkey: str = "targe
     return matched.unionByName(unmatched, allowMissingColumns=True)
 
 
-def attach_counted(queryset: DataFrame, measures: DataFrame, on: str, qkey: str = "targetid") -> DataFrame:
+def attach_counted(queryset: DataFrame, measures: DataFrame, on: str, qkey: str = "targetid",
+                   chunk: int = 1 << 16) -> DataFrame:
     """``queryset LEFT JOIN measures`` for fan-out measures with few distinct
     values per key (category scores, flags): same rows as the plain join.
 
     Each (key, value tuple) is counted (map-side combined), the counts are
     packed per key into an array whose length is bounded by the number of
     distinct value tuples, the packed row joins 1:1, and ``count`` copies of
-    each tuple are generated after the join (a narrow step)."""
+    each tuple are generated after the join (a narrow step). Copies are
+    generated in chunks of at most ``chunk`` rows, so no task ever holds an
+    array as long as a hot key's count; the rows stream out."""
     vals = [c for c in measures.columns if c != on]
     counted = measures.groupBy(F.col(on).alias(KEY), *vals).agg(F.count(F.lit(1)).alias("_n"))
     packed = counted.groupBy(KEY).agg(F.collect_list(F.struct(*vals, "_n")).alias("_fan"))
     qcols = queryset.columns
     out = queryset.join(packed, F.col(qkey) == F.col(KEY), "left")
     out = out.select(*qcols, F.explode_outer("_fan").alias("_f"))
-    out = out.select(*qcols, "_f", F.explode_outer(F.sequence(F.lit(1), F.col("_f._n"))).alias("_rep"))
+    n, size = F.col("_f._n"), F.lit(chunk).cast("long")
+    out = out.select(*qcols, "_f", F.explode_outer(
+        F.sequence(F.lit(0).cast("long"), F.floor((n - 1) / size).cast("long"))).alias("_chunk"))
+    rest = F.when(n.isNotNull(), F.least(size, n - F.col("_chunk") * size))  # least() skips nulls
+    out = out.select(*qcols, "_f", F.explode_outer(F.sequence(F.lit(1).cast("long"), rest)).alias("_rep"))
     return out.select(*qcols, *[F.col("_f").getField(v).alias(v) for v in vals])

@@ -27,6 +27,7 @@ def test_attach_counted_equals_left_join_with_hot_key(spark):
     plain = attach(q, m, on="id")
     counted = attach_counted(q, m, on="id")
     assert _multiset(counted) == _multiset(plain)
+    assert _multiset(attach_counted(q, m, on="id", chunk=7)) == _multiset(plain)  # many chunks per value
     assert counted.where("targetid = 'HOT'").count() == 3000
     # the packed row of the hot key holds one entry per distinct value tuple
     packed = m.groupBy("id", "v", "w").count().groupBy("id").count().where("id = 'HOT'").first()[1]
