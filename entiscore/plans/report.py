@@ -10,9 +10,11 @@ The wide reports are planned in one pass instead of a chain of joins:
    and left-joined; each join reuses the id hash partitioning of the
    previous one;
 3. the fan-out measures (location info rows, several lof rows, several
-   essentiality entries, duplicate atlas records) are attached last, as
-   arrays exploded in place or through the skew-safe inner + anti join, so
-   the row multiplication happens after all shuffles.
+   essentiality entries, duplicate atlas records) are attached last: the
+   in-row arrays are exploded in place, and the side-table fan-outs are
+   counted per (id, value), joined 1:1 and replicated
+   (:func:`~entiscore.operators.joins.attach_counted`), so the row
+   multiplication happens after all shuffles.
 
 The result has the same rows as chaining the operators by right joins.
 """
@@ -99,7 +101,9 @@ REPORT_COLUMNS_V1 = [
 
 def entity_measures(target: DataFrame, membrane_terms, secreted_terms, id_col: str = "id",
                     max_terms: int = MAX_TERMS) -> DataFrame:
-    """All same-row measures of the entity table in one scan, no shuffle.
+    """All same-row measures of the entity table in one scan; the entity rows
+    are not shuffled. (The lof min/max and DataFrame term lists are scalar
+    subqueries: one small global aggregate each.)
 
     Output: ``id``, ``loc``, ``results`` (O3 array), ``scores`` (O6 array)
     and the O4, O5, O7, O8, O9, O11, O13 measures."""

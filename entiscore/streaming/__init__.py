@@ -37,8 +37,8 @@ def same_row_measures(entities: DataFrame, membrane_terms: Sequence[str], secret
     safety, paralog/ortholog ramps, driver, TEP and probe measures.
 
     Works on batch and streaming DataFrames alike (two projections, no
-    join). Term lists are literal arrays here, because a stream cannot be
-    cross-joined with a batch aggregate without stateful semantics."""
+    join). Term lists are literal arrays here: a scalar subquery over a batch
+    table is not part of a streaming plan."""
     groups = [
         biotype_measures(F.col("biotype")),
         tractability_measures(F.col("tractability")),
