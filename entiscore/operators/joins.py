@@ -9,9 +9,9 @@ set (``queryset LEFT JOIN measures``). Two helpers cover the two shapes:
 * fan-out measures (several rows per key, e.g. duplicate records):
   - :func:`attach_counted` for categorical measures (few distinct values
     per key): rows are counted per (key, value) with map-side combine, the
-    counts packed into one row per key (bounded by the value vocabulary),
-    joined 1:1 and replicated after the join. No shuffle ever sees a hot
-    key's raw rows and the query set is read once.
+    counts are split into bounded chunks, joined (a few rows per key, bounded
+    by the value vocabulary) and replicated after the join. No shuffle ever
+    sees a hot key's raw rows and the query set is read once.
   - ``attach(..., fanout=True)`` for open-ended values: the left join is
     split into an inner join plus an anti join against the *distinct* keys.
     Spark's adaptive skew handling can split a hot key on either side of an
@@ -65,21 +65,19 @@ def attach_counted(queryset: DataFrame, measures: DataFrame, on: str, qkey: str
     """``queryset LEFT JOIN measures`` for fan-out measures with few distinct
     values per key (category scores, flags): same rows as the plain join.
 
-    Each (key, value tuple) is counted (map-side combined), the counts are
-    packed per key into an array whose length is bounded by the number of
-    distinct value tuples, the packed row joins 1:1, and ``count`` copies of
-    each tuple are generated after the join (a narrow step). Copies are
-    generated in chunks of at most ``chunk`` rows, so no task ever holds an
-    array as long as a hot key's count; the rows stream out."""
+    Each (key, value tuple) is counted (map-side combined, so a hot key's
+    rows are combined before any shuffle) and the count is split into chunks
+    of at most ``chunk``. The join therefore meets at most (distinct value
+    tuples x chunks) rows per key, however many raw rows the key has, and
+    the copies are generated after the join, chunk by chunk, so no task
+    holds an array as long as a hot key's count; the rows stream out."""
     vals = [c for c in measures.columns if c != on]
+    size = F.lit(chunk).cast("long")
     counted = measures.groupBy(F.col(on).alias(KEY), *vals).agg(F.count(F.lit(1)).alias("_n"))
-    packed = counted.groupBy(KEY).agg(F.collect_list(F.struct(*vals, "_n")).alias("_fan"))
+    chunks = (counted.select(KEY, *vals, "_n", F.explode(
+                  F.sequence(F.lit(0).cast("long"), F.floor((F.col("_n") - 1) / size).cast("long"))).alias("_chunk"))
+              .select(KEY, *vals, F.least(size, F.col("_n") - F.col("_chunk") * size).alias("_copies")))
     qcols = queryset.columns
-    out = queryset.join(packed, F.col(qkey) == F.col(KEY), "left")
-    out = out.select(*qcols, F.explode_outer("_fan").alias("_f"))
-    n, size = F.col("_f._n"), F.lit(chunk).cast("long")
-    out = out.select(*qcols, "_f", F.explode_outer(
-        F.sequence(F.lit(0).cast("long"), F.floor((n - 1) / size).cast("long"))).alias("_chunk"))
-    rest = F.when(n.isNotNull(), F.least(size, n - F.col("_chunk") * size))  # least() skips nulls
-    out = out.select(*qcols, "_f", F.explode_outer(F.sequence(F.lit(1).cast("long"), rest)).alias("_rep"))
-    return out.select(*qcols, *[F.col("_f").getField(v).alias(v) for v in vals])
+    out = queryset.join(chunks, F.col(qkey) == F.col(KEY), "left")
+    out = out.select(*qcols, *vals, F.explode_outer(F.sequence(F.lit(1).cast("long"), F.col("_copies"))).alias("_rep"))
+    return out.select(*qcols, *vals)

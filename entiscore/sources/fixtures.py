@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 
 from entiscore.sources.io import scan_entities
 
-# sf_dir -> folder holding materialised stand-ins (see :func:`materialize`)
-_MATERIALISED: dict[str, str] = {}
+# sf_dir -> (folder holding materialised stand-ins, their schemas); see :func:`materialize`
+_MATERIALISED: dict[str, tuple[str, dict]] = {}
 
 
 def _cached(builder: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -29,12 +29,13 @@ def _cached(builder: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spar
     name = builder.__name__
 
     def build(spark: SparkSession, sf_dir: str) -> DataFrame:
-        base = _MATERIALISED.get(sf_dir)
-        if base is None:
+        saved = _MATERIALISED.get(sf_dir)
+        if saved is None:
             return builder(spark, sf_dir)
+        base, schemas = saved
         if name == "target":  # entity table: read only the nested fields the operators use
             return scan_entities(spark, os.path.join(base, name))
-        return spark.read.parquet(os.path.join(base, name))
+        return spark.read.schema(schemas[name]).parquet(os.path.join(base, name))
 
     build.__name__ = name
     build.__doc__ = builder.__doc__
@@ -355,9 +356,12 @@ def materialize(spark: SparkSession, sf_dir: str, out_dir: str) -> str:
     folder in the shared checkpoint location) and read them from there from
     now on. This cuts the stand-ins' lineage: operators then start from
     nested parquet files, as they do on real inputs."""
+    schemas = {}
     for name in DATASETS:
-        globals()[name].uncached(spark, sf_dir).write.mode("overwrite").parquet(os.path.join(out_dir, name))
-    _MATERIALISED[sf_dir] = out_dir
+        df = globals()[name].uncached(spark, sf_dir)
+        df.write.mode("overwrite").parquet(os.path.join(out_dir, name))
+        schemas[name] = df.schema  # read back with it: no footer-based schema inference
+    _MATERIALISED[sf_dir] = (out_dir, schemas)
     return out_dir
 
 
