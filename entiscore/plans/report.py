@@ -274,3 +274,32 @@ def priority_report_chained(target: DataFrame, gene_essentiality: DataFrame, mou
     for df, cols in parts:
         chain = chain.join(df.select(F.col("targetid").alias("_k"), *cols), F.col("targetid") == F.col("_k"), "left").drop("_k")
     return chain.select("targetid", *[F.col(src).alias(dst) for src, dst in REPORT_COLUMNS])
+
+
+def priority_report_from_files(spark, target: str, gene_essentiality: str, mouse: str, molecule: str,
+                               tissue_atlas_json: str, mouse_phenotypes: str, phenotype_scores_csv: str,
+                               term_list_tsv: str, membrane_name: str = "Cell membrane",
+                               secreted_name: str = "Secreted", queryset: DataFrame | None = None) -> DataFrame:
+    """R1 end to end from files, the way the current report is produced:
+    entity parquet (read with its declared nested schema), side tables as
+    parquet, the tissue atlas as JSON records, the phenotype score list as
+    CSV and the location term list as TSV. The membrane and secreted term
+    sets come from the term list through H1–H6, as DataFrames (never a
+    driver-side list)."""
+    from entiscore.operators import hierarchy as H
+    from entiscore.sources import io
+
+    terms = io.scan_delimited(spark, term_list_tsv, sep="\t", schema=io.TERM_SCHEMA)
+    search_sets = H.term_search_set(H.explode_multivalue(terms))
+    return priority_report(
+        io.scan_entities(spark, target),
+        io.scan_parquet(spark, gene_essentiality),
+        io.scan_parquet(spark, mouse),
+        io.scan_parquet(spark, molecule),
+        io.scan_json_records(spark, tissue_atlas_json),
+        io.scan_parquet(spark, mouse_phenotypes),
+        io.scan_delimited(spark, phenotype_scores_csv, sep=",", schema=io.PHENOTYPE_SCORE_SCHEMA),
+        H.terms_for_name(search_sets, membrane_name),
+        H.terms_for_name(search_sets, secreted_name),
+        queryset,
+    )

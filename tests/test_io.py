@@ -57,3 +57,33 @@ def test_parquet_column_pruning(spark, tmp_path):
     df = spark.createDataFrame([(1, "a", 2.0)], "k int, s string, d double")
     df.write.parquet(str(tmp_path / "p"))
     assert io.scan_parquet(spark, str(tmp_path / "p"), ["k", "d"]).columns == ["k", "d"]
+
+
+def test_report_from_files_equals_in_memory_report(spark, tmp_path):
+    import os
+
+    from entiscore.operators import hierarchy as H
+    from entiscore.plans import report as R
+    from entiscore.sources import fixtures as fx
+
+    d = "/root/testdata/sf0.001"
+    if not os.path.exists(d):
+        return
+    p = {k: str(tmp_path / k) for k in ("t", "ge", "mm", "mol", "atlas", "ph", "scores", "terms")}
+    fx.target(spark, d).write.parquet(p["t"])
+    fx.gene_essentiality(spark, d).write.parquet(p["ge"])
+    fx.mouse_phenotypes(spark, d).write.parquet(p["mm"])
+    fx.mouse_phenotypes(spark, d).write.parquet(p["ph"])
+    fx.molecule(spark, d).write.parquet(p["mol"])
+    io.write_json_report(fx.tissue_atlas(spark, d), p["atlas"])
+    fx.phenotype_scores(spark, d).write.option("header", True).csv(p["scores"])
+    io.write_delimited(fx.term_table(spark, d), p["terms"])
+    name = "Supplier#000000001"
+    got = R.priority_report_from_files(spark, p["t"], p["ge"], p["mm"], p["mol"], p["atlas"], p["ph"], p["scores"],
+                                       p["terms"], membrane_name=name, secreted_name="Supplier#000000002")
+    sets = H.term_search_set(H.explode_multivalue(fx.term_table(spark, d)))
+    want = R.priority_report(fx.target(spark, d), fx.gene_essentiality(spark, d), fx.mouse_phenotypes(spark, d),
+                             fx.molecule(spark, d), fx.tissue_atlas(spark, d), fx.mouse_phenotypes(spark, d),
+                             fx.phenotype_scores(spark, d), H.terms_for_name(sets, name),
+                             H.terms_for_name(sets, "Supplier#000000002"))
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, map(tuple, want.collect())))
