@@ -88,45 +88,30 @@ def non_empty(arr) -> Column:
 EXACT_TERMS = 256
 
 
-def inverse_square_sum(n) -> Column:
-    """``H2(n) = sum_{k=1}^{n} 1/k^2`` as a double (0 for n <= 0 or null n → null)."""
-    n = _c(n)
-    exact = F.aggregate(
-        F.sequence(F.lit(1).cast("long"), n.cast("long")),
-        F.lit(0.0),
-        lambda acc, k: acc + F.lit(1.0) / (k * k).cast("double"),
-    )
-    d = n.cast("double")
-    tail = (
-        F.lit(math.pi ** 2 / 6.0)
-        - F.lit(1.0) / d
-        + F.lit(1.0) / (F.lit(2.0) * d * d)
-        - F.lit(1.0) / (F.lit(6.0) * F.pow(d, 3))
-        + F.lit(1.0) / (F.lit(30.0) * F.pow(d, 5))
-        - F.lit(1.0) / (F.lit(42.0) * F.pow(d, 7))
-        + F.lit(1.0) / (F.lit(30.0) * F.pow(d, 9))
-    )
-    return F.when(n <= 0, F.lit(0.0)).when(n <= EXACT_TERMS, exact).otherwise(tail)
+def _h2_sql(n: str) -> str:
+    """SQL text of ``H2(n)`` for a long-valued SQL expression ``n``."""
+    tail = (f"{math.pi ** 2 / 6.0!r}D - 1D / {n} + 1D / (2D * {n} * {n}) - 1D / (6D * power({n}, 3)) "
+            f"+ 1D / (30D * power({n}, 5)) - 1D / (42D * power({n}, 7)) + 1D / (30D * power({n}, 9))")
+    exact = f"aggregate(sequence(1L, {n}), 0D, (s, k) -> s + 1D / CAST(k * k AS DOUBLE))"
+    return f"CASE WHEN {n} <= 0 THEN 0D WHEN {n} <= {EXACT_TERMS} THEN {exact} ELSE {tail} END"
+
 
+def inverse_square_sum(n: str) -> Column:
+    """``H2(n) = sum_{k=1}^{n} 1/k^2`` as a double for the long column named
+    ``n`` (0 for n <= 0; null n gives null). Built as one SQL expression."""
+    return F.expr(_h2_sql(f"CAST(`{n}` AS BIGINT)"))
 
-def rank_weighted_sum(groups) -> Column:
+
+def rank_weighted_sum(groups: str) -> Column:
     """Harmonic (inverse-square rank weighted) sum over score groups.
 
-    ``groups`` is an array of ``struct(score double, n long)`` sorted by score
-    descending: ``n`` equal scores occupy the next ``n`` ranks. The result is
-    ``sum_i score_i / i^2`` over the expanded, descending list, computed per
-    group as ``score * (H2(p + n) - H2(p))`` with ``p`` the ranks already used,
-    so a group's size never turns into a loop or a materialised list.
-    Returns ``struct(hs double, n long)``.
+    ``groups`` names an array of ``struct(score double, n long)`` sorted by
+    score descending: ``n`` equal scores occupy the next ``n`` ranks. The
+    result is ``sum_i score_i / i^2`` over the expanded, descending list,
+    computed per group as ``score * (H2(p + n) - H2(p))`` with ``p`` the ranks
+    already used, so a group's size never turns into a loop or a materialised
+    list. Returns ``struct(hs double, n long)``.
     """
-    groups = _c(groups)
-    zero = F.struct(F.lit(0.0).alias("hs"), F.lit(0).cast("long").alias("n"))
-    return F.aggregate(
-        groups,
-        zero,
-        lambda acc, g: F.struct(
-            (acc["hs"] + g["score"] * (inverse_square_sum(acc["n"] + g["n"]) - inverse_square_sum(acc["n"]))).alias("hs"),
-            (acc["n"] + g["n"]).alias("n"),
-        ),
-    )
-
+    step = (f"named_struct('hs', acc.hs + g.score * (({_h2_sql('(acc.n + g.n)')}) - ({_h2_sql('acc.n')})), "
+            f"'n', acc.n + g.n)")
+    return F.expr(f"aggregate(`{groups}`, named_struct('hs', 0D, 'n', 0L), (acc, g) -> {step})")
