@@ -1,8 +1,8 @@
 """Side-by-side check of a Spark result against a DuckDB oracle query.
 
-Rows are compared as an order-insensitive multiset after normalising
-values (floats rounded to 9 places, -0.0 as 0.0, lists/structs as tuples);
-columns are matched by name.
+Rows are compared as an order-insensitive multiset of exact values
+(floats bit for bit, -0.0 distinct from 0.0; lists and structs as tuples,
+ints as floats); columns are matched by name.
 """
 
 from __future__ import annotations
@@ -30,12 +30,9 @@ def norm(v):
     if isinstance(v, bool):
         return v
     if isinstance(v, float):
-        if math.isnan(v):
-            return "nan"
-        r = round(v, 9)
-        return 0.0 if r == 0 else r
+        return "nan" if math.isnan(v) else repr(v)
     if isinstance(v, int):
-        return float(v)
+        return repr(float(v))
     if isinstance(v, dict):
         return tuple(norm(x) for x in v.values())
     if isinstance(v, (list, tuple)):
