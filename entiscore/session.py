@@ -15,8 +15,10 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "entiscore") -> SparkSession:
-    """A local session configured like the cluster profile (AQE on, UI off)."""
+def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "entiscore",
+                  conf: dict[str, str] | None = None) -> SparkSession:
+    """A local session configured like the cluster profile (AQE on, UI off).
+    ``conf`` adds settings (e.g. an event-log folder for the bench)."""
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
@@ -30,6 +32,8 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
+    for k, v in (conf or {}).items():
+        builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
