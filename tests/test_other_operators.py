@@ -210,3 +210,21 @@ def test_entity_reader_prunes_nested_fields(spark, tmp_path):
     schema_lines = [line for line in buf.getvalue().splitlines() if "ReadSchema" in line]
     assert schema_lines and all("targetGeneid" not in line for line in schema_lines)
     assert [r["Nr_paralogs"] for r in P.paralog_ramp(pruned).collect()] == [-0.25]
+
+
+def test_one_pass_v1_and_prototype_reports_equal_chains(spark):
+    import os
+
+    from entiscore.sources import fixtures as fx
+    d = "/root/testdata/sf0.001"
+    if not os.path.exists(d):
+        return
+    t, mouse, mol, atlas = fx.target(spark, d), fx.mouse_phenotypes(spark, d), fx.molecule(spark, d), fx.tissue_atlas(spark, d)
+    v1 = R.priority_report_v1(t, mouse, mol, atlas, ["SL-0039"], ["SL-0243"])
+    v1_chain = R.priority_report_chained(t, None, mouse, mol, atlas, None, None, ["SL-0039"], ["SL-0243"],
+                                         columns=R.REPORT_COLUMNS_V1)
+    assert sorted(map(repr, map(tuple, v1.collect()))) == sorted(map(repr, map(tuple, v1_chain.collect())))
+    mech, q = fx.mechanism_of_action(spark, d), P.query_set(t)
+    proto = R.prototype_report(t, mol, mech, mouse, ["SL-0039"], q)
+    proto_chain = R.prototype_report_chained(t, mol, mech, mouse, ["SL-0039"], q)
+    assert sorted(map(repr, map(tuple, proto.collect()))) == sorted(map(repr, map(tuple, proto_chain.collect())))
