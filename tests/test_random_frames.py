@@ -209,3 +209,87 @@ def test_same_row_operators_against_python(spark, seed):
         assert tep[k] == py_tep(_field(row, "tep")), k
         assert moa[k] == (py_moa(_field(row, "chemicalProbes")),), k
         assert sorted(loc[k], key=repr) == py_location(_field(row, "subcellularLocations")), k
+
+
+MOL_SCHEMA = ("id string, isApproved boolean, maximumClinicalTrialPhase int, linkedTargets struct<rows:array<string>>, "
+              "linkedDiseases struct<rows:array<string>>")
+
+
+@pytest.mark.parametrize("seed", SEEDS)
+def test_cross_table_operators_against_python(spark, seed):
+    from frames import queryset
+
+    from entiscore.operators import network as N
+
+    rnd = random.Random(seed)
+    ids = [f"T{i}" for i in range(40)]
+    mouse_rows = [(maybe(rnd, rnd.choice(ids), 0.05),
+                   rand_list(rnd, lambda: (f"MP:{rnd.randint(0, 9)}", maybe(rnd, f"lbl{rnd.randint(0, 5)}")), 6))
+                  for _ in range(120)]
+    mouse = spark.createDataFrame(mouse_rows, "targetFromSourceId string, modelPhenotypeClasses array<struct<id:string,label:string>>")
+    mols = [(f"D{i}", maybe(rnd, rnd.random() < 0.6, 0.1), maybe(rnd, rnd.randint(-1, 4)),
+             maybe(rnd, (rand_list(rnd, lambda: rnd.choice(ids), 4),)), None) for i in range(150)]
+    mol = spark.createDataFrame(mols, MOL_SCHEMA)
+    mech = spark.createDataFrame([(rnd.choice(["A", "B", "C", None]), [f"D{rnd.randint(0, 160)}" for _ in range(2)])
+                                  for _ in range(60)], "actionType string, chemblIds array<string>")
+    q = queryset(spark, *ids, "ABSENT")
+
+    # Non-null label count and distinct labels over exploded classes
+    counts, labels = {}, {}
+    for tid, classes in mouse_rows:
+        if tid is None or not classes:
+            continue
+        for c in classes:
+            counts.setdefault(tid, 0)
+            labels.setdefault(tid, set())
+            if c is not None and c[1] is not None:
+                counts[tid] += 1
+                labels[tid].add(c[1])
+    got = {r["targetid"]: (r["Nr_mouse_models"], r["Different_PhenoClasses"], r["hasMouseKO"], r["Nr_Mousemodels"])
+           for r in P.mouse_models(mouse, q).collect()}
+    for t in ids + ["ABSENT"]:
+        if t in counts:
+            n = counts[t]
+            assert got[t] == (n, sorted(labels[t]), "Yes" if n else "0", 1 if n else 0), t
+        else:
+            assert got[t] == (None, None, None, None), t
+    v6 = {r["targetid"]: r["Nr_Mousemodels"] for r in V.mouse_models_flag(mouse, q).collect()}
+    assert all(v6[t] == (1 if counts.get(t) else None) for t in ids)
+
+    # Highest phase over linked drugs; N2: drug lists with repeats
+    phase, lists = {}, {}
+    for d, _, ph, lt, _ in mols:
+        for t in ((lt or (None,))[0] or []):
+            if t is None:
+                continue
+            lists.setdefault(t, []).append(d)
+            cur = phase.get(t)
+            phase[t] = ph if cur is None else (cur if ph is None else max(cur, ph))
+    got14 = {r["targetid"]: (r["maxClinTrialPhase"], r["inClinicalTrials"]) for r in P.clinical_phase(mol, q).collect()}
+    for t in ids:
+        ph = phase.get(t)
+        assert got14[t] == (ph, ph / 4 if ph is not None and ph >= 0 else None), t
+    got2 = {r["target"]: r["CHEMBL"] for r in N.drugs_per_target(mol).collect()}
+    assert got2 == {t: sorted(v) for t, v in lists.items()}
+
+    # V3: approved drugs with a mechanism record, min action type per drug
+    actions = {}
+    for act, chembls in mech.collect():
+        for c in chembls:
+            cur = actions.get(c)
+            actions[c] = act if cur is None else (cur if act is None else min(cur, act))
+    approved = {}
+    for d, ok, _, lt, _ in mols:
+        if ok:
+            for t in ((lt or (None,))[0] or []):
+                if t is not None:
+                    approved.setdefault(t, set()).add(d)
+    got3 = {r["targetid"]: (r["App_drug_ChEMBL"], r["App_drug_actionType"], r["Nr_drug"])
+            for r in V.approved_drugs(mol, mech, q).collect()}
+    for t in ids:
+        if t not in approved:
+            assert got3[t] == (None, None, None), t
+            continue
+        drugs = sorted(d for d in approved[t] if d in actions)
+        acts = [actions[d] for d in drugs if actions[d] is not None]
+        assert got3[t] == (drugs, acts, 1), t
