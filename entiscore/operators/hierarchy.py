@@ -37,9 +37,9 @@ def parents(exploded: DataFrame) -> DataFrame:
 
 
 def children(exploded: DataFrame) -> DataFrame:
-    """H3: per parent id (``Is_a``, null included) its distinct child ids, sorted."""
-    return (exploded.select("SubcellID", "Is_a").distinct()
-            .groupBy("Is_a").agg(F.sort_array(F.collect_list("SubcellID")).alias("children")))
+    """H3: per parent id (``Is_a``, null included) its distinct child ids,
+    sorted. ``collect_set`` deduplicates map-side: one shuffle."""
+    return exploded.groupBy("Is_a").agg(F.sort_array(F.collect_set("SubcellID")).alias("children"))
 
 
 def part_members(exploded: DataFrame) -> DataFrame:
