@@ -63,17 +63,19 @@ def approved_drug_lists(molecule: DataFrame, mechanism: DataFrame,
     """Keyed V3 measures ``(id, App_drug_ChEMBL, App_drug_actionType, Nr_drug)``.
 
     The action type depends only on the drug, so mechanisms are reduced to
-    one ``min(actionType)`` per drug (map-side combined) before the join,
-    and the (entity, drug) pairs are deduplicated before it: the join is
-    one row per pair, whatever the number of mechanism records per drug."""
+    one ``min(actionType)`` per drug (map-side combined) before the join:
+    the join meets one mechanism row per drug, whatever the number of
+    mechanism records. Repeated (entity, drug) links collapse in the
+    per-entity ``collect_set`` (combined map-side), so no separate dedupe
+    shuffle is needed."""
     actions = (mechanism.select("actionType", F.explode("chemblIds").alias("chembl"))
                .groupBy("chembl").agg(F.min("actionType").alias("actionType")))
     approved = (molecule.where(F.col("isApproved"))
                 .select(F.col("id").alias("drug_id"), F.explode(F.col(targets_col)).alias("target"))
-                .where(F.col("target").isNotNull()).distinct())
+                .where(F.col("target").isNotNull()))
     pairs = approved.join(actions, F.col("chembl") == F.col("drug_id"), "left").select("target", "chembl", "actionType")
     per_target = pairs.groupBy("target").agg(
-        F.sort_array(F.collect_list(F.when(F.col("chembl").isNotNull(), F.struct("chembl", "actionType")))).alias("_p"))
+        F.sort_array(F.collect_set(F.when(F.col("chembl").isNotNull(), F.struct("chembl", "actionType")))).alias("_p"))
     return per_target.select(
         F.col("target").alias("id"),
         F.transform("_p", lambda p: p["chembl"]).alias("App_drug_ChEMBL"),
