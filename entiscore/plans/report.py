@@ -56,7 +56,7 @@ from entiscore.operators.properties import (
     tractability_measures,
 )
 
-# Public names of the current report, in order (source column -> name).
+# Public names of the current report, in order (source column -> name).
 REPORT_COLUMNS = [
     ("Nr_mb", "isInMembrane"),
     ("Nr_secreted", "isSecreted"),
@@ -78,8 +78,9 @@ REPORT_COLUMNS = [
     ("scaledHarmonicSum", "phenotypeScores"),
 ]
 
-# The older report: no small-molecule binder, essentiality or phenotype
-# score, and the raw highest phase instead of phase / 4.
+# Public names of the older report, in order. It has no
+# small-molecule binder, essentiality or phenotype score, and reports the
+# raw highest phase instead of phase / 4.
 REPORT_COLUMNS_V1 = [
     ("Nr_mb", "isInMembrane"),
     ("Nr_secreted", "isSecreted"),
