@@ -228,3 +228,32 @@ def test_one_pass_v1_and_prototype_reports_equal_chains(spark):
     proto = R.prototype_report(t, mol, mech, mouse, ["SL-0039"], q)
     proto_chain = R.prototype_report_chained(t, mol, mech, mouse, ["SL-0039"], q)
     assert sorted(map(repr, map(tuple, proto.collect()))) == sorted(map(repr, map(tuple, proto_chain.collect())))
+
+
+def test_threaded_chain_like_the_reference_equals_one_pass(spark):
+    """Each operator takes the previous operator's whole output as its query
+    set (the reference's usage pattern); the selected columns equal R1."""
+    import os
+
+    from entiscore.sources import fixtures as fx
+    d = "/root/testdata/sf0.001"
+    if not os.path.exists(d):
+        return
+    t, ge, mouse, mol = fx.target(spark, d), fx.gene_essentiality(spark, d), fx.mouse_phenotypes(spark, d), fx.molecule(spark, d)
+    atlas, scores = fx.tissue_atlas(spark, d), fx.phenotype_scores(spark, d)
+    out = P.biotype(t, P.query_set(t))
+    out = P.location_profile(t, ["SL-0039"], ["SL-0243"], out)
+    for step in (P.tractability_pivot, P.safety_events, P.constraint_minmax, P.paralog_ramp, P.ortholog_ramp,
+                 P.driver_flag):
+        out = step(t, out)
+    out = P.essentiality(ge, out)
+    out = P.tep_flag(t, out)
+    out = P.mouse_models(mouse, out)
+    out = P.chemical_probes(t, out)
+    out = P.clinical_phase(mol, out)
+    out = P.tissue_scores(atlas, out)
+    out = P.phenotype_harmonic(mouse, scores, out)
+    from pyspark.sql import functions as F
+    threaded = out.select("targetid", *[F.col(s).alias(n) for s, n in R.REPORT_COLUMNS])
+    one_pass = R.priority_report(t, ge, mouse, mol, atlas, mouse, scores, ["SL-0039"], ["SL-0243"])
+    assert sorted(map(repr, map(tuple, threaded.collect()))) == sorted(map(repr, map(tuple, one_pass.collect())))
