@@ -3,7 +3,6 @@
 from entiscore.functions.measures import (  # noqa: F401
     bands,
     category_score,
-    flag,
     inverse_square_sum,
     minmax_scaled,
     no_neg_zero,

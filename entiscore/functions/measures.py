@@ -26,13 +26,6 @@ def no_neg_zero(x: Column) -> Column:
     return x + F.lit(0.0)
 
 
-def flag(cond: Column, yes, no=None) -> Column:
-    """``yes`` when ``cond`` is true, ``no`` when false, null when ``cond`` is null
-    unless ``no`` is given (then null conditions also map to ``no``)."""
-    out = F.when(cond, F.lit(yes))
-    return out if no is None else out.otherwise(F.lit(no))
-
-
 def category_score(x, mapping: Sequence[tuple[str, float | None]]) -> Column:
     """Exact-match lookup of a category string; unknown categories give null.
 
