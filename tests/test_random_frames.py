@@ -293,3 +293,48 @@ def test_cross_table_operators_against_python(spark, seed):
         drugs = sorted(d for d in approved[t] if d in actions)
         acts = [actions[d] for d in drugs if actions[d] is not None]
         assert got3[t] == (drugs, acts, 1), t
+
+
+@pytest.mark.parametrize("seed", SEEDS)
+def test_hierarchy_against_python(spark, seed):
+    from entiscore.operators import hierarchy as H
+
+    rnd = random.Random(seed)
+    ids = [f"SL-{i}" for i in range(30)]
+
+    def items(k):
+        r = rnd.random()
+        if r < 0.2:
+            return None
+        parts = [f"{' ' if rnd.random() < 0.3 else ''}{rnd.choice(ids)}; note{';x' if rnd.random() < 0.2 else ''}"
+                 for _ in range(rnd.randint(1, k))]
+        return ",".join(parts)
+
+    rows = [(f"name{i % 25}", ids[i], items(2), items(3)) for i in range(30)]
+    terms = spark.createDataFrame(rows, "`Name` string, `Subcellular location ID` string, `Is a` string, `Is part of` string")
+
+    def split(v):
+        return [None] if v is None else [x.split(";")[0].strip() for x in v.split(",")]
+
+    ex = [(n, i, a, b) for n, i, ia, ip in rows for a in split(ia) for b in split(ip)]
+    got_ex = sorted(map(tuple, H.explode_multivalue(terms).collect()), key=repr)
+    assert got_ex == sorted(ex, key=repr)
+
+    parents = {(n, i, a) for n, i, a, _ in ex}
+    kids = {}
+    for i, a in {(i, a) for _, i, a, _ in ex}:
+        kids.setdefault(a, set()).add(i)
+    members = {}
+    for _, i, _, b in ex:
+        members.setdefault(b, []).append(i)
+    want = {}
+    for n, i, a in parents:
+        ch = sorted(kids[i]) if i in kids else None
+        mb = sorted(members[i]) if i in members else None
+        want[(n, i, a)] = (ch, mb, [i] + (ch or []) + (mb or []))
+    got = {(r["Name"], r["SubcellID"], r["Is_a"]): (r["children"], r["members"], r["toSearch"])
+           for r in H.term_search_set(H.explode_multivalue(terms)).collect()}
+    assert got == want
+    name = rows[0][0]
+    want_terms = sorted({t for (n, _, _), (_, _, ts) in want.items() if n == name for t in ts})
+    assert sorted(r["term"] for r in H.terms_for_name(H.term_search_set(H.explode_multivalue(terms)), name).collect()) == want_terms
