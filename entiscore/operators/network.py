@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from entiscore.operators.joins import attach
+from entiscore.operators.joins import attach, restrict
 from entiscore.operators.properties import _finish
 
 # Partner edges kept from this source above this score.
@@ -25,7 +25,7 @@ def tractability_true(target: DataFrame, queryset: DataFrame | None = None, id_c
     """The tractability entries whose value is true, as
     ``array<struct<id, value>>`` sorted by category; null when none."""
     kept = F.sort_array(F.filter(F.col(arr_col), lambda x: F.coalesce(x["value"], F.lit(False))))
-    m = target.select(F.col(id_col).alias("id"), kept.alias("_k")).select(
+    m = restrict(target, queryset, id_col).select(F.col(id_col).alias("id"), kept.alias("_k")).select(
         "id", F.when(F.size("_k") > 0, F.col("_k")).alias("drug"))
     return _finish(m, queryset)
 

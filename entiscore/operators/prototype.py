@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from entiscore.functions.measures import bands
-from entiscore.operators.joins import attach
+from entiscore.operators.joins import attach, restrict
 from entiscore.operators.properties import (
     LOF,
     PROTEIN_CODING,
@@ -38,7 +38,8 @@ def membrane_simple(target: DataFrame, membrane_terms, queryset: DataFrame | Non
                     id_col: str = "id", loc_col: str = "subcellularLocations") -> DataFrame:
     """V2: any location term in the membrane list → ``IsinMembrane`` Yes and
     ``Nr_mb`` 1; otherwise null."""
-    base = target.select(F.col(id_col).alias("id"), F.col(loc_col).alias("_locs"), term_array(membrane_terms).alias("_mterms"))
+    base = restrict(target, queryset, id_col).select(
+        F.col(id_col).alias("id"), F.col(loc_col).alias("_locs"), term_array(membrane_terms).alias("_mterms"))
     hit = F.coalesce(F.exists("_locs", lambda x: F.array_contains(F.col("_mterms"), x["termSL"])), F.lit(False))
     m = base.select("id", hit.alias("_hit")).select(
         "id", F.when(F.col("_hit"), F.lit("Yes")).alias("IsinMembrane"), F.when(F.col("_hit"), F.lit(1)).alias("Nr_mb"))
@@ -91,7 +92,7 @@ def probe_moa_counts(target: DataFrame, queryset: DataFrame | None = None, id_co
     mechanism are dropped. ``Nr_chprob`` = 1 when the list is not empty,
     else both null."""
     hq = F.filter(F.col(arr_col), lambda p: F.coalesce(p["isHighQuality"], F.lit(False)))
-    base = target.select(F.col(id_col).alias("id"), hq.alias("_hq"))
+    base = restrict(target, queryset, id_col).select(F.col(id_col).alias("id"), hq.alias("_hq"))
     moas = F.array_distinct(F.filter(F.transform("_hq", lambda p: p["mechanismOfAction"]), lambda m: m.isNotNull()))
 
     def url_count(m: Column) -> Column:
@@ -116,7 +117,7 @@ def constraint_bands(target: DataFrame, queryset: DataFrame | None = None, id_co
     '-1' (< -0.1), '0' (within ±0.0999999), '1' (> 0.1); the gaps, exactly
     ±0.1 included, give null."""
     lof = _lof(F.col(arr_col), constraint_type)
-    m = target.select(F.col(id_col).alias("id"),
+    m = restrict(target, queryset, id_col).select(F.col(id_col).alias("id"),
                       F.transform(lof, lambda c: (c["upperRank"] - F.lit(center)) / F.lit(scale)).alias("scores"))
     out = _finish(m, queryset).withColumn("cal_score", F.explode_outer("scores")).drop("scores")
     return out.withColumn("selection", bands(F.col("cal_score"), BAND_LOWER, BAND_UPPER, BAND_INNER_LO, BAND_INNER_HI))
