@@ -81,20 +81,3 @@ def attach_counted(queryset: DataFrame, measures: DataFrame, on: str, qkey: str
     out = queryset.join(chunks, F.col(qkey) == F.col(KEY), "left")
     out = out.select(*qcols, *vals, F.explode_outer(F.sequence(F.lit(1).cast("long"), F.col("_copies"))).alias("_rep"))
     return out.select(*qcols, *vals)
-
-
-def restrict(source: DataFrame, queryset: DataFrame | None, id_col: str = "id", qkey: str = "targetid",
-             max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Keep only the ``source`` rows whose id is in a small query set.
-
-    When the query set has at most ``max_rows`` distinct ids (checked with a
-    bounded count), the ids are broadcast and ``source`` is semi-joined
-    before any per-row work, so per-row measures run only for queried ids.
-    Larger (or absent) query sets leave ``source`` unchanged: the final left
-    join does the matching. Either way the operator's result is the same."""
-    if queryset is None:
-        return source
-    ids = queryset.select(F.col(qkey).alias(KEY)).where(F.col(KEY).isNotNull()).distinct()
-    if ids.limit(max_rows + 1).count() > max_rows:
-        return source
-    return source.join(F.broadcast(ids), F.col(id_col) == F.col(KEY), "left_semi")
