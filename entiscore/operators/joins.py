@@ -81,3 +81,20 @@ def attach_counted(queryset: DataFrame, measures: DataFrame, on: str, qkey: str
     out = queryset.join(chunks, F.col(qkey) == F.col(KEY), "left")
     out = out.select(*qcols, *vals, F.explode_outer(F.sequence(F.lit(1).cast("long"), F.col("_copies"))).alias("_rep"))
     return out.select(*qcols, *vals)
+
+
+def restrict(source: DataFrame, queryset: DataFrame, id_col: str = "id", qkey: str = "targetid",
+             max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Opt-in: keep only the ``source`` rows whose id is in a small query set.
+
+    If the query set has at most ``max_rows`` rows (a bounded count that
+    stops reading after ``max_rows + 1`` rows), its ids are broadcast and
+    ``source`` is semi-joined, so later per-row work only touches queried
+    entities; otherwise ``source`` is returned unchanged. Safe for operators
+    whose measures depend on the entity row alone. Do not restrict the input
+    of operators with data-wide constants (O6's min/max, the wide reports):
+    those must see every entity."""
+    if queryset.limit(max_rows + 1).count() > max_rows:
+        return source
+    ids = queryset.select(F.col(qkey).alias(KEY))
+    return source.join(F.broadcast(ids), F.col(id_col) == F.col(KEY), "left_semi")
