@@ -260,6 +260,7 @@ def priority_report_chained(target: DataFrame, gene_essentiality: DataFrame, mou
     names = {src for src, _ in columns}
     q = P.query_set(target) if queryset is None else queryset
     chain = P.location_profile(target, membrane_terms, secreted_terms, q).select(*q.columns, "Nr_mb", "Nr_secreted")
+    q = q.select("targetid").distinct()  # each part once per id: repeated query ids are not multiplied
     parts = [
         (lambda: P.tractability_pivot(target, q), ["Nr_Pocket", "Nr_Ligand", "Nr_sMBinder"]),
         (lambda: P.safety_events(target, q), ["Nr_Event"]),
@@ -288,6 +289,7 @@ def prototype_report_chained(target: DataFrame, molecule: DataFrame, mechanism:
     """R5 built by chaining V1, V2, V3, V4, V6, V5 one join at a time (the
     independent check of :func:`prototype_report`)."""
     chain = V.biotype_binary(target, queryset).select("targetid", "Nr_biotype")
+    queryset = queryset.select("targetid").distinct()  # each part once per id
     for df, col in [
         (V.membrane_simple(target, membrane_terms, queryset), "Nr_mb"),
         (V.approved_drugs(molecule, mechanism, queryset), "Nr_drug"),

@@ -257,3 +257,20 @@ def test_threaded_chain_like_the_reference_equals_one_pass(spark):
     threaded = out.select("targetid", *[F.col(s).alias(n) for s, n in R.REPORT_COLUMNS])
     one_pass = R.priority_report(t, ge, mouse, mol, atlas, mouse, scores, ["SL-0039"], ["SL-0243"])
     assert sorted(map(repr, map(tuple, threaded.collect()))) == sorted(map(repr, map(tuple, one_pass.collect())))
+
+
+def test_one_pass_report_with_explicit_queryset_duplicates_and_absent_ids(spark):
+    import os
+
+    from entiscore.sources import fixtures as fx
+    d = "/root/testdata/sf0.001"
+    if not os.path.exists(d):
+        return
+    q = queryset(spark, "P1", "P1", "P5", "P7", "NOT_AN_ENTITY", "NOT_AN_ENTITY")
+    args = (fx.target(spark, d), fx.gene_essentiality(spark, d), fx.mouse_phenotypes(spark, d), fx.molecule(spark, d),
+            fx.tissue_atlas(spark, d), fx.mouse_phenotypes(spark, d), fx.phenotype_scores(spark, d), ["SL-0039"], ["SL-0243"])
+    one = sorted(map(repr, map(tuple, R.priority_report(*args, queryset=q).collect())))
+    chain = sorted(map(repr, map(tuple, R.priority_report_chained(*args, queryset=q).collect())))
+    assert one == chain
+    absent = [r for r in R.priority_report(*args, queryset=q).collect() if r["targetid"] == "NOT_AN_ENTITY"]
+    assert len(absent) == 2 and all(r["isSecreted"] == 0 and r["hasPocket"] is None for r in absent)
