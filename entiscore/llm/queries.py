@@ -32,9 +32,66 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
             .orderBy(F.col("first_position").asc_nulls_last(), "doc_id"))
 
 
+def _fold(id_col: str, parts: int):
+    """crc32 of the id as text, modulo ``parts``."""
+    return F.crc32(F.col(id_col).cast("string").cast("binary")) % parts
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, learnt from labels outside the held-out third."""
+    from entiscore.llm import toxicity
+
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    labels = _table(spark, sf_dir, "labels", "doc_id", "toxic").filter(_fold("doc_id", 3) != 1)
+    out = toxicity.score(docs, toxicity.train(docs, labels), keep=["doc_id"])
+    return out.select("doc_id", F.coalesce(_fold("doc_id", 3) == 1, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all documents, learnt outside the held-out quarter."""
+    from entiscore.llm import langid
+
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    model = langid.train(docs.filter(_fold("doc_id", 4) != 2))
+    out = langid.predict(docs, model, keep=["doc_id"])
+    return out.select("doc_id", F.coalesce(_fold("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base measures and the verdict of the rule cascade on all documents."""
+    from entiscore.llm import quality
+
+    return quality.cascade(_table(spark, sf_dir, "documents", "doc_id", "text"), keep=["doc_id"])
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written to WARC archives and read back. A response's size and
+    digest are those of the payload as read; a revisit's stand in its headers."""
+    from entiscore.llm import warc
+
+    back = warc.read(spark, warc.archive(_table(spark, sf_dir, "pages", "page_id", "url", "html"))).drop("payload")
+    page = lambda c: F.regexp_extract(c, "^urn:page:(.+)$", 1)
+    return back.select(F.nullif(page("record_id"), F.lit("")).cast("long").alias("page_id"), "payload_bytes",
+                       F.coalesce("actual_digest", "payload_digest").alias("payload_digest"), "record_type",
+                       F.nullif(page("refers_to"), F.lit("")).cast("long").alias("refers_to"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
+    "op2_language": op2_language,
     "op4_sharding": op4_sharding,
+    "op5_quality": op5_quality,
     "op9_mixing": op9_mixing,
+    "op10_warc": op10_warc,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op10_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+        q AS (SELECT page_id, octet_length(encode(h)) AS n, sha256(h) AS d FROM p),
+        f AS (SELECT d, min(page_id) AS first FROM q WHERE n >= 100 GROUP BY d)
+        SELECT q.page_id, q.n AS payload_bytes, q.d AS payload_digest,
+               CASE WHEN q.page_id > f.first THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN q.page_id > f.first THEN f.first END AS refers_to
+        FROM q LEFT JOIN f ON q.d = f.d""",
+}

@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 SLICE_BYTES = 1 << 21
 
@@ -103,6 +104,10 @@ class Texts:
         starts, ends = np.flatnonzero(start), np.flatnonzero(end) + 1
         return starts, ends, np.searchsorted(starts, self.offsets)
 
+    def span_hashes(self, starts: np.ndarray, ends: np.ndarray, seed: int = 1) -> np.ndarray:
+        """Hash of each byte span (see :func:`span_hash`)."""
+        return span_hash(_TABLES[seed][self.data], starts, ends, _BYTE_POWERS)
+
 
 class Words:
     """Words of every text: byte spans, word hashes and the first word of each text."""
@@ -113,12 +118,12 @@ class Words:
         self.counts = np.diff(self.first)
 
     def hashes(self, seed: int = 1) -> np.ndarray:
-        return span_hash(_TABLES[seed][self.texts.data], self.starts, self.ends, _BYTE_POWERS)
+        return self.texts.span_hashes(self.starts, self.ends, seed)
 
     def text(self, i: int) -> list[bytes]:
-        raw = self.texts.raw.tobytes() if self.texts.n == 1 else None
-        base = 0 if raw is not None else int(self.texts.offsets[i])
-        raw = raw if raw is not None else self.texts.raw[base:int(self.texts.offsets[i + 1])].tobytes()
+        """The words of text i as they stand in it."""
+        base = int(self.texts.offsets[i])
+        raw = self.texts.raw[base:int(self.texts.offsets[i + 1])].tobytes()
         a, b = self.first[i], self.first[i + 1]
         return [raw[s - base:e - base] for s, e in zip(self.starts[a:b].tolist(), self.ends[a:b].tolist(), strict=True)]
 
@@ -141,7 +146,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
     """The rows of all batches, again as batches, each with at most ``limit``
     bytes of text or one row."""
     for batch in batches:
-        sizes = pa.compute.binary_length(batch.column(batch.schema.get_field_index(column)))
+        sizes = pc.binary_length(batch.column(batch.schema.get_field_index(column)))
         total = np.concatenate([[0], np.cumsum(np.asarray(sizes.fill_null(0)).astype(np.int64))])
         at = 0
         while at < batch.num_rows:
