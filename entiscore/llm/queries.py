@@ -22,6 +22,21 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.lit(None).cast("int").alias("grown_shard"), "capacity")
 
 
+def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the words of 50-word windows that a document with a smaller id has too."""
+    from entiscore.llm import substrings
+
+    out = substrings.remove_repeats(_table(spark, sf_dir, "documents", "doc_id", "text"))
+    return out.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with the component of their links at a 4-word-shingle Jaccard of 0.85 or more."""
+    from entiscore.llm import jaccard
+
+    return jaccard.components(_table(spark, sf_dir, "documents", "doc_id", "text"), keep=["doc_id"])
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to weights 1, 2, 3 under the curriculum, in the order of their first use."""
     from entiscore.llm.mixing import mix
@@ -81,6 +96,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language": op2_language,
     "op4_sharding": op4_sharding,
     "op5_quality": op5_quality,
+    "op7_substrings": op7_substrings,
+    "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_mixing": op9_mixing,
     "op10_warc": op10_warc,
 }
