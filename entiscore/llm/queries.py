@@ -22,6 +22,14 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.lit(None).cast("int").alias("grown_shard"), "capacity")
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All occurrences of benchmark items in documents, up to a tenth of an item's words edited."""
+    from entiscore.llm import decontamination
+
+    return decontamination.leaks(_table(spark, sf_dir, "documents", "doc_id", "text"),
+                                 _table(spark, sf_dir, "benchmark", "item_id", "text")).drop("row")
+
+
 def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the words of 50-word windows that a document with a smaller id has too."""
     from entiscore.llm import substrings
@@ -96,6 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language": op2_language,
     "op4_sharding": op4_sharding,
     "op5_quality": op5_quality,
+    "op6_decontamination": op6_decontamination,
     "op7_substrings": op7_substrings,
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_mixing": op9_mixing,
