@@ -273,3 +273,20 @@ def components(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100, id_co
     rows = rows.join(named, F.col(h["node"]) == F.col("c_node"), "left")
     own = F.when(F.col("n_shingles") == 0, F.col(id_col)).otherwise(F.col("component_id"))
     return rows.select(*keep, "n_shingles", own.alias("component_id"))
+
+
+def keep_one(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each component of linked texts (a row with its smallest id; a
+    null id only if there is no other), columns as they are. Rows without
+    shingles link with nothing and stay."""
+    h = fresh(docs, "node", "n_shingles", "c_node", "c_doc")
+    narrow = stored(signatures(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), k, "text", ["id"]), "jaccard-sets")
+    classes, roots = links(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), k, num, den, "id", "text", narrow)
+    best = (classes.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root"))
+            .agg(F.min(F.struct(F.col("doc").isNull().alias("none"), "doc", "node")).alias("w"))
+            .select(F.col("w.node").alias(h["c_node"]), F.col("w.doc").alias(h["c_doc"])))
+    rows = signatures(docs, k, text_col, docs.columns)
+    # Only the winners' rows meet here, so no group of copies gathers in a task.
+    chosen = rows.join(best, (F.col(h["node"]) == F.col(h["c_node"])) & F.col(id_col).eqNullSafe(F.col(h["c_doc"])))
+    chosen = chosen.dropDuplicates([h["node"], id_col]).select(*docs.columns)
+    return chosen.unionByName(docs.filter(~F.coalesce(F.col(text_col).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))))
