@@ -13,6 +13,14 @@ def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFr
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of all documents that belong to a licence family."""
+    from entiscore.llm import licenses
+
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    return licenses.scan(docs, licenses.train(spark, docs))
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 24 contiguous shards of the smallest feasible capacity."""
     from entiscore.llm.sharding import shard
@@ -102,6 +110,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_language": op2_language,
+    "op3_licenses": op3_licenses,
     "op4_sharding": op4_sharding,
     "op5_quality": op5_quality,
     "op6_decontamination": op6_decontamination,
