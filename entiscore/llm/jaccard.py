@@ -139,6 +139,21 @@ def _keys(num: int, den: int):
     return run
 
 
+PARITY = 4  # 64-bit words of the bit sketch
+
+
+def _parity(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Bit sketches: each shingle flips one bit, so the number of bits in which
+    two sketches differ is at most the symmetric difference."""
+    for batch in batches:
+        words = np.zeros((PARITY, batch.num_rows), np.uint64)
+        for i, values in enumerate(tx.column_of(batch, "rest")):
+            h = tx.mix64(np.asarray(values.values).view(np.uint64) ^ np.uint64(0x6A09E667F3BCC909))
+            np.bitwise_xor.at(words[:, i], (h >> np.uint64(32)) % np.uint64(PARITY), np.uint64(1) << (h & np.uint64(63)))
+        yield pa.RecordBatch.from_arrays([tx.column_of(batch, "node"), *(pa.array(tx.signed(w)) for w in words)],
+                                         ["node", *(f"p{j}" for j in range(PARITY))])
+
+
 def _sampled(k: int, sample: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in tx.slices(batches, "text"):
@@ -234,10 +249,14 @@ def links(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100, id_col: st
     # What the buckets still hold across components.
     named = keys.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = named.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x < y").select("key")
-    named = stored(named.join(mixed, "key"), "jaccard-mixed")
-    x = named.select("key", *(F.col(c).alias(f"x_{c}") for c in ("node", "n", "lone", "root")), "words", "level")
-    y = named.select(F.col("key").alias("y_key"), *(F.col(c).alias(f"y_{c}") for c in ("node", "n", "lone", "root")))
+    bits = [f"p{j}" for j in range(PARITY)]
+    named = stored(named.join(mixed, "key"), "jaccard-mixed").join(
+        rest.mapInArrow(_parity, ", ".join(["node long", *(f"{b} long" for b in bits)])), "node")
+    x = named.select("key", *(F.col(c).alias(f"x_{c}") for c in ("node", "n", "lone", "root", *bits)), "words", "level")
+    y = named.select(F.col("key").alias("y_key"), *(F.col(c).alias(f"y_{c}") for c in ("node", "n", "lone", "root", *bits)))
     ok, budget = _fits("x_", "y_", num, den)
+    differing = sum((F.bit_count(F.col(f"x_{b}").bitwiseXOR(F.col(f"y_{b}"))) for b in bits), F.lit(0))
+    ok = ok & (differing <= budget)
     size = lambda level: F.ceil(F.col("words") / F.pow(F.lit(2.0), level))
     here = has_room(size(F.col("level")), budget) & ((size(F.col("level")) == 1) | ~has_room(size(F.col("level") + 1), budget))
     cross = x.join(y, (F.col("key") == F.col("y_key")) & (F.col("x_node") < F.col("y_node")) & (F.col("x_root") != F.col("y_root")) & ok & here)
