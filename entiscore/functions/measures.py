@@ -74,19 +74,20 @@ def non_empty(arr) -> Column:
     return F.coalesce(F.size(arr) > 0, F.lit(False))
 
 
-# Inverse-square partial sums  H2(n) = sum_{k=1..n} 1/k^2.
-# Up to EXACT_TERMS terms are summed directly; beyond that the Euler-Maclaurin
-# tail  pi^2/6 - 1/n + 1/(2n^2) - 1/(6n^3) + 1/(30n^5) - 1/(42n^7) + 1/(30n^9)
-# is exact to double precision, so no group ever needs a long loop.
-EXACT_TERMS = 256
+# Inverse-square partial sums H2(n) = sum_{k=1..n} 1/k^2 = pi^2/6 minus the sum
+# over all k > n. Of that, the first TAIL_START terms are taken one by one and the
+# rest by the Euler-Maclaurin series at n + TAIL_START, which is exact to double
+# precision there: one formula for every n, and no loop over n.
+TAIL_START = 10
 
 
 def _h2_sql(n: str) -> str:
     """SQL text of ``H2(n)`` for a long-valued SQL expression ``n``."""
-    tail = (f"{math.pi ** 2 / 6.0!r}D - 1D / {n} + 1D / (2D * {n} * {n}) - 1D / (6D * power({n}, 3)) "
-            f"+ 1D / (30D * power({n}, 5)) - 1D / (42D * power({n}, 7)) + 1D / (30D * power({n}, 9))")
-    exact = f"aggregate(sequence(1L, {n}), 0D, (s, k) -> s + 1D / CAST(k * k AS DOUBLE))"
-    return f"CASE WHEN {n} <= 0 THEN 0D WHEN {n} <= {EXACT_TERMS} THEN {exact} ELSE {tail} END"
+    m = f"CAST({n} + {TAIL_START} AS DOUBLE)"
+    tail = (f"1D / {m} - 1D / (2D * {m} * {m}) + 1D / (6D * power({m}, 3)) - 1D / (30D * power({m}, 5)) + 1D / (42D * power({m}, 7)) "
+            f"- 1D / (30D * power({m}, 9)) + 5D / (66D * power({m}, 11)) - 691D / (2730D * power({m}, 13))")
+    near = " + ".join(f"1D / power(CAST({n} + {j} AS DOUBLE), 2)" for j in range(1, TAIL_START + 1))
+    return f"CASE WHEN {n} <= 0 THEN 0D ELSE {math.pi ** 2 / 6.0!r}D - ({tail}) - ({near}) END"
 
 
 def inverse_square_sum(n: str) -> Column:

@@ -50,9 +50,11 @@ def part_members(exploded: DataFrame) -> DataFrame:
 
 def term_search_set(exploded: DataFrame) -> DataFrame:
     """H5: per (Name, SubcellID, Is_a) the search set ``toSearch`` = the term
-    itself, its children and its members (one level only, no closure)."""
-    ch = children(exploded).withColumnRenamed("Is_a", "_parent")
-    mb = part_members(exploded).withColumnRenamed("Is_part", "_whole")
+    itself, its children and its members (one level only, no closure). Items
+    without a parent or whole belong to no term: they are left out before
+    grouping."""
+    ch = children(exploded.where(F.col("Is_a").isNotNull())).withColumnRenamed("Is_a", "_parent")
+    mb = part_members(exploded.where(F.col("Is_part").isNotNull())).withColumnRenamed("Is_part", "_whole")
     return (
         parents(exploded)
         .join(ch, F.col("SubcellID") == F.col("_parent"), "left")
@@ -65,10 +67,12 @@ def term_search_set(exploded: DataFrame) -> DataFrame:
     )
 
 
-def terms_for_name(search_sets: DataFrame, name: str) -> DataFrame:
-    """H6: the distinct terms to search for one named term, one per row
-    (the union over the term's rows; all rows of a name carry the same set).
-    The result is a small DataFrame for the location operators, never a
-    driver-side list."""
-    return (search_sets.where(F.col("Name") == F.lit(name))
-            .select(F.explode("toSearch").alias("term")).distinct())
+def terms_for_name(exploded: DataFrame, name: str) -> DataFrame:
+    """H6: the distinct terms to search for one named term, one per row: the
+    term, its children and its members (:func:`term_search_set`'s ``toSearch``,
+    read from the long form, so no list is built). The result is a small
+    DataFrame for the location operators, never a driver-side list."""
+    named = exploded.where(F.col("Name") == F.lit(name)).select(F.col("SubcellID").alias("_t")).distinct()
+    below = exploded.select("SubcellID", F.explode(F.array("Is_a", "Is_part")).alias("_up")).where(F.col("_up").isNotNull())
+    found = below.join(named, F.col("_up") == F.col("_t"), "left_semi").select(F.col("SubcellID").alias("term"))
+    return named.select(F.col("_t").alias("term")).unionByName(found).distinct()

@@ -1,4 +1,4 @@
-"""Join helpers: attaching measures to a query set, and checked broadcasts.
+"""Join helpers: attaching measures to a query set.
 
 Every scoring operator ends by right-joining its measures onto the query
 set (``queryset LEFT JOIN measures``). Two helpers cover the two shapes:
@@ -9,9 +9,9 @@ set (``queryset LEFT JOIN measures``). Two helpers cover the two shapes:
 * fan-out measures (several rows per key, e.g. duplicate records):
   - :func:`attach_counted` for categorical measures (few distinct values
     per key): rows are counted per (key, value) with map-side combine, the
-    counts are split into bounded chunks, joined (a few rows per key, bounded
-    by the value vocabulary) and replicated after the join. No shuffle ever
-    sees a hot key's raw rows and the query set is read once.
+    counts are split into bounded chunks, joined, dealt out by (key, chunk)
+    and only then copied. No shuffle ever sees a hot key's raw rows and no
+    task makes all copies of a hot key.
   - ``attach(..., fanout=True)`` for open-ended values: the left join is
     split into an inner join plus an anti join against the *distinct* keys.
     Spark's adaptive skew handling can split a hot key on either side of an
@@ -26,21 +26,6 @@ from pyspark.sql import functions as F
 
 KEY = "__key"
 
-# Lookup tables (e.g. score tables) are broadcast only below this
-# many rows; above it the plan falls back to a shuffle join.
-DEFAULT_BROADCAST_ROWS = 100_000
-
-
-def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only if it has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows, so it is cheap for small
-    lookups and bounded for large ones. Above the bound the frame is returned
-    unhinted and Spark plans a shuffle join.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
 
 def attach(queryset: DataFrame, measures: DataFrame, on: str, qkey: str = "targetid",
            fanout: bool = False) -> DataFrame:
@@ -60,41 +45,37 @@ def attach(queryset: DataFrame, measures: DataFrame, on: str, qkey: str = "targe
     return matched.unionByName(unmatched, allowMissingColumns=True)
 
 
-def attach_counted(queryset: DataFrame, measures: DataFrame, on: str, qkey: str = "targetid",
-                   chunk: int = 1 << 16) -> DataFrame:
-    """``queryset LEFT JOIN measures`` for fan-out measures with few distinct
-    values per key (category scores, flags): same rows as the plain join.
+CHUNK = 1 << 12
 
-    Each (key, value tuple) is counted (map-side combined, so a hot key's
-    rows are combined before any shuffle) and the count is split into chunks
-    of at most ``chunk``. The join therefore meets at most (distinct value
-    tuples x chunks) rows per key, however many raw rows the key has, and
-    the copies are generated after the join, chunk by chunk, so no task
-    holds an array as long as a hot key's count; the rows stream out."""
+
+def counted(measures: DataFrame, on: str, name: str, chunk: int = CHUNK) -> DataFrame:
+    """Fan-out measures as ``__key_<name>``, their value columns, and the chunk
+    ``_chunk_<name>`` of ``_copies_<name>`` (at most ``chunk``) equal rows that
+    each row stands for. Counting is combined map-side, so a hot key's raw rows
+    are never shuffled."""
     vals = [c for c in measures.columns if c != on]
     size = F.lit(chunk).cast("long")
-    counted = measures.groupBy(F.col(on).alias(KEY), *vals).agg(F.count(F.lit(1)).alias("_n"))
-    chunks = (counted.select(KEY, *vals, "_n", F.explode(
-                  F.sequence(F.lit(0).cast("long"), F.floor((F.col("_n") - 1) / size).cast("long"))).alias("_chunk"))
-              .select(KEY, *vals, F.least(size, F.col("_n") - F.col("_chunk") * size).alias("_copies")))
-    qcols = queryset.columns
-    out = queryset.join(chunks, F.col(qkey) == F.col(KEY), "left")
-    out = out.select(*qcols, *vals, F.explode_outer(F.sequence(F.lit(1).cast("long"), F.col("_copies"))).alias("_rep"))
-    return out.select(*qcols, *vals)
-
-
-def restrict(source: DataFrame, queryset: DataFrame, id_col: str = "id", qkey: str = "targetid",
-             max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Opt-in: keep only the ``source`` rows whose id is in a small query set.
-
-    If the query set has at most ``max_rows`` rows (a bounded count that
-    stops reading after ``max_rows + 1`` rows), its ids are broadcast and
-    ``source`` is semi-joined, so later per-row work only touches queried
-    entities; otherwise ``source`` is returned unchanged. Safe for operators
-    whose measures depend on the entity row alone. Do not restrict the input
-    of operators with data-wide constants (O6's min/max, the wide reports):
-    those must see every entity."""
-    if queryset.limit(max_rows + 1).count() > max_rows:
-        return source
-    ids = queryset.select(F.col(qkey).alias(KEY))
-    return source.join(F.broadcast(ids), F.col(id_col) == F.col(KEY), "left_semi")
+    n = measures.groupBy(F.col(on).alias(f"{KEY}_{name}"), *vals).agg(F.count(F.lit(1)).alias("_n"))
+    last = F.floor((F.col("_n") - 1) / size).cast("long")
+    return (n.select("*", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias(f"_chunk_{name}"))
+            .withColumn(f"_copies_{name}", F.least(size, F.col("_n") - F.col(f"_chunk_{name}") * size)).drop("_n"))
+
+
+def attach_counted(queryset: DataFrame, *measures: tuple[DataFrame, str], qkey: str = "targetid", chunk: int = CHUNK) -> DataFrame:
+    """``queryset LEFT JOIN measures`` for each ``(measures, key column)`` whose
+    values are few per key (category scores, flags): the rows of the plain joins.
+
+    All counted frames (:func:`counted`) are joined first, which meets at most
+    (value tuples x chunks) rows a key; then rows are dealt out by key and
+    chunk, and only then copied. A hot key's copies are so spread over as many
+    tasks as it has chunks."""
+    out, names, vals = queryset, [str(i) for i in range(len(measures))], []
+    for name, (frame, on) in zip(names, measures, strict=True):
+        vals += [c for c in frame.columns if c != on]
+        key = f"{KEY}_{name}"
+        out = out.join(counted(frame, on, name, chunk), F.col(qkey) == F.col(key), "left").drop(key)
+    out = out.repartition(qkey, *[f"_chunk_{n}" for n in names])
+    for n in names:
+        copies = F.sequence(F.lit(1).cast("long"), F.coalesce(F.col(f"_copies_{n}"), F.lit(1).cast("long")))
+        out = out.withColumn("_copy", F.explode(copies)).drop("_copy")
+    return out.select(*queryset.columns, *vals)

@@ -1,10 +1,11 @@
 """Interaction partners, drugs and disease areas.
 
 Entities are matched to drugs through their interaction partners, and
-drug–disease areas are matched to entity–disease areas. Internally every
-step works on long (key, value) pairs and joins; drug lists per key are
-only built where a list is the published output (N2, N3, N10), so no
-pipeline step has to gather a hot key's values into one row.
+drug–disease areas are matched to entity–disease areas. Every step works on
+long (key, value) pairs and joins; drug lists per key are built last, and
+only where a list is the published output (N2, N3, N7, N10). Such a list is as
+long as its key has drugs; the long forms (:func:`drug_target_pairs`,
+:func:`partner_drug_pairs`, :func:`matched_triples`) are there for keys of any size.
 """
 
 from __future__ import annotations
@@ -43,37 +44,60 @@ def drugs_per_target(molecule: DataFrame, targets_col: str = "linkedTargets.rows
             .groupBy("target").agg(F.sort_array(F.collect_list("drug")).alias("CHEMBL")))
 
 
-def _kept_edges(interaction: DataFrame, source: str, min_score: float) -> DataFrame:
+def kept_edges(interaction: DataFrame, source: str = PARTNER_SOURCE, min_score: float = PARTNER_MIN_SCORE) -> DataFrame:
+    """Edges from ``source`` with ``scoring > min_score``, one per (targetA,
+    targetB), with the largest ``scoring`` and the ``sourceDatabase``."""
     return (interaction.where((F.col("sourceDatabase") == F.lit(source)) & (F.col("scoring") > F.lit(min_score)))
-            .select(F.col("targetA"), F.col("targetB")).distinct())
+            .groupBy("targetA", "targetB").agg(F.first("sourceDatabase").alias("sourceDatabase"), F.max("scoring").alias("scoring")))
 
 
 def partner_edges(interaction: DataFrame, queryset: DataFrame, source: str = PARTNER_SOURCE,
                   min_score: float = PARTNER_MIN_SCORE) -> DataFrame:
-    """Distinct ``(targetid, targetB)`` partner edges of the query-set ids
-    from ``source`` with ``scoring > min_score``; ids without partners keep
-    one row with a null partner. Ids are deduplicated before the join and
-    edges are distinct, so the result needs no further dedupe."""
+    """Distinct partner edges of the query-set ids: ``targetid, targetA,
+    targetB, sourceDatabase, scoring``; ids without partners keep one row of
+    nulls. Ids are deduplicated before the join and edges are distinct, so the
+    result needs no further dedupe."""
     ids = queryset.select("targetid").distinct()
-    return attach(ids, _kept_edges(interaction, source, min_score), on="targetA", fanout=True)
+    edges = kept_edges(interaction, source, min_score).withColumn("_a", F.col("targetA"))
+    return attach(ids, edges, on="_a", fanout=True)
+
+
+def reached_drugs(molecule: DataFrame, interaction: DataFrame, queryset: DataFrame, source: str = PARTNER_SOURCE,
+                  min_score: float = PARTNER_MIN_SCORE, repeats: bool = True) -> DataFrame:
+    """``(entity, drug)`` for every drug link of every partner of a query-set
+    id (inner joins; repeats kept, or each pair once)."""
+    if not repeats:  # then repeated edges need no step of their own
+        edges = interaction.where((F.col("sourceDatabase") == F.lit(source)) & (F.col("scoring") > F.lit(min_score))).select("targetA", "targetB")
+        met = edges.join(drug_target_pairs(molecule), F.col("targetB") == F.col("target"), "inner")
+        pairs = met.groupBy(F.col("targetA").alias("entity"), "drug").agg(F.lit(1).alias("_one")).drop("_one")
+        return pairs.join(queryset, F.col("entity") == F.col("targetid"), "left_semi")
+    ids = queryset.select("targetid").distinct()
+    edges = kept_edges(interaction, source, min_score).select("targetA", "targetB")
+    mine = edges.join(ids, F.col("targetA") == F.col("targetid"), "inner").select(F.col("targetid").alias("entity"), "targetB")
+    return mine.join(drug_target_pairs(molecule), F.col("targetB") == F.col("target"), "inner").select("entity", "drug")
 
 
-def partner_pairs(interaction: DataFrame, queryset: DataFrame, source: str = PARTNER_SOURCE,
-                  min_score: float = PARTNER_MIN_SCORE) -> DataFrame:
-    """Only the matched ``(targetid, targetB)`` edges (inner join: the steps
-    that use them drop entities without partners anyway)."""
-    ids = queryset.select("targetid").distinct()
-    return ids.join(_kept_edges(interaction, source, min_score), F.col("targetid") == F.col("targetA"), "inner").select(
-        "targetid", "targetB")
+def partner_drug_pairs(molecule: DataFrame, interaction: DataFrame, queryset: DataFrame,
+                       source: str = PARTNER_SOURCE, min_score: float = PARTNER_MIN_SCORE) -> DataFrame:
+    """Long form of N3: the edge columns and one ``drug`` a row (null without)."""
+    edges = partner_edges(interaction, queryset, source, min_score)
+    return attach(edges, drug_target_pairs(molecule), on="target", qkey="targetB", fanout=True)
+
+
+EDGE_COLUMNS = ("targetid", "targetA", "targetB", "sourceDatabase", "scoring")
 
 
 def partner_drugs(molecule: DataFrame, interaction: DataFrame, queryset: DataFrame,
                   source: str = PARTNER_SOURCE, min_score: float = PARTNER_MIN_SCORE) -> DataFrame:
-    """Each entity's partners (``targetB``) and the partner's drug list
-    ``CHEMBL`` (null when the partner has no drug or there is no partner)."""
+    """Each entity's partner edges and the partner's drug list ``CHEMBL``
+    (sorted, repeats kept; null when the partner has no drug or there is no
+    partner)."""
     edges = partner_edges(interaction, queryset, source, min_score)
-    lists = drugs_per_target(molecule)
-    return edges.join(lists, F.col("targetB") == F.col("target"), "left").drop("target")
+    return _with_drugs(edges, molecule)
+
+
+def _with_drugs(edges: DataFrame, molecule: DataFrame) -> DataFrame:
+    return edges.join(drugs_per_target(molecule), F.col("targetB") == F.col("target"), "left").drop("target")
 
 
 def disease_areas(diseases: DataFrame, id_col: str = "id", areas_col: str = "therapeuticAreas") -> DataFrame:
@@ -87,10 +111,7 @@ def drug_disease_area(molecule: DataFrame, interaction: DataFrame, diseases: Dat
     the drug through a partner; repeats kept. Drugs of partners are matched
     by an inner join (edges without a drug drop out), diseases and areas
     by outer joins."""
-    edges = partner_pairs(interaction, queryset, source, min_score)
-    pairs = drug_target_pairs(molecule)
-    reached = edges.join(pairs, F.col("targetB") == F.col("target"), "inner").select(
-        F.col("drug"), F.col("targetid").alias("_entity"))
+    reached = reached_drugs(molecule, interaction, queryset, source, min_score).withColumnRenamed("entity", "_entity")
     drug_dis = molecule.select(F.col("id").alias("_d"), F.explode_outer("linkedDiseases.rows").alias("inddisease_name"))
     areas = disease_areas(diseases).withColumnRenamed("id", "_dis")
     return (
@@ -118,38 +139,43 @@ def pairs_from_csv(pairs: DataFrame, symbol_map: DataFrame, symbol_col: str = "h
     )
 
 
-def partner_names(partners: DataFrame, target: DataFrame, id_col: str = "id",
-                  symbol_col: str = "approvedSymbol") -> DataFrame:
-    """Attach the partner's symbol ``Symbol_targetB`` to N3 rows."""
+def partner_names(molecule: DataFrame, interaction: DataFrame, queryset: DataFrame, target: DataFrame, id_col: str = "id",
+                  symbol_col: str = "approvedSymbol", source: str = PARTNER_SOURCE, min_score: float = PARTNER_MIN_SCORE) -> DataFrame:
+    """N3 with the partner's symbol ``Symbol_targetB``. Symbols are joined
+    to the bare edges; the drug lists come last."""
     names = target.select(F.col(id_col).alias("_pid"), F.col(symbol_col).alias("Symbol_targetB"))
-    return partners.join(names, F.col("targetB") == F.col("_pid"), "left").drop("_pid")
+    edges = partner_edges(interaction, queryset, source, min_score)
+    return _with_drugs(edges.join(names, F.col("targetB") == F.col("_pid"), "left").drop("_pid"), molecule)
 
 
 def target_drug_pairs(pairs: DataFrame, molecule: DataFrame, interaction: DataFrame, queryset: DataFrame,
                       source: str = PARTNER_SOURCE, min_score: float = PARTNER_MIN_SCORE) -> DataFrame:
     """entity–disease–area rows (N6) with every drug reachable through a
-    partner (``ChEMBL``), repeats kept; rows without such a drug keep a null."""
-    edges = partner_pairs(interaction, queryset, source, min_score)
-    reached = edges.join(drug_target_pairs(molecule), F.col("targetB") == F.col("target"), "inner").select(
-        F.col("targetid").alias("_entity"), F.col("drug").alias("ChEMBL"))
-    out = attach(pairs, reached, on="_entity", qkey="id", fanout=True)
-    return out.select("id", "ChEMBL", "ind_disease_therapy", "ind_disease_name")
-
-
-def matched_triples(entity_side: DataFrame, drug_side: DataFrame) -> DataFrame:
-    """Distinct (entity, drug, area) present on both sides: N8 rows
-    matched to N5 rows on area, entity and drug. Both sides are reduced to
-    their distinct keys before the join (the output is distinct on exactly
-    those keys), so repeated rows never multiply inside the join."""
-    left = entity_side.select("id", "ChEMBL", "ind_disease_therapy").where(
-        F.col("ChEMBL").isNotNull() & F.col("ind_disease_therapy").isNotNull()).distinct()
-    right = drug_side.select(F.col("target").alias("_t"), F.col("drug").alias("_drug"),
-                             F.col("IndTherAreaDrug")).where(F.col("IndTherAreaDrug").isNotNull()).distinct()
-    return (
-        left.join(right, (F.col("ind_disease_therapy") == F.col("IndTherAreaDrug"))
-                  & (F.col("id") == F.col("_t")) & (F.col("ChEMBL") == F.col("_drug")), "inner")
-        .select("id", "ChEMBL", "ind_disease_therapy", "IndTherAreaDrug")
-    )
+    partner (``ChEMBL``), repeats kept; rows without such a drug keep a null.
+    The pair rows are the preserved side of one left join, whose large
+    partitions Spark can split."""
+    reached = reached_drugs(molecule, interaction, queryset, source, min_score)
+    out = pairs.join(reached, F.col("id") == F.col("entity"), "left")
+    return out.select("id", F.col("drug").alias("ChEMBL"), "ind_disease_therapy", "ind_disease_name")
+
+
+def matched_triples(pairs: DataFrame, molecule: DataFrame, interaction: DataFrame, diseases: DataFrame, queryset: DataFrame,
+                    source: str = PARTNER_SOURCE, min_score: float = PARTNER_MIN_SCORE) -> DataFrame:
+    """Distinct (entity, drug, area) present on both sides: N8 rows matched
+    to N5 rows on area, entity and drug.
+
+    Both sides hold the same (entity, drug) pairs, so those are made once, as
+    distinct ones, then joined with the entity's areas (N6) and kept where one
+    of the drug's diseases has that area."""
+    reached = reached_drugs(molecule, interaction, queryset, source, min_score, repeats=False)
+    # An entity's areas: at most the number of therapy areas there are.
+    wanted = (pairs.where(F.col("ind_disease_therapy").isNotNull()).groupBy("id").agg(F.collect_set("ind_disease_therapy").alias("_areas")))
+    disease = molecule.select(F.col("id").alias("_d"), F.explode("linkedDiseases.rows").alias("_dis"))
+    areas = disease_areas(diseases).where(F.col("IndTherArea").isNotNull()).withColumnRenamed("id", "_area_of")
+    drug_areas = disease.join(areas, F.col("_dis") == F.col("_area_of")).select("_d", "IndTherArea")
+    both = reached.join(wanted, F.col("entity") == F.col("id")).select("id", "drug", F.explode("_areas").alias("ind_disease_therapy")).join(
+        drug_areas, (F.col("drug") == F.col("_d")) & (F.col("ind_disease_therapy") == F.col("IndTherArea")), "left_semi")
+    return both.select("id", F.col("drug").alias("ChEMBL"), "ind_disease_therapy", F.col("ind_disease_therapy").alias("IndTherAreaDrug"))
 
 
 def matched_drugs(triples: DataFrame) -> DataFrame:

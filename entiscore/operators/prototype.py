@@ -52,8 +52,8 @@ def approved_drugs(molecule: DataFrame, mechanism: DataFrame, queryset: DataFram
 
     Drugs are matched to mechanisms through ``chemblIds``; each (entity, drug)
     pair keeps the smallest action type (the prototype kept an arbitrary one).
-    Both lists are ordered by drug id, so position i of one matches position
-    i of the other."""
+    Both lists are ordered by drug id; drugs without an action type have no
+    entry in the second, so the two need not be equally long."""
     q = _require(queryset, "approved_drugs")
     return attach(q, approved_drug_lists(molecule, mechanism, targets_col), on="id")
 
@@ -96,7 +96,7 @@ def probe_moa_counts(target: DataFrame, queryset: DataFrame | None = None, id_co
 
     def url_count(m: Column) -> Column:
         return F.aggregate(F.filter("_hq", lambda p: p["mechanismOfAction"] == m), F.lit(0).cast("long"),
-                           lambda acc, p: acc + F.coalesce(F.size(p["urls"]), F.lit(0)).cast("long"))
+                           lambda acc, p: acc + F.when(p["urls"].isNotNull(), F.size(p["urls"])).otherwise(F.lit(0)).cast("long"))
 
     counted = F.transform(moas, lambda m: F.struct(m.alias("m"), url_count(m).alias("n")))
     labels = F.sort_array(F.transform(F.filter(counted, lambda c: c["n"] > 0),
@@ -112,13 +112,15 @@ def probe_moa_counts(target: DataFrame, queryset: DataFrame | None = None, id_co
 def constraint_bands(target: DataFrame, queryset: DataFrame | None = None, id_col: str = "id",
                      arr_col: str = "constraint", center: float = BAND_CENTER, scale: float = BAND_SCALE,
                      constraint_type: str = LOF) -> DataFrame:
-    """V5: ``cal_score = (rank - 9456) / 19196`` per lof element and a band
+    """V5: ``constraintType`` and ``cal_score = (rank - 9456) / 19196`` per lof element and a band
     '-1' (< -0.1), '0' (within ±0.0999999), '1' (> 0.1); the gaps, exactly
     ±0.1 included, give null."""
     lof = _lof(F.col(arr_col), constraint_type)
     m = target.select(F.col(id_col).alias("id"),
-                      F.transform(lof, lambda c: (c["upperRank"] - F.lit(center)) / F.lit(scale)).alias("scores"))
-    out = _finish(m, queryset).withColumn("cal_score", F.explode_outer("scores")).drop("scores")
+                      F.transform(lof, lambda c: F.struct(c["constraintType"].alias("constraintType"),
+                                                          ((c["upperRank"] - F.lit(center)) / F.lit(scale)).alias("cal_score"))).alias("scores"))
+    out = _finish(m, queryset).withColumn("_s", F.explode_outer("scores")).drop("scores")
+    out = out.select("*", "_s.constraintType", "_s.cal_score").drop("_s")
     return out.withColumn("selection", bands(F.col("cal_score"), BAND_LOWER, BAND_UPPER, BAND_INNER_LO, BAND_INNER_HI))
 
 

@@ -12,9 +12,9 @@ The wide reports are planned in one pass instead of a chain of joins:
 3. the fan-out measures (location info rows, several lof rows, several
    essentiality entries, duplicate atlas records) are attached last: the
    in-row arrays are exploded in place, and the side-table fan-outs are
-   counted per (id, value), joined 1:1 and replicated
-   (:func:`~entiscore.operators.joins.attach_counted`), so the row
-   multiplication happens after all shuffles.
+   counted per (id, value), all joined as counts, dealt out by (id, chunk)
+   and copied last (:func:`~entiscore.operators.joins.attach_counted`), so
+   no task makes all rows of a hot id.
 
 The result has the same rows as chaining the operators by right joins.
 """
@@ -25,22 +25,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from entiscore.functions.measures import minmax_scaled
-from entiscore.operators import properties as P
 from entiscore.operators import prototype as V
 from entiscore.operators.joins import attach, attach_counted
 from entiscore.operators.properties import (
+    LOCATION_EVIDENCE,
     LOF,
     PROTEIN_CODING,
-    _location_measures_by_join,
     _lof,
-    term_array,
-    too_many_terms,
-    rank_range,
-    location_labels,
-    MAX_TERMS,
     driver_measures,
     essentiality_values,
     location_class,
+    location_evidence,
     location_results,
     max_phase_per_target,
     membrane_flag,
@@ -49,9 +44,11 @@ from entiscore.operators.properties import (
     paralog_measures,
     phenotype_scaled,
     probe_measures,
+    rank_range,
     safety_measures,
     secreted_flag,
     tep_measures,
+    term_array,
     tissue_values,
     tractability_measures,
 )
@@ -100,8 +97,7 @@ REPORT_COLUMNS_V1 = [
 ]
 
 
-def entity_measures(target: DataFrame, membrane_terms, secreted_terms, id_col: str = "id",
-                    max_terms: int = MAX_TERMS) -> DataFrame:
+def entity_measures(target: DataFrame, membrane_terms, secreted_terms, id_col: str = "id") -> DataFrame:
     """All same-row measures of the entity table in one scan; the entity rows
     are not shuffled. (The lof min/max and DataFrame term lists are scalar
     subqueries: one small global aggregate each.)
@@ -122,29 +118,19 @@ def entity_measures(target: DataFrame, membrane_terms, secreted_terms, id_col: s
 
     lof = _lof(F.col("constraint"), LOF)
     mn, mx = rank_range(target)
-    big = too_many_terms(membrane_terms, max_terms) or too_many_terms(secreted_terms, max_terms)
     b = target.select(F.col(id_col).alias("id"), F.col("subcellularLocations").alias("_locs"),
                       lof.alias("_lof"), *bases)
     base_names = [c for c in b.columns if c not in ("id", "_locs", "_lof")]
     b = b.select("*", mn.alias("_mn"), mx.alias("_mx"),
-                 *([] if big else [term_array(membrane_terms).alias("_mterms"), term_array(secreted_terms).alias("_sterms")]))
-    labels = None if big else location_labels(F.col("_locs"), F.col("_mterms"), F.col("_sterms"))
+                 term_array(membrane_terms).alias("_mterms"), term_array(secreted_terms).alias("_sterms"))
     step1 = b.select(
         "id",
-        *([labels.alias("_labels")] if labels is not None else []),
+        *location_evidence(F.col("_locs"), F.col("_mterms"), F.col("_sterms")),
         location_results(F.col("_locs")).alias("results"),
         F.transform("_lof", lambda c: minmax_scaled(c["upperRank"], F.col("_mn"), F.col("_mx"))).alias("scores"),
         *base_names,
     )
-    step2 = step1.select(
-        "id",
-        *([location_class(F.col("_labels")).alias("loc")] if labels is not None else []),
-        "results", "scores", *derives,
-    )
-    if labels is None:
-        loc = _location_measures_by_join(target, membrane_terms, secreted_terms, id_col, "subcellularLocations")
-        step2 = step2.join(loc.select("id", "loc"), "id", "left")
-    return step2
+    return step1.select("id", location_class().alias("loc"), "results", "scores", *derives)
 
 
 def _wide_report(target, gene_essentiality, mouse, molecule, atlas, mouse_phenotypes, phenotype_scores,
@@ -164,10 +150,11 @@ def _wide_report(target, gene_essentiality, mouse, molecule, atlas, mouse_phenot
     if "scaledHarmonicSum" in names:
         wide = attach(wide, phenotype_scaled(mouse_phenotypes, phenotype_scores), on="id")
 
-    # fan-out measures, attached last
+    # fan-out measures last: joined as counts, dealt out by key and chunk, copied at the end
+    fans = [(tissue_values(atlas).drop("specificity", "distribution"), "id")]
     if "Nr_essential" in names:
-        wide = attach_counted(wide, essentiality_values(gene_essentiality), on="id")
-    wide = attach_counted(wide, tissue_values(atlas), on="id")
+        fans.append((essentiality_values(gene_essentiality), "id"))
+    wide = attach_counted(wide, *fans)
     keep = [c for c in wide.columns if c not in ("results", "scores")]
     wide = (wide.select(*keep, F.explode_outer("results").alias("result"), "scores")
                 .select(*keep, "result", F.explode_outer("scores").alias("cal_score")))
@@ -231,7 +218,7 @@ def prototype_report(target: DataFrame, molecule: DataFrame, mechanism: DataFram
                          term_array(membrane_terms).alias("_mterms"))
     hit = F.coalesce(F.exists("_locs", lambda x: F.array_contains(F.col("_mterms"), x["termSL"])), F.lit(False))
     hq = F.exists("_probes", lambda p: F.coalesce(p["isHighQuality"], F.lit(False)) & p["mechanismOfAction"].isNotNull()
-                  & (F.coalesce(F.size(p["urls"]), F.lit(0)) > 0))
+                  & F.coalesce(F.size(p["urls"]) > 0, F.lit(False)))
     rows = base.select(
         "id",
         F.when(F.col("biotype") == PROTEIN_CODING, F.lit(1)).otherwise(F.lit(0)).alias("Nr_biotype"),
@@ -247,60 +234,6 @@ def prototype_report(target: DataFrame, molecule: DataFrame, mechanism: DataFram
     return out.select("targetid", "Nr_biotype", "Nr_mb", "Nr_drug", "Nr_chprob", "Nr_Mousemodels", "cal_score")
 
 
-def priority_report_chained(target: DataFrame, gene_essentiality: DataFrame, mouse: DataFrame,
-                            molecule: DataFrame, atlas: DataFrame, mouse_phenotypes: DataFrame,
-                            phenotype_scores: DataFrame, membrane_terms, secreted_terms,
-                            queryset: DataFrame | None = None, columns=None) -> DataFrame:
-    """R1 (or, with ``columns=REPORT_COLUMNS_V1``, R2) built the
-    straightforward way: every operator on its own, joined one after another
-    on the query set. Same rows as :func:`priority_report`; kept as the
-    comparison baseline for the one-pass plan (bench) and as an independent
-    check of it (tests)."""
-    columns = REPORT_COLUMNS if columns is None else columns
-    names = {src for src, _ in columns}
-    q = P.query_set(target) if queryset is None else queryset
-    chain = P.location_profile(target, membrane_terms, secreted_terms, q).select(*q.columns, "Nr_mb", "Nr_secreted")
-    q = q.select("targetid").distinct()  # each part once per id: repeated query ids are not multiplied
-    parts = [
-        (lambda: P.tractability_pivot(target, q), ["Nr_Pocket", "Nr_Ligand", "Nr_sMBinder"]),
-        (lambda: P.safety_events(target, q), ["Nr_Event"]),
-        (lambda: P.constraint_minmax(target, q), ["cal_score"]),
-        (lambda: P.paralog_ramp(target, q), ["Nr_paralogs"]),
-        (lambda: P.ortholog_ramp(target, q), ["Nr_ortholog"]),
-        (lambda: P.driver_flag(target, q), ["Nr_CDG"]),
-        (lambda: P.essentiality(gene_essentiality, q), ["Nr_essential"]),
-        (lambda: P.tep_flag(target, q), ["Nr_TEP"]),
-        (lambda: P.mouse_models(mouse, q), ["Nr_Mousemodels"]),
-        (lambda: P.chemical_probes(target, q), ["Nr_chprob"]),
-        (lambda: P.clinical_phase(molecule, q), ["maxClinTrialPhase", "inClinicalTrials"]),
-        (lambda: P.tissue_scores(atlas, q), ["Nr_specificity", "Nr_distribution"]),
-        (lambda: P.phenotype_harmonic(mouse_phenotypes, phenotype_scores, q), ["scaledHarmonicSum"]),
-    ]
-    for build, cols in parts:
-        if not names.intersection(cols):
-            continue
-        chain = chain.join(build().select(F.col("targetid").alias("_k"), *cols),
-                           F.col("targetid") == F.col("_k"), "left").drop("_k")
-    return chain.select("targetid", *[F.col(src).alias(dst) for src, dst in columns])
-
-
-def prototype_report_chained(target: DataFrame, molecule: DataFrame, mechanism: DataFrame, mouse: DataFrame,
-                             membrane_terms, queryset: DataFrame) -> DataFrame:
-    """R5 built by chaining V1, V2, V3, V4, V6, V5 one join at a time (the
-    independent check of :func:`prototype_report`)."""
-    chain = V.biotype_binary(target, queryset).select("targetid", "Nr_biotype")
-    queryset = queryset.select("targetid").distinct()  # each part once per id
-    for df, col in [
-        (V.membrane_simple(target, membrane_terms, queryset), "Nr_mb"),
-        (V.approved_drugs(molecule, mechanism, queryset), "Nr_drug"),
-        (V.probe_moa_counts(target, queryset), "Nr_chprob"),
-        (V.mouse_models_flag(mouse, queryset), "Nr_Mousemodels"),
-        (V.constraint_bands(target, queryset), "cal_score"),
-    ]:
-        chain = chain.join(df.select(F.col("targetid").alias("_k"), col), F.col("targetid") == F.col("_k"), "left").drop("_k")
-    return chain.select("targetid", "Nr_biotype", "Nr_mb", "Nr_drug", "Nr_chprob", "Nr_Mousemodels", "cal_score")
-
-
 def priority_report_from_files(spark, target: str, gene_essentiality: str, mouse: str, molecule: str,
                                tissue_atlas_json: str, mouse_phenotypes: str, phenotype_scores_csv: str,
                                term_list_tsv: str, membrane_name: str = "Cell membrane",
@@ -315,7 +248,7 @@ def priority_report_from_files(spark, target: str, gene_essentiality: str, mouse
     from entiscore.sources import io
 
     terms = io.scan_delimited(spark, term_list_tsv, sep="\t", schema=io.TERM_SCHEMA)
-    search_sets = H.term_search_set(H.explode_multivalue(terms))
+    exploded = H.explode_multivalue(terms)
     return priority_report(
         io.scan_entities(spark, target),
         io.scan_parquet(spark, gene_essentiality),
@@ -324,7 +257,7 @@ def priority_report_from_files(spark, target: str, gene_essentiality: str, mouse
         io.scan_json_records(spark, tissue_atlas_json),
         io.scan_parquet(spark, mouse_phenotypes),
         io.scan_delimited(spark, phenotype_scores_csv, sep=",", schema=io.PHENOTYPE_SCORE_SCHEMA),
-        H.terms_for_name(search_sets, membrane_name),
-        H.terms_for_name(search_sets, secreted_name),
+        H.terms_for_name(exploded, membrane_name),
+        H.terms_for_name(exploded, secreted_name),
         queryset,
     )

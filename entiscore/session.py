@@ -8,11 +8,11 @@ data find the shared folder the cluster names in ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "entiscore",
@@ -29,7 +29,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     for k, v in (conf or {}).items():
@@ -43,24 +43,32 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a local one only if unset.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is. Only when nothing is configured (local runs, tests) is a fresh
-    folder under the system temp directory created.
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
+    is; without it this raises, for a folder of one machine would lose data.
+    Only a ``local`` master (tests, bench) gets a fresh temporary folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    if conf_dir:
-        sc.setCheckpointDir(conf_dir)
-        return sc.getCheckpointDir() or conf_dir
-    local_dir = tempfile.mkdtemp(prefix="entiscore-ckpt-")
-    sc.setCheckpointDir(local_dir)
-    return sc.getCheckpointDir() or local_dir
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        shared = tempfile.mkdtemp(prefix="entiscore-ckpt-")
+    sc.setCheckpointDir(shared)
+    return sc.getCheckpointDir() or shared
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, "scratch", f"{name}-{uuid.uuid4().hex}")
+    return f"{base.rstrip('/')}/scratch/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The frame written to the shared checkpoint folder and read back, so that
+    later jobs survive lost executors and do not run its plan again."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

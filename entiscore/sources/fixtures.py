@@ -6,8 +6,8 @@ runs unchanged in Spark and DuckDB (see FIXTURES.md): Spark nests the flat
 rows into the domain shape (arrays of structs per entity) and the DuckDB
 oracles read the same flat rows directly.
 
-Entity = ``part`` with id ``concat('P', p_partkey)``. Each nested array is a
-disjoint slice of ``lineitem``.
+Entity = ``part`` with id ``concat('P', p_partkey)``. Every view, and so every
+nested array, covers the whole of its table.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ def _cached(builder: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spar
         if saved is None:
             return builder(spark, sf_dir)
         base, schemas = saved
-        if name == "target":  # entity table: read only the nested fields the operators use
+        if name in ("target", "target_rows"):  # entity table: read only the nested fields the operators use
             return scan_entities(spark, os.path.join(base, name))
         return spark.read.schema(schemas[name]).parquet(os.path.join(base, name))
 
@@ -42,99 +42,110 @@ def _cached(builder: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spar
     build.uncached = builder
     return build
 
-# Fixed stand-in definitions (FIXTURES.md §2): view -> (table, where, columns).
-FLAT_VIEWS: dict[str, tuple[str, str, list[str]]] = {
-    "f_target": ("part", "true", [
+# Stand-in definitions (FIXTURES.md §2): view -> (table, columns). Every view
+# covers its whole table; rows that an operator should pass over get values it
+# does not look for.
+FLAT_VIEWS: dict[str, tuple[str, list[str]]] = {
+    "f_query": ("orders", [
+        "case when o_orderkey % 10 = 0 then concat('P', o_custkey) else concat('P', o_orderkey) end as targetid",
+    ]),
+    "f_target": ("part", [
         "concat('P', p_partkey) as id",
         "p_name as approvedSymbol",
         "case p_type when 'STANDARD' then 'protein_coding' when 'SMALL' then '' when 'PROMO' then null else lower(p_type) end as biotype",
         "case when p_size % 5 <> 0 then null when p_size % 10 = 0 then 'null' else p_name end as tep_description",
     ]),
-    "f_location": ("lineitem", "l_quantity <= 3", [
+    "f_location": ("lineitem", [
         "concat('P', l_partkey) as id",
-        "case when l_returnflag = 'R' then 'HPA_main' when l_returnflag = 'A' then 'uniprot' when l_linestatus = 'F' then 'HPA_additional' else 'HPA_extracellular_location' end as source",
-        "case when l_linenumber <= 2 then 'SL-0039' when l_linenumber = 3 then 'SL-0243' when l_linenumber = 4 then null else 'SL-0090' end as termSL",
-        "case when l_tax = 0 then null else concat('L', l_linenumber) end as location",
+        "case when l_quantity > 6 then 'GO' when l_returnflag = 'R' then 'HPA_main' when l_returnflag = 'A' then 'uniprot' when l_linestatus = 'F' then 'HPA_additional' else 'HPA_extracellular_location' end as source",
+        "case when l_linenumber = 4 then null else concat('SL-', l_suppkey) end as termSL",
+        "case when l_tax = 0 and l_quantity > 40 then null else concat('L', l_linenumber) end as location",
     ]),
-    "f_tractability": ("lineitem", "l_quantity between 4 and 5", [
+    "f_tractability": ("lineitem", [
         "concat('P', l_partkey) as id",
-        "case l_suppkey % 4 when 0 then 'High-Quality Ligand' when 1 then 'High-Quality Pocket' when 2 then 'Small Molecule Binder' else 'Approved Drug' end as category",
+        "case when l_quantity > 3 then 'Approved Drug' when l_suppkey % 3 = 0 then 'High-Quality Ligand' when l_suppkey % 3 = 1 then 'High-Quality Pocket' else 'Small Molecule Binder' end as category",
         "l_returnflag = 'R' as value",
     ]),
-    "f_safety": ("lineitem", "l_quantity = 9", [
+    "f_safety": ("lineitem", [
         "concat('P', l_partkey) as id",
-        "case when l_tax = 0 then null else concat('E', l_linenumber) end as event",
+        "case when l_quantity = 9 and l_tax > 0 then concat('E', l_linenumber) end as event",
     ]),
-    "f_constraint": ("part", "p_size <= 40", [
+    "f_constraint": ("part", [
         "concat('P', p_partkey) as id",
-        "case when p_size % 8 = 0 then 'syn' else 'lof' end as constraintType",
+        "case when p_size > 40 then 'mis' when p_size % 8 = 0 then 'syn' else 'lof' end as constraintType",
         "cast(p_size * 700 + p_partkey % 7 as int) as upperRank",
     ]),
-    "f_homologue": ("lineitem", "l_quantity between 11 and 13", [
+    "f_homologue": ("lineitem", [
         "concat('P', l_partkey) as id",
-        "case l_linenumber % 4 when 0 then 'ortholog_one2one' when 1 then 'within_species_paralog' when 2 then 'other_paralog' else 'ortholog_one2many' end as homologyType",
+        "case when l_quantity > 3 then 'gene_split' when l_linenumber % 4 = 0 then 'ortholog_one2one' when l_linenumber % 4 = 1 then 'within_species_paralog' when l_linenumber % 4 = 2 then 'other_paralog' else 'ortholog_one2many' end as homologyType",
         "case when l_linestatus = 'F' then 'Mouse' else 'Rat' end as speciesName",
         "cast(50 + 5 * cast(round(l_discount * 100) as int) as double) as queryPercentageIdentity",
     ]),
-    "f_hallmark": ("lineitem", "l_quantity = 15", [
+    "f_hallmark": ("lineitem", [
         "concat('P', l_partkey) as id",
-        "case l_linenumber when 1 then 'TSG' when 2 then 'oncogene' when 3 then 'fusion' when 4 then null else 'Oncogene' end as description",
+        "case when l_quantity <> 15 then 'invasion' when l_linenumber = 1 then 'TSG' when l_linenumber = 2 then 'oncogene' when l_linenumber = 3 then 'fusion' when l_linenumber = 4 then null else 'Oncogene' end as description",
     ]),
-    "f_essential": ("lineitem", "l_quantity = 16", [
-        "concat('P', l_partkey) as id",
-        "case l_returnflag when 'R' then true when 'A' then false else null end as isEssential",
+    "f_essential": ("orders", [
+        "concat('P', o_custkey) as id",
+        "case o_orderstatus when 'F' then true when 'O' then false else null end as isEssential",
     ]),
-    "f_probe": ("lineitem", "l_quantity = 17", [
+    "f_probe": ("lineitem", [
         "concat('P', l_partkey) as id",
-        "l_returnflag = 'R' as isHighQuality",
+        "case when l_quantity = 17 then l_returnflag = 'R' end as isHighQuality",
         "case when l_linenumber = 7 then null else concat('MOA', l_linenumber % 3) end as mechanismOfAction",
-        "cast(1 + l_suppkey % 2 as int) as n_urls",
+        "cast(l_suppkey % 3 as int) as n_urls",
     ]),
-    "f_phenotype": ("lineitem", "l_quantity between 18 and 19", [
-        "concat('P', l_partkey) as id",
-        "concat('MP:', (l_linenumber * 4 + l_suppkey) % 28) as class_id",
-        "case when l_linenumber = 7 then null else concat('class ', (l_linenumber * 4 + l_suppkey) % 28) end as label",
+    "f_phenotype": ("lineitem", [
+        "case when l_quantity = 50 then 'P1' else concat('P', l_partkey) end as id",
+        "concat('MP:', l_suppkey * 20 + l_orderkey % 25) as class_id",
+        "case when l_quantity in (18, 19) and l_linenumber < 7 then concat('class ', l_suppkey * 20 + l_orderkey % 25) end as label",
+        "l_orderkey as record",
     ]),
-    "f_score": ("part", "p_partkey < 24", [
+    "f_score": ("part", [
         "concat('MP:', p_partkey) as class_id",
         "cast((4 - p_partkey % 5) as double) / 4 as score",
     ]),
-    "f_molecule": ("orders", "true", [
+    "f_molecule": ("orders", [
         "concat('D', o_orderkey) as drug_id",
         "o_orderstatus = 'F' as isApproved",
         "cast(substr(o_orderpriority, 1, 1) as int) - 2 as phase",
         "concat('DIS', o_custkey) as disease",
     ]),
-    "f_linked_target": ("lineitem", "l_quantity between 24 and 25", [
+    "f_linked_target": ("lineitem", [
         "concat('D', l_orderkey) as drug_id",
-        "concat('P', l_partkey) as target_id",
+        "case when l_quantity <= 10 then concat('P', l_partkey) end as target_id",
     ]),
-    "f_mechanism": ("lineitem", "l_quantity = 26", [
+    "f_mechanism": ("lineitem", [
         "concat('ACT', l_suppkey % 3) as actionType",
-        "concat('D', l_orderkey) as chembl",
+        "case when l_quantity <= 26 then concat('D', l_orderkey) end as chembl",
     ]),
-    "f_interaction": ("lineitem", "l_quantity = 30", [
+    "f_interaction": ("lineitem", [
         "case l_returnflag when 'R' then 'intact' when 'A' then 'string' else 'reactome' end as sourceDatabase",
         "concat('P', l_partkey) as targetA",
-        "concat('P', (l_partkey * 7 + l_suppkey) % 200) as targetB",
+        "concat('P', l_suppkey * 20 + l_orderkey % 25) as targetB",
         "cast(round(l_discount * 100) as int) / cast(10 as double) as scoring",
     ]),
-    "f_disease": ("customer", "true", [
+    "f_disease": ("customer", [
         "concat('DIS', c_custkey) as id",
         "concat('TA', c_custkey % 4) as area1",
         "concat('TA', 4 + c_custkey % 3) as area2",
     ]),
-    "f_pair": ("part", "true", [
-        "concat('P', p_partkey) as symbol",
-        "concat('DIS', p_size % 25, ',DIS', (p_size + 1) % 25) as EFO_disease",
-        "concat('TA', p_size % 4, ',TA', 4 + p_size % 3) as Therapy_area",
+    "f_pair": ("part", [
+        "concat('GENE', p_partkey * 3 + 1) as symbol",
+        "concat('DIS', p_size % 25, ', DIS', (p_size + 1) % 25) as EFO_disease",
+        "concat('TA', p_size % 4, ', TA', 4 + p_size % 3) as Therapy_area",
+    ]),
+    "f_symbol": ("part", [
+        "case when p_size = 50 then null else concat('GENE', p_partkey * 3 + 1) end as symbol",
+        "concat('P', p_partkey) as id",
     ]),
-    "f_atlas": ("part", "p_size <= 45", [
-        "concat('P', p_partkey) as Ensembl",
+    "f_atlas": ("part", [
+        "case when p_size > 48 then concat('P', cast(floor(p_partkey / 2) as bigint)) else concat('P', p_partkey) end as Ensembl",
         "case p_size % 6 when 0 then 'Tissue enriched' when 1 then 'Group enriched' when 2 then 'Tissue enhanced' when 3 then 'Low tissue specificity' when 4 then 'Not detected' else 'other' end as specificity",
         "case p_size % 5 when 0 then 'Detected in single' when 1 then 'Detected in some' when 2 then 'Detected in many' when 3 then 'Detected in all' else 'Not detected' end as distribution",
+        "concat('HPA', p_partkey) as antibody",
     ]),
-    "f_term": ("supplier", "true", [
+    "f_term": ("supplier", [
         "s_name as Name",
         "concat('SL-', s_suppkey) as term_id",
         "case when s_suppkey < 10 then null when s_suppkey % 4 = 0 then concat('SL-', cast(floor(s_suppkey / 10) as bigint), '; parent, SL-', cast(floor(s_suppkey / 20) as bigint), '; parent') else concat('SL-', cast(floor(s_suppkey / 10) as bigint), '; parent') end as is_a",
@@ -142,7 +153,7 @@ FLAT_VIEWS: dict[str, tuple[str, str, list[str]]] = {
     ]),
 }
 
-# Nested arrays of the entity table built from lineitem slices:
+# Nested arrays of the entity table built from lineitem rows:
 # target column -> flat view whose non-id columns become the struct fields.
 LINEITEM_ARRAYS = {
     "subcellularLocations": "f_location",
@@ -156,8 +167,8 @@ LINEITEM_ARRAYS = {
 
 def view_sql(name: str) -> str:
     """The flat view as a SQL select (used by the DuckDB oracles)."""
-    table, where, cols = FLAT_VIEWS[name]
-    return f"SELECT {', '.join(cols)} FROM {table} WHERE {where}"
+    table, cols = FLAT_VIEWS[name]
+    return f"SELECT {', '.join(cols)} FROM {table}"
 
 
 def read_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -165,16 +176,15 @@ def read_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def flat(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A flat stand-in view as a Spark DataFrame (filter and projection push
-    down to the parquet scan)."""
-    table, where, cols = FLAT_VIEWS[name]
-    return read_table(spark, sf_dir, table).where(where).selectExpr(*cols)
+    """A flat stand-in view as a Spark DataFrame."""
+    table, cols = FLAT_VIEWS[name]
+    return read_table(spark, sf_dir, table).selectExpr(*cols)
 
 
 def _fields(name: str) -> dict[str, F.Column]:
     """The non-id columns of a flat view as ``{alias: expression}``."""
     out = {}
-    for col in FLAT_VIEWS[name][2]:
+    for col in FLAT_VIEWS[name][1]:
         expr, alias = col.rsplit(" as ", 1)
         if alias != "id":
             out[alias] = F.expr(expr)
@@ -182,9 +192,9 @@ def _fields(name: str) -> dict[str, F.Column]:
 
 
 def _element(name: str):
-    """The struct (array element) for one flat row of a lineitem slice.
+    """The struct (array element) for one flat row.
 
-    Two slices need a shape change: a tractability row's ``category`` is the
+    Two views need a shape change: a tractability row's ``category`` is the
     element's ``id`` field, and a probe row's ``n_urls`` stands for that many
     url entries."""
     f = _fields(name)
@@ -192,7 +202,7 @@ def _element(name: str):
         f = {"id": f.pop("category"), **f}
     if name == "f_probe":
         n_urls = f.pop("n_urls")
-        f["urls"] = F.transform(F.sequence(F.lit(1), n_urls),
+        f["urls"] = F.transform(F.when(n_urls > 0, F.sequence(F.lit(1), n_urls)),
                                 lambda i: F.struct(F.concat(F.lit("url"), i.cast("string")).alias("url")))
     return F.struct(*[e.alias(a) for a, e in f.items()])
 
@@ -202,31 +212,29 @@ def target(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Entity table: one row per part with nested annotation arrays.
 
     One scan of ``lineitem`` feeds every array (a single ``groupBy`` on the
-    entity id with one conditional ``collect_list`` per array), then one join
-    onto the part-derived columns. Entities without lineitem rows get null
-    arrays, entities with rows only in other slices get empty arrays; the
-    operators treat both as "no information".
+    entity id with one ``collect_list`` per array), then one join onto the
+    part-derived columns. Entities without lineitem rows get null arrays.
     """
-    li = read_table(spark, sf_dir, "lineitem")
-    conds = {col: F.expr(FLAT_VIEWS[v][1]) for col, v in LINEITEM_ARRAYS.items()}
-    any_slice = None
-    for c in conds.values():
-        any_slice = c if any_slice is None else (any_slice | c)
+    return _target(spark, sf_dir, [])
+
+
+@_cached
+def target_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The entity table with repeated ids: the nested annotations of an entity
+    are spread over one row per line status and return flag."""
+    return _target(spark, sf_dir, ["l_linestatus", "l_returnflag"])
+
+
+def _target(spark: SparkSession, sf_dir: str, split_by: list[str]) -> DataFrame:
     nested = (
-        li.where(any_slice)
-        .select(
-            F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("id"),
-            *[F.when(conds[col], _element(v)).alias(col) for col, v in LINEITEM_ARRAYS.items()],
-        )
-        .groupBy("id")
+        read_table(spark, sf_dir, "lineitem")
+        .select(F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("id"), *split_by,
+                *[_element(v).alias(col) for col, v in LINEITEM_ARRAYS.items()])
+        .groupBy("id", *split_by)
         .agg(*[F.collect_list(col).alias(col) for col in LINEITEM_ARRAYS])
     )
-    t_cols = FLAT_VIEWS["f_target"][2]
-    c_where = FLAT_VIEWS["f_constraint"][1]
     base = read_table(spark, sf_dir, "part").select(
-        *[F.expr(c) for c in t_cols],
-        F.when(F.expr(c_where), F.array(_element("f_constraint"))).alias("constraint"),
-    )
+        *[F.expr(c) for c in FLAT_VIEWS["f_target"][1]], F.array(_element("f_constraint")).alias("constraint"))
     return (
         base.join(nested, "id", "left")
         .select(
@@ -260,12 +268,13 @@ def gene_essentiality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_cached
 def mouse_phenotypes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(targetFromSourceId, modelPhenotypeClasses array<struct<id,label>>)``;
-    each flat row is one array element."""
-    f = flat(spark, sf_dir, "f_phenotype").select("id", F.col("class_id").alias("cid"), "label")
-    return f.groupBy(F.col("id").alias("targetFromSourceId")).agg(
+    """``(targetFromSourceId, modelPhenotypeClasses array<struct<id,label>>)``,
+    one row per (entity, record): ids repeat, and each flat row is one array
+    element."""
+    f = flat(spark, sf_dir, "f_phenotype").select("id", F.col("class_id").alias("cid"), "label", "record")
+    return f.groupBy(F.col("id").alias("targetFromSourceId"), "record").agg(
         F.collect_list(F.struct(F.col("cid").alias("id"), F.col("label"))).alias("modelPhenotypeClasses")
-    )
+    ).drop("record")
 
 
 @_cached
@@ -282,16 +291,16 @@ def phenotype_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_cached
 def molecule(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(id, isApproved, maximumClinicalTrialPhase, linkedTargets.rows,
-    linkedDiseases.rows)``; repeated (drug, target) pairs are kept."""
+    linkedDiseases.rows)``; repeated (drug, target) pairs and null targets are kept."""
     links = flat(spark, sf_dir, "f_linked_target").groupBy("drug_id").agg(
-        F.collect_list("target_id").alias("rows")
+        F.collect_list(F.struct("target_id")).alias("rows")
     )
     m = flat(spark, sf_dir, "f_molecule")
     return m.join(links, "drug_id", "left").select(
         F.col("drug_id").alias("id"),
         "isApproved",
         F.col("phase").alias("maximumClinicalTrialPhase"),
-        F.when(F.col("rows").isNotNull(), F.struct(F.col("rows"))).alias("linkedTargets"),
+        F.when(F.col("rows").isNotNull(), F.struct(F.col("rows.target_id").alias("rows"))).alias("linkedTargets"),
         F.struct(F.array(F.col("disease")).alias("rows")).alias("linkedDiseases"),
     )
 
@@ -320,8 +329,14 @@ def symbol_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_cached
 def symbol_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Symbol -> entity id map; in the stand-in the symbol already is the id."""
-    return flat(spark, sf_dir, "f_target").select(F.col("id").alias("symbol"), "id")
+    """Symbol -> entity id map; some entities have no symbol."""
+    return flat(spark, sf_dir, "f_symbol")
+
+
+@_cached
+def query_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ids to report on: most are absent from the entity table, some repeat."""
+    return flat(spark, sf_dir, "f_query")
 
 
 @_cached
@@ -331,6 +346,7 @@ def tissue_atlas(spark: SparkSession, sf_dir: str) -> DataFrame:
         "Ensembl",
         F.col("specificity").alias("RNA tissue specificity"),
         F.col("distribution").alias("RNA tissue distribution"),
+        F.array("antibody").alias("Antibody"),
     )
 
 
@@ -346,7 +362,7 @@ def term_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-DATASETS = ("target", "gene_essentiality", "mouse_phenotypes", "phenotype_scores", "molecule",
+DATASETS = ("target", "target_rows", "query_ids", "gene_essentiality", "mouse_phenotypes", "phenotype_scores", "molecule",
             "mechanism_of_action", "interaction", "diseases", "symbol_pairs", "symbol_map",
             "tissue_atlas", "term_table")
 

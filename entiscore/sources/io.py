@@ -11,10 +11,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Declared schemas of the delimited / JSON inputs.
 TERM_SCHEMA = "`Name` string, `Subcellular location ID` string, `Is a` string, `Is part of` string"
-PHENOTYPE_SCORE_SCHEMA = "id string, label string, score double, flag string"
+PHENOTYPE_SCORE_SCHEMA = "id string, label string, score double"
 SYMBOL_PAIR_SCHEMA = "hgnc_protein string, EFO_disease string, Therapy_area string"
 ATLAS_SCHEMA = ("Ensembl string, `RNA tissue distribution` string, `RNA tissue specificity` string, "
                 "Antibody array<string>")
@@ -51,26 +52,33 @@ def scan_entities(spark: SparkSession, path: str, schema: str = ENTITY_READ_SCHE
 
 def scan_delimited(spark: SparkSession, path: str, sep: str = "\t", header: bool = True,
                    schema: str | None = None) -> DataFrame:
-    """Header TSV/CSV. With ``schema`` the columns are typed by position
-    (a header line is skipped); without it every column is a string named
-    from the header (an unnamed trailing column arrives as ``_c<i>``)."""
-    reader = spark.read.option("sep", sep).option("header", header).option("mode", "PERMISSIVE")
-    if schema is not None:
-        reader = reader.schema(schema).option("enforceSchema", True)
-    return reader.csv(path)
+    """Header TSV/CSV. With ``schema`` its columns are taken from the file
+    by header name, in any order and among any others, and cast; a name that
+    the header lacks raises. An unnamed column of the file can be asked for as
+    ``_c<i>``. Without a schema every column is a string named from the header.
+    A malformed line, or a value that does not cast, fails the read."""
+    rows = spark.read.option("sep", sep).option("header", header).option("mode", "FAILFAST").option("inferSchema", False).csv(path)
+    if schema is None:
+        return rows
+    wanted = T.StructType.fromDDL(schema)
+    missing = [f.name for f in wanted if f.name not in rows.columns]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}; its header is {rows.columns}")
+    return rows.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in wanted])
 
 
 def scan_json_records(spark: SparkSession, path: str, columns: Sequence[str] = ATLAS_COLUMNS,
-                      schema: str | None = ATLAS_SCHEMA, multi_line: bool = False) -> DataFrame:
+                      schema: str = ATLAS_SCHEMA, multi_line: bool = False) -> DataFrame:
     """S3: JSON records (one per line, or a single array per line), keeping
-    ``columns`` that exist in the file. ``multi_line`` for pretty-printed
-    files. The read is distributed; nothing passes through the driver."""
-    reader = spark.read.option("multiLine", multi_line)
-    if schema is not None:
-        reader = reader.schema(schema)
-    df = reader.json(path)
-    keep = [c for c in columns if c in df.columns]
-    return df.select(*[F.col(f"`{c}`") for c in keep])
+    ``columns``. A column of the schema that a record lacks is null; a column
+    that the schema lacks raises, and a malformed record fails the read.
+    ``multi_line`` for pretty-printed files. The read is distributed; nothing
+    passes through the driver."""
+    df = spark.read.option("multiLine", multi_line).option("mode", "FAILFAST").schema(schema).json(path)
+    missing = [c for c in columns if c not in df.columns]
+    if missing:
+        raise ValueError(f"the schema has no column {', '.join(missing)}")
+    return df.select(*[F.col(f"`{c}`") for c in columns])
 
 
 def write_json_report(df: DataFrame, path: str, mode: str = "overwrite") -> str:

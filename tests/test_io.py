@@ -3,6 +3,8 @@ records (lines and pretty-printed arrays), JSON report round trip."""
 
 import json
 
+import pytest
+
 from entiscore.operators import properties as P
 from entiscore.sources import io
 
@@ -13,8 +15,29 @@ def test_csv_with_unnamed_trailing_column(spark, tmp_path):
     raw = io.scan_delimited(spark, str(path), sep=",")
     assert raw.columns == ["id", "label", "score", "_c3"]
     typed = io.scan_delimited(spark, str(path), sep=",", schema=io.PHENOTYPE_SCORE_SCHEMA)
-    rows = sorted(tuple(r) for r in typed.collect())
-    assert rows == [("MP:1", "a phenotype", 1.0, None), ("MP:2", "b phenotype", 0.75, "*"), ("MP:3", "c", 0.0, None)]
+    assert sorted(map(tuple, typed.collect())) == [("MP:1", "a phenotype", 1.0), ("MP:2", "b phenotype", 0.75), ("MP:3", "c", 0.0)]
+    flagged = io.scan_delimited(spark, str(path), sep=",", schema=io.PHENOTYPE_SCORE_SCHEMA + ", _c3 string")
+    assert {r["id"]: r["_c3"] for r in flagged.collect()} == {"MP:1": None, "MP:2": "*", "MP:3": None}
+
+
+def test_delimited_columns_are_taken_by_name(spark, tmp_path):
+    path = tmp_path / "wide.tsv"
+    path.write_text("Subcellular location ID\tDescription\tIs part of\tIs a\tName\nSL-1\tsome text\t\tSL-2; x\tCell membrane\n")
+    row = io.scan_delimited(spark, str(path), schema=io.TERM_SCHEMA).first()
+    assert tuple(row) == ("Cell membrane", "SL-1", "SL-2; x", None)
+    with pytest.raises(ValueError, match="symbol"):
+        io.scan_delimited(spark, str(path), schema="Name string, symbol string")
+
+
+def test_malformed_input_fails(spark, tmp_path):
+    (tmp_path / "bad.csv").write_text("id,label,score\na,b,not a number\n")
+    with pytest.raises(Exception):
+        io.scan_delimited(spark, str(tmp_path / "bad.csv"), sep=",", schema=io.PHENOTYPE_SCORE_SCHEMA).collect()
+    (tmp_path / "bad.json").write_text('{"Ensembl": "A"}\n{"Ensembl": \n')
+    with pytest.raises(Exception):
+        io.scan_json_records(spark, str(tmp_path / "bad.json")).collect()
+    with pytest.raises(ValueError, match="Gene"):
+        io.scan_json_records(spark, str(tmp_path / "bad.json"), columns=("Ensembl", "Gene"))
 
 
 def test_tsv_term_list(spark, tmp_path):
@@ -81,7 +104,7 @@ def test_report_from_files_equals_in_memory_report(spark, tmp_path):
     name = "Supplier#000000001"
     got = R.priority_report_from_files(spark, p["t"], p["ge"], p["mm"], p["mol"], p["atlas"], p["ph"], p["scores"],
                                        p["terms"], membrane_name=name, secreted_name="Supplier#000000002")
-    sets = H.term_search_set(H.explode_multivalue(fx.term_table(spark, d)))
+    sets = H.explode_multivalue(fx.term_table(spark, d))
     want = R.priority_report(fx.target(spark, d), fx.gene_essentiality(spark, d), fx.mouse_phenotypes(spark, d),
                              fx.molecule(spark, d), fx.tissue_atlas(spark, d), fx.mouse_phenotypes(spark, d),
                              fx.phenotype_scores(spark, d), H.terms_for_name(sets, name),

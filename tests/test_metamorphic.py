@@ -6,9 +6,10 @@ import os
 import pytest
 
 from entiscore.plans import report as R
+from entiscore.plans.catalog import rounded, terms
 from entiscore.sources import fixtures as fx
 
-SF = "/root/testdata/sf0.01"
+SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.exists(SF), reason="driver tables missing")
 
 
@@ -18,7 +19,7 @@ def _inputs(spark, shuffle=False):
 
     return (prep(fx.target(spark, SF)), prep(fx.gene_essentiality(spark, SF)), prep(fx.mouse_phenotypes(spark, SF)),
             prep(fx.molecule(spark, SF)), prep(fx.tissue_atlas(spark, SF)), prep(fx.mouse_phenotypes(spark, SF)),
-            prep(fx.phenotype_scores(spark, SF)), ["SL-0039"], ["SL-0243"])
+            prep(fx.phenotype_scores(spark, SF)), *terms(spark, SF), fx.query_ids(spark, SF))
 
 
 def _rows(df):
@@ -26,11 +27,11 @@ def _rows(df):
 
 
 def test_report_invariant_to_partitioning(spark):
-    base = _rows(R.priority_report(*_inputs(spark)))
+    base = _rows(rounded(R.priority_report(*_inputs(spark)), "phenotypeScores"))
     old = spark.conf.get("spark.sql.shuffle.partitions")
     try:
         spark.conf.set("spark.sql.shuffle.partitions", "3")
-        reshuffled = _rows(R.priority_report(*_inputs(spark, shuffle=True)))
+        reshuffled = _rows(rounded(R.priority_report(*_inputs(spark, shuffle=True)), "phenotypeScores"))
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert base == reshuffled

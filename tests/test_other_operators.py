@@ -1,6 +1,7 @@
 """Prototype variants, term hierarchy, partner network and report shaping
 on hand-written frames."""
 
+import chained as C
 from frames import by_id, loc, queryset, target_df, target_row
 
 from entiscore.operators import hierarchy as H
@@ -93,14 +94,13 @@ def test_hierarchy_levels(spark):
     assert ch["SL-0039"] == ["SL-0015", "SL-0024"] and ch["SL-0162"] == ["SL-0024", "SL-0039"]
     mb = {r["Is_part"]: r["members"] for r in H.part_members(ex).collect()}
     assert mb["SL-0039"] == ["SL-0015", "SL-0500"]
-    terms = sorted(r["term"] for r in H.terms_for_name(H.term_search_set(ex), "Cell membrane").collect())
+    terms = sorted(r["term"] for r in H.terms_for_name(ex, "Cell membrane").collect())
     assert terms == ["SL-0015", "SL-0024", "SL-0039", "SL-0500"]  # one level: children and members
 
 
 def test_hierarchy_feeds_location_profile(spark):
     ex = H.explode_multivalue(_terms(spark))
-    sets = H.term_search_set(ex)
-    mem, sec = H.terms_for_name(sets, "Cell membrane"), H.terms_for_name(sets, "Secreted")
+    mem, sec = H.terms_for_name(ex, "Cell membrane"), H.terms_for_name(ex, "Secreted")
     t = target_df(spark, target_row("A", subcellularLocations=[loc("x", "HPA_main", "SL-0500")]),
                   target_row("B", subcellularLocations=[loc("x", "uniprot", "SL-0243")]),
                   target_row("C", subcellularLocations=[loc("x", "HPA_main", "SL-9999")]))
@@ -135,7 +135,7 @@ def test_partner_drugs_and_names(spark):
     assert sorted((r["targetB"], tuple(r["CHEMBL"] or ())) for r in out["A"]) == [("B", ("D1", "D1")), ("C", ("D2",))]
     assert [(r["targetB"], r["CHEMBL"]) for r in out["Z"]] == [(None, None)]
     t = target_df(spark, target_row("B", approvedSymbol="SYMB"))
-    names = by_id(N.partner_names(N.partner_drugs(mol, inter, queryset(spark, "A")), t))
+    names = by_id(N.partner_names(mol, inter, queryset(spark, "A"), t))
     assert sorted((r["targetB"], r["Symbol_targetB"]) for r in names["A"]) == [("B", "SYMB"), ("C", None)]
 
 
@@ -156,8 +156,7 @@ def test_pairs_targets_and_matches(spark):
     assert sorted(tuple(r) for r in n6.collect()) == [("A", "TA1", "DIS1"), ("A", "TA1", "DIS2"), ("A", "TA3", "DIS1"), ("A", "TA3", "DIS2")]
     n8 = N.target_drug_pairs(n6, mol, inter, queryset(spark, "A"))
     assert n8.count() == 4 * 3  # two D1 links through B, one D2 link through C
-    n5 = N.drug_disease_area(mol, inter, dis, queryset(spark, "A"))
-    n9 = N.matched_triples(n8, n5)
+    n9 = N.matched_triples(n6, mol, inter, dis, queryset(spark, "A"))
     assert sorted(tuple(r) for r in n9.collect()) == [("A", "D1", "TA1", "TA1")]
     assert [tuple(r) for r in N.matched_drugs(n9).collect()] == [("A", ["D1"])]
 
@@ -190,7 +189,7 @@ def test_one_pass_report_equals_operator_chain(spark):
     args = (fx.target(spark, d), fx.gene_essentiality(spark, d), fx.mouse_phenotypes(spark, d), fx.molecule(spark, d),
             fx.tissue_atlas(spark, d), fx.mouse_phenotypes(spark, d), fx.phenotype_scores(spark, d), ["SL-0039"], ["SL-0243"])
     a = sorted(map(repr, map(tuple, R.priority_report(*args).collect())))
-    b = sorted(map(repr, map(tuple, R.priority_report_chained(*args).collect())))
+    b = sorted(map(repr, map(tuple, C.priority_report_chained(*args).collect())))
     assert a == b and len(a) > 0
 
 
@@ -221,12 +220,12 @@ def test_one_pass_v1_and_prototype_reports_equal_chains(spark):
         return
     t, mouse, mol, atlas = fx.target(spark, d), fx.mouse_phenotypes(spark, d), fx.molecule(spark, d), fx.tissue_atlas(spark, d)
     v1 = R.priority_report_v1(t, mouse, mol, atlas, ["SL-0039"], ["SL-0243"])
-    v1_chain = R.priority_report_chained(t, None, mouse, mol, atlas, None, None, ["SL-0039"], ["SL-0243"],
+    v1_chain = C.priority_report_chained(t, None, mouse, mol, atlas, None, None, ["SL-0039"], ["SL-0243"],
                                          columns=R.REPORT_COLUMNS_V1)
     assert sorted(map(repr, map(tuple, v1.collect()))) == sorted(map(repr, map(tuple, v1_chain.collect())))
     mech, q = fx.mechanism_of_action(spark, d), P.query_set(t)
     proto = R.prototype_report(t, mol, mech, mouse, ["SL-0039"], q)
-    proto_chain = R.prototype_report_chained(t, mol, mech, mouse, ["SL-0039"], q)
+    proto_chain = C.prototype_report_chained(t, mol, mech, mouse, ["SL-0039"], q)
     assert sorted(map(repr, map(tuple, proto.collect()))) == sorted(map(repr, map(tuple, proto_chain.collect())))
 
 
@@ -270,7 +269,7 @@ def test_one_pass_report_with_explicit_queryset_duplicates_and_absent_ids(spark)
     args = (fx.target(spark, d), fx.gene_essentiality(spark, d), fx.mouse_phenotypes(spark, d), fx.molecule(spark, d),
             fx.tissue_atlas(spark, d), fx.mouse_phenotypes(spark, d), fx.phenotype_scores(spark, d), ["SL-0039"], ["SL-0243"])
     one = sorted(map(repr, map(tuple, R.priority_report(*args, queryset=q).collect())))
-    chain = sorted(map(repr, map(tuple, R.priority_report_chained(*args, queryset=q).collect())))
+    chain = sorted(map(repr, map(tuple, C.priority_report_chained(*args, queryset=q).collect())))
     assert one == chain
     absent = [r for r in R.priority_report(*args, queryset=q).collect() if r["targetid"] == "NOT_AN_ENTITY"]
     assert len(absent) == 2 and all(r["isSecreted"] == 0 and r["hasPocket"] is None for r in absent)

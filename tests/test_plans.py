@@ -8,12 +8,20 @@ import re
 
 import pytest
 
+from entiscore.operators import network as N
+from entiscore.operators import properties as P
+from entiscore.operators import prototype as V
 from entiscore.plans.catalog import CATALOG
 
 SF = "/root/testdata/sf0.001"
-SAME_ROW = ["biotype", "location_profile", "location_info", "tractability_pivot", "safety_events", "paralog_ramp",
-            "ortholog_ramp", "driver_flag", "tep_flag", "chemical_probes", "membrane_simple", "probe_moa_counts",
-            "constraint_bands", "tractability_true"]
+TERMS = ["SL-1", "SL-2"]
+SAME_ROW = {
+    "biotype": P.biotype, "location_profile": lambda t: P.location_profile(t, TERMS, TERMS), "location_info": P.location_info,
+    "tractability_pivot": P.tractability_pivot, "safety_events": P.safety_events, "paralog_ramp": P.paralog_ramp,
+    "ortholog_ramp": P.ortholog_ramp, "driver_flag": P.driver_flag, "tep_flag": P.tep_flag, "chemical_probes": P.chemical_probes,
+    "membrane_simple": lambda t: V.membrane_simple(t, TERMS), "probe_moa_counts": V.probe_moa_counts,
+    "constraint_bands": V.constraint_bands, "tractability_true": N.tractability_true,
+}
 
 
 def formatted(df) -> str:
@@ -43,6 +51,19 @@ def materialized(spark, tmp_path_factory):
 @pytest.mark.skipif(not os.path.exists(SF), reason="driver tables missing")
 @pytest.mark.parametrize("name", SAME_ROW)
 def test_same_row_operators_do_not_shuffle_entity_rows(spark, materialized, name):
-    plan = formatted(CATALOG[name](spark, materialized))
+    from entiscore.sources import fixtures as fx
+
+    plan = formatted(SAME_ROW[name](fx.target(spark, materialized)))
     main = plan.split("===== Subqueries =====")[0]
     assert not re.search(r"^\(\d+\) Exchange", main, flags=re.M), name
+
+
+@pytest.mark.skipif(not os.path.exists(SF), reason="driver tables missing")
+def test_matched_triples_shuffles(spark, materialized):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = formatted(CATALOG["matched_triples"](spark, materialized))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert len(re.findall(r"^\(\d+\) Exchange\b", plan, flags=re.M)) <= 12

@@ -337,4 +337,4 @@ def test_hierarchy_against_python(spark, seed):
     assert got == want
     name = rows[0][0]
     want_terms = sorted({t for (n, _, _), (_, _, ts) in want.items() if n == name for t in ts})
-    assert sorted(r["term"] for r in H.terms_for_name(H.term_search_set(H.explode_multivalue(terms)), name).collect()) == want_terms
+    assert sorted(r["term"] for r in H.terms_for_name(H.explode_multivalue(terms), name).collect()) == want_terms

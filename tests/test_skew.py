@@ -25,9 +25,9 @@ def test_attach_counted_equals_left_join_with_hot_key(spark):
     m = spark.createDataFrame(rows, "id string, v double, w string")
     q = queryset(spark, "HOT", "NONE", *[f"K{i}" for i in range(0, 320, 3)])
     plain = attach(q, m, on="id")
-    counted = attach_counted(q, m, on="id")
+    counted = attach_counted(q, (m, "id"))
     assert _multiset(counted) == _multiset(plain)
-    assert _multiset(attach_counted(q, m, on="id", chunk=7)) == _multiset(plain)  # many chunks per value
+    assert _multiset(attach_counted(q, (m, "id"), chunk=7)) == _multiset(plain)  # many chunks per value
     assert counted.where("targetid = 'HOT'").count() == 3000
     # the packed row of the hot key holds one entry per distinct value tuple
     packed = m.groupBy("id", "v", "w").count().groupBy("id").count().where("id = 'HOT'").first()[1]
@@ -91,7 +91,8 @@ def test_drug_disease_area_and_matches_hot_partner(spark):
     pairs = spark.createDataFrame(pair_rows, "hgnc_protein string, EFO_disease string, Therapy_area string")
     smap = spark.createDataFrame([(e, e) for e in ents], "symbol string, id string")
     n8 = N.target_drug_pairs(N.pairs_from_csv(pairs, smap), mol, inter, q)
-    n9 = {tuple(r) for r in N.matched_triples(n8, n5).collect()}
+    n6 = N.pairs_from_csv(pairs, smap)
+    n9 = {tuple(r) for r in N.matched_triples(n6, mol, inter, dis, q).collect()}
     drug_side = {(t, d, ar) for (d, _, ar, t) in want if ar is not None}
     reach = defaultdict(list)
     for a, b in {(a, b) for s, a, b, sc in edges if s == "intact" and sc > 0.42}:
@@ -99,3 +100,21 @@ def test_drug_disease_area_and_matches_hot_partner(spark):
             reach[a].extend([d] * sum(1 for t in tg if t == b))
     ent_side = {(e, d, ta.strip()) for e, _, tas in pair_rows for ta in tas.split(",") for d in reach[e]}
     assert n9 == {(e, d, ta, ta) for (e, d, ta) in ent_side & drug_side}
+
+
+def test_copies_of_a_hot_key_are_spread_over_tasks(spark):
+    """One id has a third of the rows; no task makes more than twice the median."""
+    from pyspark.sql import functions as F
+
+    rows = spark.range(600_000).select(F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(
+        F.concat(F.lit("K"), (F.col("id") % 20_000).cast("string"))).alias("id"), F.lit(1).alias("v"))
+    q = rows.select(F.col("id").alias("targetid")).distinct()
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = attach_counted(q, (rows, "id"), chunk=1 << 10)
+        sizes = sorted(r["count"] for r in out.groupBy(F.spark_partition_id().alias("p")).count().collect())
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+    assert sum(sizes) == 600_000
+    assert sizes[-1] <= 2 * sizes[len(sizes) // 2]
