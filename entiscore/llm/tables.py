@@ -3,18 +3,11 @@ column-name hygiene."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
-from entiscore.session import scratch_path
+from entiscore.session import stored
 
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """The frame written to the shared checkpoint folder and read back, so that
-    later jobs survive lost executors and do not run its plan again."""
-    spark: SparkSession = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+__all__ = ["fresh", "stored"]
 
 
 def fresh(df: DataFrame, *names: str) -> dict[str, str]:
