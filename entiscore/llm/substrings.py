@@ -190,7 +190,8 @@ def repeated_edges(docs: DataFrame, window: int = WINDOW, k: int = K, spread: in
     stats = (edges.groupBy("h").agg(F.min(F.struct("doc", "start")).alias("src"), F.max("doc").alias("last"))
              .filter(F.col("last") > F.col("src.doc"))
              .select("h", F.col("src.doc").alias("src_doc"), F.col("src.start").alias("src_start")))
-    return edges.join(stats, "h").select("doc", "start", "h", "src_doc", "src_start")
+    # Stored, so that the join deals out both sides itself and can split a hot edge.
+    return edges.join(stored(stats, "repeated-edges"), "h").select("doc", "start", "h", "src_doc", "src_start")
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, k: int = K,
@@ -211,7 +212,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.collect_list(F.struct("start", "h", "src_doc", "src_start")).alias("found"))  # at most the edges of one text
     settled = stored(rows.join(found, "doc", "left").mapInArrow(_settle("doc", "text", window, k, spread), _SETTLED_DDL), "substrings")
     wins = settled.filter("text IS NOT NULL").select("doc", F.explode("wins").alias("w")).select("doc", "w.h1", "w.h2", "w.pos")
-    first = (wins.groupBy("h1", "h2").agg(F.min("doc").alias("least"), F.max("doc").alias("last")).filter("last > least").drop("last"))
+    first = stored(wins.groupBy("h1", "h2").agg(F.min("doc").alias("least"), F.max("doc").alias("last")).filter("last > least").drop("last"),
+                   "repeated-windows")
     hits = (wins.join(first, ["h1", "h2"]).filter("doc > least").groupBy("doc")
             .agg(F.collect_set(F.struct("pos", "h1")).alias("hits")))  # at most the windows of one text
     done = (settled.filter("text IS NOT NULL").select("doc", "text", "paths", "wins").join(hits, "doc", "left")
