@@ -123,7 +123,8 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, class_weight: tuple[float, f
 def train(docs: DataFrame, labels: DataFrame, s: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "toxic") -> tuple[np.ndarray, float]:
     """Fit on at most ``sample_per_class`` labelled texts of each class (those
-    with the least id hashes), weighted back to the class sizes.
+    with the least id hashes); both classes weigh the same, so the score is a
+    probability at equal odds.
 
     The sample is bounded by its parameter, so it is broadcast as ids, trained
     on in one task, and one weight vector returns. Null labels and ids are left
@@ -131,21 +132,20 @@ def train(docs: DataFrame, labels: DataFrame, s: Settings = Settings(), id_col:
     """
     known = (labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).filter("id IS NOT NULL AND y IN (0, 1)")
              .groupBy("id").agg(F.max("y").alias("y")))
-    sizes = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}
     picked = None
     for y in (0, 1):
         part = known.filter(F.col("y") == y).orderBy(F.xxhash64(F.lit(s.seed), "id"), "id").limit(s.sample_per_class)
         picked = part if picked is None else picked.unionByName(part)
     sample = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(picked), "id")
               .repartition(1).sortWithinPartitions("id", "text"))
-    weights = tuple(sizes.get(y, 0) / max(1, min(sizes.get(y, 0), s.sample_per_class)) for y in (0, 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features, rows, y = Features(s), [], []
         for part in tx.slices(batches, "text"):
             rows += [r.astype(np.int32) for r in features.of(tx.column_of(part, "text"))]
             y += tx.column_of(part, "y").to_pylist()
-        w, b = fit(rows, np.array(y, np.int64), weights, s)
+        labels = np.array(y, np.int64)
+        w, b = fit(rows, labels, tuple(1 / max(1, int((labels == c).sum())) for c in (0, 1)), s)
         yield pa.RecordBatch.from_arrays([pa.array([w.tobytes()], pa.binary()), pa.array([b], pa.float64())], ["w", "b"])
 
     got = sample.mapInArrow(run, "w binary, b double").collect()  # one row of 4 * 2**bits bytes
