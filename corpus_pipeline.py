@@ -6,14 +6,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from entiscore.llm import decontamination, jaccard, mixing, sharding, toxicity
-from entiscore.llm.tables import stored
+from entiscore.llm.tables import shielded, stored
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, fitted on the labelled ones among them, does not call toxic."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
-    judged = toxicity.score(docs, toxicity.train(docs, labels))
-    return judged.filter("predicted = 0").select(*docs.columns)
+    model = toxicity.train(docs, labels)
+    return shielded(docs, ("doc_id", "text"), lambda d: toxicity.score(d, model).filter("predicted = 0"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,7 +29,7 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The uses of documents that the mix takes, a row each, in training order."""
-    return mixing.training_order(mixing.mix(docs)).select(*docs.columns)
+    return shielded(docs, ("doc_id", "text", "source", "n_chars"), lambda d: mixing.training_order(mixing.mix(d)))
 
 
 def into_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

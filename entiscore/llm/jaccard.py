@@ -220,10 +220,9 @@ def _verified(pairs: DataFrame, rest: DataFrame, num: int, den: int) -> DataFram
 def links(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100, id_col: str = "doc_id", text_col: str = "text",
           sig: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(classes ``node, n, doc``; ``node, root`` of the classes that link to
-    another). ``sig`` has the :func:`signatures` of the rows, if they are at hand."""
-    sig = signatures(docs, k, text_col, [id_col]) if sig is None else sig
-    h = fresh(sig.drop("node", "n_shingles"), "node", "n_shingles")
-    sig = sig.select(F.col(h["node"]).alias("node"), F.col(h["n_shingles"]).alias("n_shingles"), F.col(id_col).alias("doc"))
+    another). ``sig`` has ``doc, n_shingles, node`` of the rows, if at hand."""
+    if sig is None:
+        sig = signatures(docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text")), k, "text", ["doc"])
     classes = sig.filter("node IS NOT NULL").groupBy("node").agg(F.first("n_shingles").cast("int").alias("n"), F.min("doc").alias("doc"))
     lone = _lone(docs.select(F.col(text_col).alias("text")).mapInArrow(_sampled(k, SAMPLE), "s long, node long")).groupBy("node").agg(
         F.count("*").alias("lone"))
@@ -285,7 +284,8 @@ def components(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100, id_co
     rows = signatures(docs, k, text_col, carry)
     if set(carry) <= {id_col}:  # narrow enough to be kept instead of made again
         rows = stored(rows, "jaccard-sets")
-    classes, roots = links(docs, k, num, den, id_col, text_col, rows)
+    sig = rows.select(F.col(id_col).alias("doc"), "n_shingles", F.col(h["node"]).alias("node"))
+    classes, roots = links(docs, k, num, den, id_col, text_col, sig)
     grown = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = grown.groupBy("root").agg(F.min("doc").alias("least"))
     named = grown.join(least, "root").select(F.col("node").alias("c_node"), F.col("least").alias("component_id"))
@@ -299,8 +299,8 @@ def keep_one(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100, id_col:
     null id only if there is no other), columns as they are. Rows without
     shingles link with nothing and stay."""
     h = fresh(docs, "node", "n_shingles", "c_node", "c_doc")
-    narrow = stored(signatures(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), k, "text", ["id"]), "jaccard-sets")
-    classes, roots = links(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), k, num, den, "id", "text", narrow)
+    plain = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
+    classes, roots = links(plain, k, num, den, "doc", "text", stored(signatures(plain, k, "text", ["doc"]), "jaccard-sets"))
     best = (classes.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root"))
             .agg(F.min(F.struct(F.col("doc").isNull().alias("none"), "doc", "node")).alias("w"))
             .select(F.col("w.node").alias(h["c_node"]), F.col("w.doc").alias(h["c_doc"])))

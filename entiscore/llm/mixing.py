@@ -140,14 +140,13 @@ def training_order(plan: DataFrame, text_col: str = "text", id_col: str = "doc_i
     """The plan's uses as rows in training order: a row per use with
     ``position`` (range-sorted). A partial use holds the first ``cut`` words of
     the text, joined by single spaces."""
-    from pyspark.sql.functions import posexplode
-
-    columns = [c for c in plan.columns if c not in ("size", "source_size", "target", "taken", "passes", "cut", "positions")]
-    uses = plan.select(*columns, "passes", "cut", posexplode("positions").alias("use", "position"))
-    partial = F.col("use") >= F.col("passes")
+    mine = ("size", "source_size", "target", "taken", "passes", "cut", "positions", "position")
+    columns = [c for c in plan.columns if c.lower() not in mine]
+    h = fresh(plan.select(*columns), "use", "short")
+    uses = plan.select(*columns, "passes", "cut", F.posexplode("positions").alias(h["use"], "position"))
+    uses = uses.withColumn(h["short"], (F.col(h["use"]) >= F.col("passes")) & (F.col("cut") < word_count(F.col(text_col))))
     words = F.array_join(F.slice(F.regexp_extract_all(F.col(text_col), F.lit(WORD), F.lit(0)), F.lit(1), F.col("cut").cast("int")), " ")
-    short = partial & (F.col("cut") < word_count(F.col(text_col)))
-    uses = uses.withColumn(text_col, F.when(short, words).otherwise(F.col(text_col)))
+    uses = uses.withColumn(text_col, F.when(F.col(h["short"]), words).otherwise(F.col(text_col)))
     if chars_col in columns:
-        uses = uses.withColumn(chars_col, F.when(short, F.char_length(text_col).cast("long")).otherwise(F.col(chars_col)))
-    return uses.select(*columns, "position").orderBy("position", id_col, "use")
+        uses = uses.withColumn(chars_col, F.when(F.col(h["short"]), F.char_length(text_col).cast("long")).otherwise(F.col(chars_col)))
+    return uses.orderBy("position", id_col, h["use"]).select(*columns, "position")
