@@ -10,6 +10,11 @@ one warm-up run, then the median of ``BENCH_REPS`` (default 3) timed runs,
 then one run tagged with a job group whose stages and shuffle bytes are read
 back from the event log (``stages``, ``shuffle_bytes_written``).
 
+``small`` holds the times of one run of each query on a smaller scale factor
+(``BENCH_SMALL_DIR``, default /root/testdata/sf0.01) and ``growth`` their
+ratio; ``unprepared_sec`` is the headline query from the driver tables
+themselves, stand-ins included.
+
 ``baseline`` compares the one-pass report with the same report built by
 chaining the individual operators: wall time, shuffle count of the plan
 with automatic broadcasts off (the shape it has on large inputs), and the
@@ -31,10 +36,13 @@ import sys
 import tempfile
 import time
 
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+ROOT = os.path.dirname(os.path.abspath(__file__))
+sys.path[:0] = [ROOT, os.path.join(ROOT, "tests")]
+
+import chained as C  # noqa: E402
 
 from entiscore.plans import report as R  # noqa: E402
-from entiscore.plans.catalog import CATALOG, MEMBRANE_TERMS, SECRETED_TERMS  # noqa: E402
+from entiscore.plans.catalog import CATALOG, terms  # noqa: E402
 from entiscore.session import local_session, scratch_path  # noqa: E402
 from entiscore.sources import fixtures as fx  # noqa: E402
 
@@ -112,9 +120,11 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     event_dir = os.environ.get("BENCH_EVENT_DIR") or tempfile.mkdtemp(prefix="entiscore-events-")
+    small_dir = os.environ.get("BENCH_SMALL_DIR", "/root/testdata/sf0.01")
     spark = local_session(cpus, shuffle_partitions=max(8, cpus),
                           conf={"spark.eventLog.enabled": "true", "spark.eventLog.dir": event_dir,
                                 "spark.eventLog.compress": "false"})
+    unprepared = timed(lambda: CATALOG[HEADLINE](spark, sf_dir), 1)
     t0 = time.time()
     fx.materialize(spark, sf_dir, scratch_path(spark, "bench-standins"))
     prepare = time.time() - t0
@@ -128,18 +138,26 @@ def main() -> None:
         run(build(spark, sf_dir))
         sc.setJobGroup("bench", "untagged")
 
+    small: dict[str, float] = {}
+    if os.path.isdir(small_dir) and small_dir != sf_dir:
+        fx.materialize(spark, small_dir, scratch_path(spark, "bench-standins"))
+        for name, build in CATALOG.items():
+            t0 = time.time()
+            run(build(spark, small_dir))
+            small[name] = round(time.time() - t0, 3)
+
     def report_args():
         return (fx.target(spark, sf_dir), fx.gene_essentiality(spark, sf_dir), fx.mouse_phenotypes(spark, sf_dir),
                 fx.molecule(spark, sf_dir), fx.tissue_atlas(spark, sf_dir), fx.mouse_phenotypes(spark, sf_dir),
-                fx.phenotype_scores(spark, sf_dir), MEMBRANE_TERMS, SECRETED_TERMS)
+                fx.phenotype_scores(spark, sf_dir), *terms(spark, sf_dir), fx.query_ids(spark, sf_dir))
 
     baseline = {
         "one_pass_sec": times[HEADLINE],
-        "chained_sec": timed(lambda: R.priority_report_chained(*report_args()), reps),
+        "chained_sec": timed(lambda: C.priority_report_chained(*report_args()), reps),
         "one_pass_shuffles": shuffle_count(spark, R.priority_report(*report_args())),
-        "chained_shuffles": shuffle_count(spark, R.priority_report_chained(*report_args())),
+        "chained_shuffles": shuffle_count(spark, C.priority_report_chained(*report_args())),
     }
-    for group, build in (("one_pass", R.priority_report), ("chained", R.priority_report_chained)):
+    for group, build in (("one_pass", R.priority_report), ("chained", C.priority_report_chained)):
         sc.setJobGroup(group, f"report {group}")
         run(build(*report_args()))
     sc.setJobGroup("bench", "rest")
@@ -153,6 +171,9 @@ def main() -> None:
         "headline": {HEADLINE: times[HEADLINE]},
         "baseline": baseline,
         "prepare_sec": round(prepare, 3),
+        "unprepared_sec": unprepared,
+        "small": small,
+        "growth": {k: round(times[k] / v, 2) for k, v in small.items() if v},
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
         "cpus": cpus,
     }
