@@ -120,6 +120,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_warc": op10_warc,
 }
 
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
 ORACLES: dict[str, str] = {
     "op10_warc": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
@@ -129,4 +131,44 @@ ORACLES: dict[str, str] = {
                CASE WHEN q.page_id > f.first THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN q.page_id > f.first THEN f.first END AS refers_to
         FROM q LEFT JOIN f ON q.d = f.d""",
+    "op5_quality": f"""
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS text, {_WORDS} AS ws FROM documents),
+        spots AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 3)) AS i FROM d),
+        wins AS (SELECT doc_id, i, ws[i:i + 4] AS k FROM spots),
+        twice AS (SELECT doc_id, k FROM wins GROUP BY doc_id, k HAVING count(*) > 1),
+        rep AS (SELECT doc_id, count(DISTINCT j) AS n FROM
+            (SELECT doc_id, unnest(range(i, i + 5)) AS j FROM wins JOIN twice USING (doc_id, k)) GROUP BY doc_id),
+        lines AS (SELECT doc_id, count(*) AS n, count(*) - count(DISTINCT l) AS dups FROM
+            (SELECT doc_id, unnest(string_split(text, chr(10))) AS l FROM d) WHERE regexp_matches(l, '[^\\x20\\x09-\\x0D]') GROUP BY doc_id),
+        single AS (SELECT doc_id, w, count(*) AS n FROM (SELECT doc_id, unnest(ws) AS w FROM d) GROUP BY doc_id, w),
+        top AS (SELECT doc_id, max(n) AS n, sum(n) FILTER (WHERE regexp_matches(w, '[A-Za-z]|[^\\x00-\\x7F]')) AS lettered FROM single GROUP BY doc_id),
+        m AS (SELECT d.doc_id, len(ws) AS n_words, CAST(coalesce(list_sum(list_transform(ws, lambda w: length(w))), 0) AS BIGINT) AS word_chars,
+            len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols, coalesce(lines.dups, 0) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words,
+            coalesce(lines.n, 0) AS n_lines, coalesce(top.n, 0) AS top_n, coalesce(top.lettered, 0) AS lettered,
+            len(regexp_extract_all(text, '[A-Z]')) AS upper_n, len(regexp_extract_all(text, '[A-Za-z]')) AS letter_n
+            FROM d LEFT JOIN rep USING (doc_id) LEFT JOIN lines USING (doc_id) LEFT JOIN top USING (doc_id)),
+        f AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+            NOT base_failed AND n_symbols <= 0.1 * n_words AND word_chars BETWEEN 2 * n_words AND 12 * n_words AND n_dup_lines <= 0.5 * n_lines
+            AND lettered >= 0.8 * n_words AND upper_n <= 0.5 * letter_n AND top_n <= 0.25 * n_words AS kept FROM f""",
+    "op7_substrings": f"""
+        WITH d AS (SELECT doc_id, {_WORDS} AS ws FROM documents),
+        spots AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS i FROM d),
+        wins AS (SELECT doc_id, i, array_to_string(ws[i:i + 49], ' ') AS k FROM spots),
+        hits AS (SELECT wins.doc_id, i FROM wins JOIN (SELECT k, min(doc_id) AS first FROM wins GROUP BY k) USING (k) WHERE first < doc_id),
+        gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS j FROM hits),
+        each_word AS (SELECT doc_id, unnest(ws) AS w, unnest(range(1, len(ws) + 1)) AS j FROM d),
+        kept AS (SELECT doc_id, string_agg(w, ' ' ORDER BY j) AS t, count(*) AS n FROM each_word ANTI JOIN gone USING (doc_id, j) GROUP BY doc_id)
+        SELECT doc_id, len(ws) AS n_words, len(ws) - coalesce(kept.n, 0) AS n_removed, sha256(coalesce(kept.t, '')) AS kept_sha256
+        FROM d LEFT JOIN kept USING (doc_id)""",
+    "op8_ngram_jaccard": f"""
+        WITH RECURSIVE low AS (SELECT doc_id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+        d AS (SELECT doc_id, {_WORDS} AS ws FROM low),
+        sh AS (SELECT DISTINCT doc_id, ws[i:i + 3] AS s FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 2, 2))) AS i FROM d WHERE len(ws) > 0)),
+        n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+        shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+        links AS (SELECT x, y FROM shared JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * c >= 85 * (nx.n + ny.n - c)),
+        reach AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT reach.a, links.y FROM reach JOIN links ON links.x = reach.b)
+        SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least.c AS component_id
+        FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT a, min(b) AS c FROM reach GROUP BY a) least ON least.a = d.doc_id""",
 }
