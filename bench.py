@@ -6,9 +6,10 @@ built once and written as parquet below the session's checkpoint folder
 (time reported as ``prepare_sec``), so each query starts from nested
 parquet as it would on real inputs. Each query runs to completion through
 Spark's ``noop`` sink (full execution, nothing collected on the driver):
-one warm-up run, then the median of ``BENCH_REPS`` (default 3) timed runs,
-then one run tagged with a job group whose stages and shuffle bytes are read
+one warm-up run, then the median of ``BENCH_REPS`` (default 3) timed runs, the
+last of them tagged with a job group whose stages and shuffle bytes are read
 back from the event log (``stages``, ``shuffle_bytes_written``).
+``BENCH_QUERIES`` (names with commas) picks some queries.
 
 ``small`` holds the times of one run of each query on a smaller scale factor
 (``BENCH_SMALL_DIR``, default /root/testdata/sf0.01) and ``growth`` their
@@ -53,13 +54,18 @@ def run(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
-def timed(build, reps: int) -> float:
-    run(build())  # warm-up
+def timed(build, reps: int, sc=None, group: str = "") -> float:
+    """Median seconds after a warm-up; with a group, the last run's jobs carry it."""
+    run(build())
     ts = []
-    for _ in range(reps):
+    for i in range(reps):
+        if group and i == reps - 1:
+            sc.setJobGroup(group, group)
         t0 = time.time()
         run(build())
         ts.append(time.time() - t0)
+    if group:
+        sc.setJobGroup("bench", "untagged")
     return round(statistics.median(ts), 3)
 
 
@@ -132,16 +138,14 @@ def main() -> None:
     reps = int(os.environ.get("BENCH_REPS", "3"))
     sc = spark.sparkContext
     times: dict[str, float] = {}
-    for name, build in CATALOG.items():
-        times[name] = timed(lambda b=build: b(spark, sf_dir), reps)
-        sc.setJobGroup(f"q:{name}", name)  # one more run, tagged, for the event-log metrics
-        run(build(spark, sf_dir))
-        sc.setJobGroup("bench", "untagged")
+    chosen = {k: v for k, v in CATALOG.items() if k in os.environ.get("BENCH_QUERIES", k).split(",") or k == HEADLINE}
+    for name, build in chosen.items():
+        times[name] = timed(lambda b=build: b(spark, sf_dir), reps, sc, f"q:{name}")
 
     small: dict[str, float] = {}
     if os.path.isdir(small_dir) and small_dir != sf_dir:
         fx.materialize(spark, small_dir, scratch_path(spark, "bench-standins"))
-        for name, build in CATALOG.items():
+        for name, build in chosen.items():
             t0 = time.time()
             run(build(spark, small_dir))
             small[name] = round(time.time() - t0, 3)
@@ -183,8 +187,8 @@ def main() -> None:
         for k, v in metrics.get(group, {}).items():
             baseline[f"{group}_{k}"] = v
     out["shuffle_bytes_written"] = {name: metrics.get(f"q:{name}", {}).get("shuffle_bytes_written", 0)
-                                    for name in CATALOG}
-    out["stages"] = {name: metrics.get(f"q:{name}", {}).get("stages", 0) for name in CATALOG}
+                                    for name in chosen}
+    out["stages"] = {name: metrics.get(f"q:{name}", {}).get("stages", 0) for name in chosen}
     print(json.dumps(out))
 
 

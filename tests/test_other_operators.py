@@ -273,3 +273,16 @@ def test_one_pass_report_with_explicit_queryset_duplicates_and_absent_ids(spark)
     assert one == chain
     absent = [r for r in R.priority_report(*args, queryset=q).collect() if r["targetid"] == "NOT_AN_ENTITY"]
     assert len(absent) == 2 and all(r["isSecreted"] == 0 and r["hasPocket"] is None for r in absent)
+
+
+def test_probe_counts_with_null_urls_do_not_depend_on_ansi_mode(spark):
+    t = target_df(spark, target_row("A", chemicalProbes=[(True, "m", [("u1",), ("u2",)]), (True, "m", None), (True, "n", None)]))
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    got = []
+    try:
+        for mode in ("true", "false"):
+            spark.conf.set("spark.sql.ansi.enabled", mode)
+            got.append([tuple(r) for r in V.probe_moa_counts(t).collect()])
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
+    assert all(g == [("A", ["m:2"], 1)] for g in got)
