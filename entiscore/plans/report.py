@@ -28,7 +28,6 @@ from entiscore.functions.measures import minmax_scaled
 from entiscore.operators import prototype as V
 from entiscore.operators.joins import attach, attach_counted
 from entiscore.operators.properties import (
-    LOCATION_EVIDENCE,
     LOF,
     PROTEIN_CODING,
     _lof,
