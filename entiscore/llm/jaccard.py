@@ -221,6 +221,8 @@ def links(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100, id_col: st
           sig: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(classes ``node, n, doc``; ``node, root`` of the classes that link to
     another). ``sig`` has ``doc, n_shingles, node`` of the rows, if at hand."""
+    if 3 * num < 2 * den:
+        raise ValueError("size bands reach 1.5 times their first size: the threshold has to be two thirds or more")
     if sig is None:
         sig = signatures(docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text")), k, "text", ["doc"])
     classes = sig.filter("node IS NOT NULL").groupBy("node").agg(F.first("n_shingles").cast("int").alias("n"), F.min("doc").alias("doc"))
