@@ -41,7 +41,7 @@ from pyspark.sql.datasource import (
     WriterCommitMessage,
 )
 
-from entiscore.session import scratch_path
+from entiscore.session import scratch_path, stored
 
 VERSION = b"WARC/1.1"
 # Column -> header field that holds it.
@@ -287,6 +287,8 @@ def records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     rows = rows.withColumn("bytes", F.octet_length("payload").cast("long")).withColumn("digest", F.sha2("payload", 256))
     firsts = (rows.filter(F.col("bytes") >= least_bytes).groupBy(F.col("digest").alias("d"))
               .agg(F.min("id").alias("first"), F.count("*").alias("copies")).filter("copies > 1").drop("copies"))
+    # Stored, so that Spark knows its size: payloads are shuffled only if many payloads repeat.
+    firsts = stored(firsts, "warc-firsts")
     rows = rows.join(firsts, F.col("digest") == F.col("d"), "left")
     again = F.col("first").isNotNull() & (F.col("id").isNull() | (F.col("id") > F.col("first")))
     name = lambda c: F.concat(F.lit("urn:page:"), F.coalesce(c.cast("string"), F.lit("")))
