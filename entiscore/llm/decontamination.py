@@ -189,7 +189,8 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     found = (spots.groupBy("row", "item").agg(F.first("words").alias("words"), F.collect_set(F.struct("pos", "piece", "length")).alias("spots"))
              .groupBy("row").agg(F.collect_list(F.struct("item", "words", "spots")).alias("found")))  # by text: at most its own hits
     found = stored(found, "leak-candidates")
-    return (rows.join(found, "row").mapInArrow(_verify(error_rate), "row long, id long, item_id long, errors int, allowed int, start_word int, end_word int")
+    # Candidates grow with the corpus: one and the same join for every size.
+    return (rows.join(found.hint("merge"), "row").mapInArrow(_verify(error_rate), "row long, id long, item_id long, errors int, allowed int, start_word int, end_word int")
             .dropDuplicates().withColumnRenamed("id", id_col))
 
 
