@@ -130,6 +130,17 @@ def test_licence_edge_rows(spark):
     assert licenses.scan(docs(spark, []), licenses.train(spark, docs(spark, []))).count() == 0
 
 
+def test_licence_lines_without_cues_and_wrapped_notices(spark):
+    wrapped = "Permission is hereby granted, free of charge, to any\nperson obtaining a copy of this\nsoftware and associated documentation files"
+    rows = [(1, "GPL-3.0-or-later"), (2, "In no event shall the authors be liable"), (3, "The cat sat.\n \n" + wrapped + "\n\nThe dog sat."), (4, "CC BY-SA 4.0"),
+            (5, None), (6, " \n\n")]
+    frame = docs(spark, rows)
+    got = {(r["doc_id"], r["paragraph"], r["family"]) for r in licenses.scan(frame, licenses.train(spark, frame)).filter("confirmed").collect()}
+    assert got == {(1, 0, "GPL"), (2, 0, "MIT"), (3, 2, "MIT"), (3, 3, "MIT"), (3, 4, "MIT"), (4, 0, "CC-BY-SA")}
+    parts = licenses.paragraphs(frame, "doc_id", "text").filter("doc_id = 3").collect()
+    assert sorted([x["n"] for x in r["lines"]] for r in parts) == [[0], [2, 3, 4], [6]]
+
+
 PAGES = [(3, "http://a", "x" * 200), (1, "http://b", "x" * 200), (2, "http://c", "short"), (4, "http://d é", "short"), (5, None, None),
          (6, "http://e", "WARC/1.1\r\nWARC-Type: response\r\n\r\n" * 9), (7, "http://f\r\n", "é" * 60), (8, "http://g", "é" * 60),
          (None, "http://h", "x" * 200), (9, "http://i", "z" * 3_000_000)]
