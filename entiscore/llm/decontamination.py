@@ -1,7 +1,9 @@
 """Benchmark decontamination by pigeonhole edit matching.
 
-Texts are compared as words: maximal runs of letters and digits (ASCII ones,
-and every character beyond ASCII), lower-cased for A-Z. A test item of m words
+Texts are compared as words: maximal runs of letters and digits, lower-cased
+for A-Z. Spaces and punctuation of all of Unicode part words; each character of
+a script without spaces (Chinese, Japanese, Thai) and each symbol beyond ASCII
+is a word. A test item of m words
 may occur with up to e = floor(error_rate * m) word edits. Cut into e + 1
 pieces, at least one piece of a true occurrence is untouched; so every
 occurrence is found from an exact piece hit, and Myers' bit-parallel distance
@@ -30,13 +32,13 @@ for _a, _b in ((0x30, 0x3A), (0x41, 0x5B), (0x61, 0x7B)):
     _WORD[_a:_b] = True
 
 ERROR_RATE = 0.1
-LEAST_WORDS = 8     # shorter items occur by chance and are not looked for
+LEAST_WORDS = 8     # default of the operator; the query and the pipeline look for every item that has a word
 KEY_WORDS = 5       # first words of a piece that make its key (all, if it has fewer)
 FILTER_BITS = 24    # the bit set has 2**FILTER_BITS bits
 
 
 def _hashes(column: pa.Array) -> tuple[tx.Words, np.ndarray]:
-    words = tx.Words(tx.Texts(column, lower=True), _WORD)
+    words = tx.Words(tx.Texts(column, lower=True), _WORD, tx.kinds_of())
     return words, words.hashes()
 
 
@@ -84,7 +86,7 @@ def _pieces(error_rate: float, least_words: int, key_words: int):
             items, out = tx.column_of(part, "item").to_pylist(), []
             for i, item in enumerate(items):
                 a, m = int(words.first[i]), int(words.counts[i])
-                if m < least_words:
+                if m < max(1, least_words):
                     continue
                 own = h[a:a + m]
                 starts = piece_starts(m, error_rate)

@@ -31,11 +31,11 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All occurrences of benchmark items in documents, up to a tenth of an item's words edited."""
+    """The best occurrence of each benchmark item, whatever its length, in each document that holds it, up to a tenth of the item's words edited."""
     from entiscore.llm import decontamination
 
     return decontamination.leaks(_table(spark, sf_dir, "documents", "doc_id", "text"),
-                                 _table(spark, sf_dir, "benchmark", "item_id", "text")).drop("row")
+                                 _table(spark, sf_dir, "benchmark", "item_id", "text"), least_words=1).drop("row")
 
 
 def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:

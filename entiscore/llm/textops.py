@@ -9,6 +9,8 @@ every hash is a function of the bytes of a word and of nothing else.
 
 from __future__ import annotations
 
+import functools
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -91,11 +93,12 @@ class Texts:
         self.data = _LOWER[data] if lower else data
         self.offsets = offsets - offsets[0] if self.n else np.zeros(1, np.int64)
 
-    def runs(self, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def runs(self, inside: np.ndarray, cuts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(starts, ends, first run of each text) of the runs of True, which
-        never cross from one text into the next."""
+        never cross from one text into the next, nor a place in ``cuts``
+        (True where a new run starts; one place more than ``inside``)."""
         n = len(inside)
-        edge = np.zeros(n + 1, bool)
+        edge = np.zeros(n + 1, bool) if cuts is None else cuts.copy()
         edge[self.offsets] = True
         start, end = inside.copy(), inside.copy()
         if n:
@@ -109,12 +112,62 @@ class Texts:
         return span_hash(_TABLES[seed][self.data], starts, ends, _BYTE_POWERS)
 
 
+OUTSIDE, LETTER, ALONE = 0, 1, 2
+
+# Scripts written without spaces between words, as ranges of code points: each character is a word.
+_UNSPACED = ((0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19FF), (0x1A20, 0x1AAF), (0x2E80, 0x2FDF), (0x3005, 0x3007),
+             (0x3021, 0x3029), (0x3031, 0x312F), (0x31A0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0xA4CF), (0xA9E0, 0xA9FF), (0xAA60, 0xAADF),
+             (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x16FE0, 0x18CFF), (0x1AFF0, 0x1B2FF), (0x20000, 0x3FFFD))
+_INVISIBLE = (0x200B, 0x2060, 0xFEFF)  # breaks and joints without width, and the byte order mark
+
+
+@functools.cache
+def kinds_of() -> np.ndarray:
+    """For every code point whether it stands outside words (spaces, punctuation,
+    control characters), is a letter of a word, or is a word alone (characters
+    of unspaced scripts, and symbols)."""
+    out = np.full(0x110000, LETTER, np.uint8)
+    for a, b in _UNSPACED:
+        out[a:b + 1] = ALONE
+    for c in (*range(0x80, 0x20000), *range(0xE0000, 0xE0200)):
+        kind = unicodedata.category(chr(c))
+        if kind[0] in "ZP" or kind == "Cc" or c in _INVISIBLE:
+            out[c] = OUTSIDE
+        elif kind[0] == "S":
+            out[c] = ALONE
+    return out
+
+
+def _beyond_ascii(data: np.ndarray, inside: np.ndarray, kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``inside`` and ``cuts`` for :meth:`Texts.runs` by the kinds of the characters in UTF-8."""
+    inside, cuts = inside.copy(), np.zeros(len(data) + 1, bool)
+    at = np.flatnonzero(data >= 0xC0)
+    lead = data[at]
+    size = 2 + (lead >= 0xE0).astype(np.int64) + (lead >= 0xF0)
+    code = lead.astype(np.int64) & np.array([0, 0, 0x1F, 0x0F, 0x07])[size]
+    padded = np.concatenate([data, np.zeros(3, np.uint8)])
+    for k in (1, 2, 3):
+        code = np.where(size > k, code << 6 | padded[at + k] & 0x3F, code)
+    kind = kinds[np.minimum(code, len(kinds) - 1)]
+    for k in range(4):
+        spot = at[(kind == OUTSIDE) & (size > k)] + k
+        inside[spot[spot < len(data)]] = False
+    alone = kind == ALONE
+    cuts[at[alone]] = True
+    cuts[np.minimum(at[alone] + size[alone], len(data))] = True
+    return inside, cuts
+
+
 class Words:
     """Words of every text: byte spans, word hashes and the first word of each text."""
 
-    def __init__(self, texts: Texts, table: np.ndarray = SPACE_TABLE):
+    def __init__(self, texts: Texts, table: np.ndarray = SPACE_TABLE, kinds: np.ndarray | None = None):
+        """``kinds`` tells characters beyond ASCII apart (see :func:`kinds_of`); without it the table does for their bytes."""
         self.texts = texts
-        self.starts, self.ends, self.first = texts.runs(table[texts.data])
+        inside, cuts = table[texts.data], None
+        if kinds is not None and (texts.data >= 0x80).any():
+            inside, cuts = _beyond_ascii(texts.data, inside, kinds)
+        self.starts, self.ends, self.first = texts.runs(inside, cuts)
         self.counts = np.diff(self.first)
 
     def hashes(self, seed: int = 1) -> np.ndarray:

@@ -196,6 +196,22 @@ def test_leaks_against_brute_force(spark):
     assert sorted(map(repr, (r["text"] for r in clean.collect()))) == sorted(map(repr, held))
 
 
+def test_short_and_unspaced_items_are_found(spark, tmp_path):
+    import corpus_pipeline
+    from entiscore.llm import queries
+
+    zh = "今天的天气非常好，我们一起去公园散步吧。"
+    items = [(1, "Paris"), (2, "what is love"), (3, zh), (4, "สวัสดีครับ"), (5, "one “two” three four five six seven eight—nine"), (6, None), (7, " . ")]
+    rows = [(10, "He went to Paris, then home."), (11, "Parisian life"), (12, "So: what is   LOVE?"), (13, "开头" + zh.replace("，", " ").replace("非", "很") + "结尾"),
+            (14, "ก่อนสวัสดีครับ"), (15, 'x one\u00a0"two" three four five six seven eight - nine y'), (16, "今天的天气"), (17, None), (18, "what love is")]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {(r["doc_id"], r["item_id"], r["errors"]) for r in queries.op6_decontamination(spark, str(tmp_path)).collect()}
+    assert got == {(10, 1, 0), (12, 2, 0), (13, 3, 1), (14, 4, 0), (15, 5, 0)}
+    left = corpus_pipeline.drop_leaks(spark, docs(spark, rows), str(tmp_path))
+    assert {r["doc_id"] for r in left.collect()} == {11, 16, 17, 18}
+
+
 def test_leak_edge_rows(spark):
     frame, _ = wide(spark, EDGE_ROWS)
     item = [(1, " ".join(LONG.split()[500:520])), (2, "one"), (3, None)]
