@@ -107,6 +107,13 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.nullif(page("refers_to"), F.lit("")).cast("long").alias("refers_to"))
 
 
+def op11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents of each benchmark item."""
+    from entiscore.llm import lexical
+
+    return lexical.search(_table(spark, sf_dir, "documents", "doc_id", "text"), _table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_language": op2_language,
@@ -118,11 +125,28 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_mixing": op9_mixing,
     "op10_warc": op10_warc,
+    "op11_search": op11_search,
 }
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_TERMS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
 ORACLES: dict[str, str] = {
+    "op11_search": f"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS ts FROM documents),
+        n AS (SELECT r, doc_id, len(ts) AS n FROM d WHERE len(ts) > 0),
+        stats AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM n),
+        b AS (SELECT row_number() OVER () AS i, item_id, {_TERMS} AS ts FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+        q AS (SELECT i, t, count(*) AS times FROM (SELECT i, unnest(ts) AS t FROM b) GROUP BY i, t),
+        tf AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(ts) AS t FROM d) GROUP BY r, t),
+        w AS (SELECT t, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, stats GROUP BY t, n_docs),
+        gain AS (SELECT n.r, n.doc_id, tf.t, w.w * ((1000000000 * tf.tf) // (1000 * tf.tf + 12 * (75 + (25 * n.n * n_docs) // n_terms))) AS g
+            FROM tf JOIN n USING (r) JOIN w USING (t), stats),
+        s AS (SELECT i, r, doc_id, CAST(sum(times * g) AS BIGINT) AS score FROM q JOIN gain USING (t) GROUP BY i, r, doc_id),
+        ranked AS (SELECT i, doc_id, score, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM s WHERE score > 0)
+        SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked JOIN b USING (i) WHERE rank <= 20""",
     "op10_warc": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
         q AS (SELECT page_id, octet_length(encode(h)) AS n, sha256(h) AS d FROM p),

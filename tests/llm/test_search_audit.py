@@ -1,0 +1,81 @@
+"""Ranked search against a plain computation over all documents."""
+
+import math
+import random
+import re
+from collections import Counter
+
+import pytest
+from llm_frames import EDGE_ROWS, LONG, docs, lower, wide
+
+from entiscore.llm import lexical
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def brute_search(rows, items, k=20):
+    held = [(i, TERM.findall(lower(t))) for i, t in rows]
+    n_docs, n_terms = sum(bool(t) for _, t in held), sum(len(t) for _, t in held)
+    df = Counter(t for _, ts in held for t in set(ts))
+    out = []
+    for item, text in set(items):
+        asked, scored = TERM.findall(lower(text)), []
+        for i, ts in held:
+            tf = Counter(ts)
+            m = 75 + (25 * len(ts) * n_docs) // max(n_terms, 1)
+            score = sum(math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1))) * ((10**9 * tf[t]) // (1000 * tf[t] + 12 * m)) for t in asked if t in tf)
+            if score > 0:
+                scored.append((-score, i is None, i or 0))
+        out += [(item, r + 1, None if null else i, -s) for r, (s, null, i) in enumerate(sorted(scored)[:k])]
+    return sorted(out, key=repr)
+
+
+def found(df):
+    assert df.columns == ["item_id", "rank", "doc_id", "score"]
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+VOCABULARY = ["Ärger", "ärger", "THE", "the", "of", "x1", "1", "日本語", "naïve", "NAÏVE", "a", "ab", "abc", "b", "bc", "é", "word", "Word"]
+JOINTS = [" ", "\n", "-", "_", "\x00", "\x7f", "...", "@"]
+
+
+def texts(rnd, n, most):
+    return ["".join(rnd.choice(VOCABULARY) + rnd.choice(JOINTS) for _ in range(rnd.randint(0, most))) for _ in range(n)]
+
+
+@pytest.mark.parametrize("block_bytes", [1 << 20, 300])
+def test_search_against_brute_force(spark, block_bytes):
+    rnd = random.Random(block_bytes)
+    rows = [(rnd.choice([i, i // 3, None]) if rnd.random() < 0.3 else i, t) for i, t in enumerate(texts(rnd, 150, 30))]
+    rows += [(1000 + i, rows[7][1]) for i in range(60)]  # equal scores: more than are reported
+    items = list(enumerate(texts(rnd, 12, 8))) + [(3, "the other text of item 3"), (None, "word of"), (50, None), (51, ""), (52, " - ")]
+    frame = spark.createDataFrame(items + items[:4], "item_id long, text string")
+    got = found(lexical.search(docs(spark, rows).repartition(5), frame, block_bytes=block_bytes))
+    assert got == brute_search(rows, items)
+
+
+def test_search_edge_rows(spark):
+    frame, _ = wide(spark, EDGE_ROWS)
+    items = [(1, LONG), (2, "one without text"), (2, "one without text"), (3, "absent")]
+    asked, _ = wide(spark, items)
+    assert found(lexical.search(frame, asked.withColumnRenamed("doc_id", "item_id"))) == brute_search(EDGE_ROWS, items)
+    asked = spark.createDataFrame(items, "item_id long, text string")
+    assert lexical.search(docs(spark, []), asked).count() == 0
+    assert lexical.search(docs(spark, [(1, None), (2, "--")]), asked).count() == 0
+    assert lexical.search(frame, asked.limit(0)).count() == 0
+
+
+def test_search_other_id_types_and_names(spark):
+    rows = spark.createDataFrame([("b", "red fish"), ("a", "red fish"), ("c", "blue")], "name string, body string")
+    out = lexical.search(rows, spark.createDataFrame([("q", "fish")], "ask string, words string"), 1, "name", "body", "ask", "words")
+    assert [(r["ask"], r["rank"], r["name"]) for r in out.collect()] == [("q", 1, "a")]
+
+
+def test_runs_without_a_guard_are_cut_only_at_guards():
+    column = lexical.pa.array(["a" * 50 + " ab " + "é" * 40 + " ab", "ab", "xab abx"])
+    block = lexical.Block([(1, "ab"), (2, "é" * 40)])
+    whole = lexical.Counted(column, block)
+    assert dict(zip(zip(whole.doc.tolist(), [block.terms[t].decode() for t in whole.term]), whole.times.tolist(), strict=True)) == {(0, "ab"): 2, (0, "é" * 40): 1, (1, "ab"): 1}
+    buffer = lexical.np.frombuffer(b" aaaaaaaaaaaaaaaa ab ab a ", lexical.np.uint8)
+    parts = [bytes(buffer[a:b]) for a, b in lexical._pieces(buffer, 4, limit=6)]
+    assert parts == [b" ab ab ", b" a "]
