@@ -114,6 +114,13 @@ def op11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(_table(spark, sf_dir, "documents", "doc_id", "text"), _table(spark, sf_dir, "benchmark", "item_id", "text"))
 
 
+def op12_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove of all documents, alone and together, in every order."""
+    from entiscore.llm import audit
+
+    return audit.audit(_table(spark, sf_dir, "documents", "doc_id", "text", "source"), _table(spark, sf_dir, "labels", "doc_id", "quality", "toxic"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_language": op2_language,
@@ -126,6 +133,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mixing": op9_mixing,
     "op10_warc": op10_warc,
     "op11_search": op11_search,
+    "op12_audit": op12_audit,
 }
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -155,6 +163,30 @@ ORACLES: dict[str, str] = {
                CASE WHEN q.page_id > f.first THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN q.page_id > f.first THEN f.first END AS refers_to
         FROM q LEFT JOIN f ON q.d = f.d""",
+    "op12_audit": f"""
+        WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text, {_WORDS} AS ws FROM documents),
+        m AS (SELECT text AS t, min(doc_id) AS first FROM d GROUP BY text),
+        l AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+        f AS (SELECT row_number() OVER () AS r, part, coalesce(l.good, false) AS good, coalesce(l.toxic, false) AS toxic,
+            concat(CASE WHEN len(ws) < 50 THEN 'A' ELSE '' END, CASE WHEN 100 * len(list_distinct(ws)) < 65 * len(ws) THEN 'B' ELSE '' END,
+                CASE WHEN 100 * len(regexp_extract_all(text, '[A-Z]')) > 5 * length(text) THEN 'C' ELSE '' END,
+                CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END, CASE WHEN d.doc_id > m.first THEN 'E' ELSE '' END) AS fails
+            FROM d JOIN m ON d.text = m.t LEFT JOIN l ON l.doc_id = d.doc_id),
+        x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+        orders AS (SELECT concat(a.x, b.x, c.x, d.x, e.x) AS o FROM x a, x b, x c, x d, x e
+            WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+        steps AS (SELECT o, unnest(range(1, 6)) AS step FROM orders),
+        counted AS (SELECT part, fails, good, toxic, count(*) AS n FROM f GROUP BY ALL),
+        seen AS (SELECT part, o, step, o[step] AS x, fails, good, toxic, n, length(translate(fails, o[1:step], '')) < length(fails) AS gone,
+            length(translate(fails, o[1:step - 1], '')) < length(fails) AS gone_before, contains(fails, o[step]) AS failing FROM counted, steps),
+        s AS (SELECT part, o, step, x, sum(n) FILTER (NOT gone) AS kept, sum(n) FILTER (gone AND NOT gone_before) AS removed,
+            sum(n) FILTER (failing AND gone_before) AS redundant, sum(n) FILTER (fails = x) AS unique_fails,
+            sum(n) FILTER (gone AND NOT gone_before AND good) AS good_lost, sum(n) FILTER (gone AND NOT gone_before AND toxic) AS toxic_lost
+            FROM seen GROUP BY part, o, step, x)
+        SELECT part, o AS filter_order, CAST(step AS INTEGER) AS step, CAST(coalesce(kept, 0) AS BIGINT) AS kept, CAST(coalesce(removed, 0) AS BIGINT) AS removed,
+            CAST(coalesce(redundant, 0) AS BIGINT) AS redundant, CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails,
+            CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost, CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+            CAST(coalesce(sum(removed) OVER (PARTITION BY part, x), 0) AS BIGINT) AS shapley FROM s""",
     "op5_quality": f"""
         WITH d AS (SELECT doc_id, coalesce(text, '') AS text, {_WORDS} AS ws FROM documents),
         spots AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 3)) AS i FROM d),

@@ -1,14 +1,16 @@
-"""Ranked search against a plain computation over all documents."""
+"""Ranked search and the filter audit against a plain computation over all documents."""
 
+import itertools
 import math
 import random
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
-from llm_frames import EDGE_ROWS, LONG, docs, lower, wide
+from llm_frames import EDGE_ROWS, LONG, docs, lower, wide, words
 
-from entiscore.llm import lexical
+from entiscore.llm import audit, lexical
 
 TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 
@@ -79,3 +81,75 @@ def test_runs_without_a_guard_are_cut_only_at_guards():
     buffer = lexical.np.frombuffer(b" aaaaaaaaaaaaaaaa ab ab a ", lexical.np.uint8)
     parts = [bytes(buffer[a:b]) for a, b in lexical._pieces(buffer, 4, limit=6)]
     assert parts == [b" ab ab ", b" a "]
+
+
+@pytest.mark.parametrize("shard_words,range_words", [(1 << 21, 1 << 20), (100, 40)])
+def test_matrix_holds_every_count(spark, shard_words, range_words):
+    rnd = random.Random(shard_words)
+    rows = [(i, " ".join(rnd.choices([f"w{j}" for j in range(60)] + ["é", "日本", "W1"], k=rnd.choice([0, 3, 40])))) for i in range(60)] + EDGE_ROWS
+    dictionary, shards = audit.term_matrix(docs(spark, rows).repartition(3), shard_words=shard_words, range_words=range_words)
+    word = {r["word_id"]: r["word"] for r in dictionary.collect()}
+    assert len(set(word.values())) == len(word) and set(word.values()) == {w for _, t in rows for w in words(t)}
+    got = []
+    for r in shards.collect():
+        starts, columns, times = (np.frombuffer(r[c], t) for c, t in (("starts", np.int64), ("columns", np.int64), ("times", np.uint32)))
+        for row, a, b in zip(r["rows"], starts, starts[1:], strict=False):
+            got.append((row["doc_id"], sorted((word[c], n) for c, n in zip(columns[a:b].tolist(), times[a:b].tolist(), strict=True))))
+    assert sorted(got, key=repr) == sorted(((i, sorted(Counter(words(t)).items())) for i, t in rows), key=repr)
+    measured = [tuple(r) for r in audit.row_measures(shards).collect()]
+    assert sorted(measured, key=repr) == sorted(((i, len(words(t)), len(set(words(t)))) for i, t in rows), key=repr)
+
+
+def brute_audit(rows, labels):
+    first, marks = {}, defaultdict(lambda: [False, False])
+    for i, t, _ in rows:
+        if i is not None:
+            first[t or ""] = min(first.get(t or "", i), i)
+    for i, quality, toxic in labels:
+        if i is not None:
+            marks[i][0] |= quality == 1
+            marks[i][1] |= toxic == 1
+    flagged = []
+    for i, t, source in rows:
+        t, w = t or "", words(t)
+        fails = {"A": len(w) < 50, "B": 100 * len(set(w)) < 65 * len(w), "C": 100 * sum("A" <= c <= "Z" for c in t) > 5 * len(t),
+                 "D": any(c in "#$%&*|" for c in t), "E": i is not None and first[t] < i}
+        flagged.append((source or "", {f for f, x in fails.items() if x}, *(marks[i] if i in marks else (False, False))))
+    out = []
+    for part in {p for p, *_ in flagged}:
+        mine, total = [f for f in flagged if f[0] == part], Counter()
+        lines = []
+        for order in itertools.permutations("ABCDE"):
+            left = mine
+            for step, f in enumerate(order):
+                gone = [x for x in left if f in x[1]]
+                left = [x for x in left if f not in x[1]]
+                total[f] += len(gone)
+                lines.append(("".join(order), step + 1, len(left), len(gone), sum(f in x[1] for x in mine) - len(gone), sum(x[1] == {f} for x in mine),
+                              sum(x[2] for x in gone), sum(x[3] for x in gone), f))
+        out += [(part, *x[:-1], total[x[-1]]) for x in lines]
+    return sorted(out)
+
+
+COLUMNS = ["part", "filter_order", "step", "kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley"]
+LABELS = "doc_id long, quality int, toxic int"
+
+
+def test_audit_against_brute_force(spark):
+    rnd = random.Random(5)
+    pool = ["".join(rnd.choice(["word ", "Ab ", "é\n", "x%", "CD ", f"w{j} ", "z "]) for j in range(rnd.choice([2, 60, 90, 150]))) for _ in range(25)] + ["", None, "one"]
+    rows = [(rnd.choice([i, i // 4, None]) if rnd.random() < 0.3 else i, rnd.choice(pool), rnd.choice(["s1", "s2", "", None])) for i in range(200)]
+    rows += [(300 + i, pool[0], "hot") for i in range(100)] + rows[:5]
+    labels = [(rnd.choice([rnd.randint(0, 250), None]), rnd.choice([0, 1, None]), rnd.choice([0, 1, None])) for _ in range(150)]
+    out = audit.audit(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4), spark.createDataFrame(labels, LABELS))
+    assert out.columns == COLUMNS
+    assert sorted(map(tuple, out.collect())) == brute_audit(rows, labels)
+
+
+def test_audit_edge_rows(spark):
+    frame, _ = wide(spark, EDGE_ROWS)
+    labels = spark.createDataFrame([(5, 1, 1, "x", "y")], LABELS + ", text string, part string")
+    got = sorted(map(tuple, audit.audit(frame, labels).collect()))
+    assert got == brute_audit([(i, t, "s") for i, t in EDGE_ROWS], [(5, 1, 1)])
+    assert audit.audit(frame.limit(0), labels).count() == 0
+    assert audit.audit(frame, labels.limit(0)).count() == 600
