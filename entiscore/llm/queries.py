@@ -8,6 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from entiscore.llm.pii import IBAN_LENGTHS
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
@@ -121,6 +123,16 @@ def op12_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.audit(_table(spark, sf_dir, "documents", "doc_id", "text", "source"), _table(spark, sf_dir, "labels", "doc_id", "quality", "toxic"))
 
 
+def op13_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in all documents."""
+    from entiscore.llm import pii
+
+    base = tuple(k.name for k in pii.KINDS if k.base)
+    found = pii.spans(_table(spark, sf_dir, "documents", "doc_id", "text"), out_col="found", keep=["doc_id"])
+    return found.selectExpr("doc_id", *[f"CAST(size(filter(found, s -> s.kind = '{k}')) AS long) AS n_{k}" for k in base],
+                            f"sha2({pii.listed('found', base)}, 256) AS base_sha256", f"{pii.listed('found')} AS spans")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_language": op2_language,
@@ -134,6 +146,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_warc": op10_warc,
     "op11_search": op11_search,
     "op12_audit": op12_audit,
+    "op13_pii": op13_pii,
 }
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -187,6 +200,37 @@ ORACLES: dict[str, str] = {
             CAST(coalesce(redundant, 0) AS BIGINT) AS redundant, CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails,
             CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost, CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
             CAST(coalesce(sum(removed) OVER (PARTITION BY part, x), 0) AS BIGINT) AS shapley FROM s""",
+    "op13_pii": rf"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+        kinds AS (SELECT * FROM (VALUES (0, 'email', '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+'), (1, 'ip', '[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)'),
+            (2, 'card', '[0-9]([ -]?[0-9])+'), (3, 'phone', '\+[0-9][ ().0-9-]+[0-9]'),
+            (4, 'iban', '(^|[^A-Za-z0-9])[A-Z]{{2}}[0-9]{{2}}( ?[A-Z0-9]){{11,30}}'), (5, 'ssn', '[0-9]+(-[0-9]+)+')) AS k(rank, kind, p)),
+        m AS (SELECT r, rank, kind, regexp_extract_all(t, p) AS f, string_split_regex(t, p) AS g FROM d, kinds WHERE regexp_matches(t, p)),
+        e AS (SELECT r, rank, kind, f, g, unnest(range(1, len(f) + 1)) AS i FROM m),
+        placed AS (SELECT r, rank, kind, f[i] AS x, concat(right(g[i], 40), ' ', left(g[i + 1], 40)) AS near, left(g[i + 1], 1) AS behind,
+            CAST(list_sum(list_transform(g[1:i], lambda y: length(y))) + coalesce(list_sum(list_transform(f[1:i - 1], lambda y: length(y))), 0) AS BIGINT) AS pos FROM e),
+        own AS (SELECT * REPLACE (CASE WHEN kind = 'iban' AND regexp_matches(x, '^[^A-Za-z0-9]') THEN x[2:] ELSE x END AS x,
+            CASE WHEN kind = 'iban' AND regexp_matches(x, '^[^A-Za-z0-9]') THEN pos + 1 ELSE pos END AS pos) FROM placed),
+        sized AS (SELECT *, regexp_replace(x, '[^0-9]', '', 'g') AS digits, CASE WHEN kind = 'iban' THEN list_filter(range(1, length(x) + 1),
+            lambda n: length(replace(x[1:n], ' ', '')) = CAST(regexp_extract('{IBAN_LENGTHS}', concat(x[1:2], '([0-9]+)'), 1) AS INTEGER))[1] END AS cut
+            FROM own WHERE kind <> 'iban' OR contains('{IBAN_LENGTHS}', x[1:2])),
+        found AS (SELECT * REPLACE (CASE WHEN kind = 'iban' THEN x[1:cut] ELSE x END AS x), CASE WHEN cut < length(x) THEN x[cut + 1] ELSE behind END AS after FROM sized
+            WHERE kind <> 'iban' OR cut IS NOT NULL),
+        spans AS (SELECT r, rank, kind, pos, concat_ws(':', kind, pos, pos + length(x)) AS span FROM found WHERE CASE kind
+            WHEN 'email' THEN true
+            WHEN 'ip' THEN list_bool_and(list_transform(string_split(x, '.'), lambda q: length(ltrim(q, '0')) <= 3 AND coalesce(TRY_CAST(ltrim(q, '0') AS INTEGER), 0) <= 255))
+            WHEN 'card' THEN length(digits) BETWEEN 12 AND 19 AND list_sum(list_transform(range(1, length(digits) + 1), lambda i: CASE WHEN (length(digits) - i) % 2 = 0
+                THEN ascii(digits[i]) - 48 ELSE 2 * (ascii(digits[i]) - 48) - CASE WHEN digits[i] > '4' THEN 9 ELSE 0 END END)) % 10 = 0
+            WHEN 'phone' THEN length(digits) BETWEEN 9 AND 15
+            WHEN 'iban' THEN NOT regexp_matches(after, '[A-Za-z0-9]') AND list_reduce(list_prepend(0, list_transform(string_split(concat(x[5:], x[1:4]), ''), lambda c: ascii(c))),
+                lambda a, c: CASE WHEN c = 32 THEN a WHEN c < 58 THEN (a * 10 + c - 48) % 97 ELSE (a * 100 + c - 55) % 97 END) = 1
+            ELSE regexp_full_match(x, '[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}') AND digits[1:3] NOT IN ('000', '666') AND digits[1] <> '9' AND digits[4:5] <> '00' AND digits[6:9] <> '0000'
+                AND regexp_matches(near, '(?i)(^|[^A-Za-z0-9])(ssn|social security|tax id|taxpayer)([^A-Za-z0-9]|$)')
+                AND NOT regexp_matches(near, '(?i)(^|[^A-Za-z0-9])(part no|order|invoice)([^A-Za-z0-9]|$)') END),
+        s AS (SELECT r, count(*) FILTER (rank = 0) AS n_email, count(*) FILTER (rank = 1) AS n_ip, count(*) FILTER (rank = 2) AS n_card,
+            count(*) FILTER (rank = 3) AS n_phone, string_agg(span, ',' ORDER BY pos, rank) FILTER (rank < 4) AS base, string_agg(span, ',' ORDER BY pos, rank) AS spans FROM spans GROUP BY r)
+        SELECT doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coalesce(n_card, 0) AS n_card, coalesce(n_phone, 0) AS n_phone,
+            sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN s USING (r)""",
     "op5_quality": f"""
         WITH d AS (SELECT doc_id, coalesce(text, '') AS text, {_WORDS} AS ws FROM documents),
         spots AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 3)) AS i FROM d),
