@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from entiscore.llm import textops as tx
 from entiscore.llm.tables import fresh, stored
 
-SHARD_WORDS = 1 << 21    # word occurrences of a shard; a longer text makes a shard of its own
+SHARD_WORDS = 1 << 20    # word occurrences of a shard; a longer text makes a shard of its own
 RANGE_WORDS = 1 << 20    # words of all shards' dictionaries in one range of hashes, about
 
 # Measures of the texts of a slice, by name; all are longs.
@@ -65,7 +65,7 @@ class _Slice:
 
 
 def _shard(number: int, slices: list[_Slice], fields: list[str], schema: pa.Schema) -> pa.RecordBatch:
-    """One shard as a row; its dictionary is in the order of the hashes."""
+    """One shard as a row; its dictionary is in the order of the hashes, which are not kept: the words give them again."""
     hashes, first, at = np.unique(np.concatenate([s.hashes for s in slices]), return_index=True, return_inverse=True)
     sizes = np.concatenate([s.sizes for s in slices])
     words = np.concatenate([s.words for s in slices])
@@ -77,7 +77,7 @@ def _shard(number: int, slices: list[_Slice], fields: list[str], schema: pa.Sche
     rows = pa.StructArray.from_arrays([c.chunk(0) if isinstance(c, pa.ChunkedArray) else c for c in held],
                                       fields=list(schema.field("rows").type.value_type))
     packed = (_starts(np.concatenate([s.filled for s in slices])), columns, np.concatenate([s.times for s in slices]),
-              hashes, sizes[first], _gather(words, _starts(sizes)[first], sizes[first]))
+              sizes[first], _gather(words, _starts(sizes)[first], sizes[first]))
     values = [pa.array([number]), pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), rows), pa.array([len(hashes)]), *[pa.array([x.tobytes()]) for x in packed]]
     return pa.RecordBatch.from_arrays([v.cast(f.type) for v, f in zip(values, schema, strict=True)], schema=schema)
 
@@ -102,25 +102,26 @@ def _cut(ranges: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                hashes, sizes = np.frombuffer(row["hashes"], np.uint64), np.frombuffer(row["sizes"], np.uint32)
+                sizes, words = np.frombuffer(row["sizes"], np.uint32), np.frombuffer(row["words"], np.uint8)
+                hashes = tx.packed_hashes(words, sizes)
                 at = np.concatenate([[0], np.searchsorted(hashes, edges), [len(hashes)]])
                 byte = _starts(sizes)[at]
                 used = np.flatnonzero(np.diff(at)).tolist()
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(used, pa.int32()), pa.array([row["shard"]] * len(used), pa.int64()),
                      *[pa.array([x[p[r]:p[r + 1]].tobytes() for r in used], pa.binary())
-                       for x, p in ((hashes, at), (sizes, at), (np.frombuffer(row["words"], np.uint8), byte))]],
-                    ["range", "shard", "hashes", "sizes", "words"])
+                       for x, p in ((sizes, at), (words, byte))]],
+                    ["range", "shard", "sizes", "words"])
     return run
 
 
 def _number(part: pa.Table) -> pa.Table:
     """The numbers of a range's words for every shard that has some, and the range's dictionary (shard null)."""
-    packed = {c: [x.as_py() for x in part[c]] for c in ("hashes", "sizes", "words")}
-    hashes, sizes, words = (np.frombuffer(b"".join(packed[c]), t) for c, t in (("hashes", np.uint64), ("sizes", np.uint32), ("words", np.uint8)))
-    distinct, first, at = np.unique(hashes, return_index=True, return_inverse=True)
+    packed = {c: [x.as_py() for x in part[c]] for c in ("sizes", "words")}
+    sizes, words = (np.frombuffer(b"".join(packed[c]), t) for c, t in (("sizes", np.uint32), ("words", np.uint8)))
+    _, first, at = np.unique(tx.packed_hashes(words, sizes), return_index=True, return_inverse=True)
     numbers = at.astype(np.int32)
-    bounds = _starts([len(h) // 8 for h in packed["hashes"]])
+    bounds = _starts([len(x) // 4 for x in packed["sizes"]])
     own = part["range"][0].as_py()
     rows = [(own, s, numbers[a:b].tobytes(), None, None) for s, a, b in zip(part["shard"].to_pylist(), bounds, bounds[1:], strict=False)]
     rows.append((own, None, None, sizes[first].tobytes(), _gather(words, _starts(sizes)[first], sizes[first]).tobytes()))
@@ -176,13 +177,13 @@ def term_matrix(docs: DataFrame, text_col: str = "text", keep: list[str] | None
     scanned = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text_col}`").alias(text))
     row = T.StructType([scanned.schema[c] for c in keep] + [T.StructField(m, T.LongType()) for m in measured])
     out = T.StructType().add("shard", T.LongType()).add("rows", T.ArrayType(row)).add("n_own", T.LongType())
-    for c in ("starts", "columns", "times", "hashes", "sizes", "words"):
+    for c in ("starts", "columns", "times", "sizes", "words"):
         out = out.add(c, T.BinaryType())
     arrow = scanned.sparkSession.createDataFrame([], out).toArrow().schema
     built = stored(scanned.mapInArrow(_build(text, keep, measures, shard_words, arrow), out), "term-shards")
     entries = built.agg(F.sum("n_own")).first()[0] or 0
     ranges = max(1, math.ceil(entries / range_words))
-    cut = built.select("shard", "hashes", "sizes", "words").mapInArrow(_cut(ranges), "range int, shard long, hashes binary, sizes binary, words binary")
+    cut = built.select("shard", "sizes", "words").mapInArrow(_cut(ranges), "range int, shard long, sizes binary, words binary")
     numbered = stored(cut.groupBy("range").applyInArrow(_number, "range int, shard long, numbers binary, sizes binary, words binary"), "term-numbers")
     dictionary = numbered.where(F.col("shard").isNull()).select("range", "sizes", "words").mapInArrow(_words, "word_id long, word string")
     own = built.select("shard", "rows", "starts", "columns", "times")

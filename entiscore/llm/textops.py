@@ -112,6 +112,12 @@ class Texts:
         return span_hash(_TABLES[seed][self.data], starts, ends, _BYTE_POWERS)
 
 
+def packed_hashes(data: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Hashes of words that stand one behind the other, as of the same words in a text."""
+    ends = np.cumsum(sizes, dtype=np.int64)
+    return span_hash(_TABLES[1][data], ends - sizes, ends, _BYTE_POWERS)
+
+
 OUTSIDE, LETTER, ALONE = 0, 1, 2
 
 # Scripts written without spaces between words, as ranges of code points: each character is a word.
