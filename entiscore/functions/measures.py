@@ -100,12 +100,16 @@ def rank_weighted_sum(groups: str) -> Column:
     """Harmonic (inverse-square rank weighted) sum over score groups.
 
     ``groups`` names an array of ``struct(score double, n long)`` sorted by
-    score descending: ``n`` equal scores occupy the next ``n`` ranks. The
-    result is ``sum_i score_i / i^2`` over the expanded, descending list,
-    computed per group as ``score * (H2(p + n) - H2(p))`` with ``p`` the ranks
-    already used, so a group's size never turns into a loop or a materialised
-    list. Returns ``struct(hs double, n long)``.
+    score descending: ``n`` equal scores occupy the next ``n`` ranks, and
+    neighbours with the same score are one group. The result is
+    ``sum_i score_i / i^2`` over the expanded, descending list, computed per
+    group as ``score * (H2(p + n) - H2(p))`` with ``p`` the ranks already used,
+    so a group's size never turns into a loop or a materialised list. Returns
+    ``struct(hs double, n long)``.
     """
-    step = (f"named_struct('hs', acc.hs + g.score * (({_h2_sql('(acc.n + g.n)')}) - ({_h2_sql('acc.n')})), "
-            f"'n', acc.n + g.n)")
-    return F.expr(f"aggregate(`{groups}`, named_struct('hs', 0D, 'n', 0L), (acc, g) -> {step})")
+    # hs and n of the groups that are done, s and m of the one that is open
+    closed = f"acc.hs + acc.s * (({_h2_sql('(acc.n + acc.m)')}) - ({_h2_sql('acc.n')}))"
+    step = (f"CASE WHEN g.score = acc.s THEN named_struct('hs', acc.hs, 'n', acc.n, 'm', acc.m + g.n, 's', acc.s) "
+            f"ELSE named_struct('hs', {closed}, 'n', acc.n + acc.m, 'm', g.n, 's', g.score) END")
+    return F.expr(f"aggregate(`{groups}`, named_struct('hs', 0D, 'n', 0L, 'm', 0L, 's', 0D), (acc, g) -> {step}, "
+                  f"acc -> named_struct('hs', {closed}, 'n', acc.n + acc.m))")

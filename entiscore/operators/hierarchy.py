@@ -7,7 +7,9 @@ inside an item, only the text before ``;`` is the term id).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 NAME, TERM_ID, IS_A, PART_OF = "Name", "Subcellular location ID", "Is a", "Is part of"
@@ -76,3 +78,22 @@ def terms_for_name(exploded: DataFrame, name: str) -> DataFrame:
     below = exploded.select("SubcellID", F.explode(F.array("Is_a", "Is_part")).alias("_up")).where(F.col("_up").isNotNull())
     found = below.join(named, F.col("_up") == F.col("_t"), "left_semi").select(F.col("SubcellID").alias("term"))
     return named.select(F.col("_t").alias("term")).unionByName(found).distinct()
+
+
+def term_bits(exploded: DataFrame, names: Sequence[str]) -> Column:
+    """The search sets (H6) of several named terms as one value, a scalar
+    subquery: ``array<struct<term, bits>>`` sorted by term, where bit i says that
+    the term is in the set of ``names[i]``. A term may stand there more than
+    once, with other bits; its bits are those of all its entries.
+
+    One pass finds the ids of the names, another the terms that are one of them
+    or directly below: two global aggregates for all names together, and no join."""
+    bit = F.lit(0)
+    for i, name in enumerate(names):
+        bit = bit.bitwiseOR(F.when(F.col("Name") == F.lit(name), F.lit(1 << i)).otherwise(F.lit(0)))
+    named = exploded.select(F.col("SubcellID").alias("id"), bit.alias("bit")).where((F.col("bit") > 0) & F.col("id").isNotNull())
+    named = named.agg(F.collect_set(F.struct("id", "bit")).alias("named")).scalar()
+    bits = F.expr("""aggregate(filter(_named, e -> coalesce(e.id = SubcellID, false) OR coalesce(e.id = Is_a, false) OR coalesce(e.id = Is_part, false)), 0, (a, e) -> a | e.bit)""")
+    found = exploded.select("SubcellID", "Is_a", "Is_part", named.alias("_named")).select(F.col("SubcellID").alias("term"), bits.alias("bits"))
+    found = found.where((F.col("bits") > 0) & F.col("term").isNotNull())
+    return found.agg(F.sort_array(F.collect_set(F.struct("term", "bits"))).alias("terms")).scalar()

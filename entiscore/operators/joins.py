@@ -8,10 +8,10 @@ set (``queryset LEFT JOIN measures``). Two helpers cover the two shapes:
   key, so the join reuses that partitioning and only the query set moves.
 * fan-out measures (several rows per key, e.g. duplicate records):
   - :func:`attach_counted` for categorical measures (few distinct values
-    per key): rows are counted per (key, value) with map-side combine, the
-    counts are split into bounded chunks, joined, dealt out by (key, chunk)
-    and only then copied. No shuffle ever sees a hot key's raw rows and no
-    task makes all copies of a hot key.
+    per key): query rows and measures are both counted with map-side
+    combine, the counts are joined, split into bounded chunks, dealt out
+    and only then copied. No shuffle ever sees a hot key's raw rows, of
+    either side, and no task makes all copies of a hot key.
   - ``attach(..., fanout=True)`` for open-ended values: the left join is
     split into an inner join plus an anti join against the *distinct* keys.
     Spark's adaptive skew handling can split a hot key on either side of an
@@ -48,34 +48,35 @@ def attach(queryset: DataFrame, measures: DataFrame, on: str, qkey: str = "targe
 CHUNK = 1 << 12
 
 
-def counted(measures: DataFrame, on: str, name: str, chunk: int = CHUNK) -> DataFrame:
-    """Fan-out measures as ``__key_<name>``, their value columns, and the chunk
-    ``_chunk_<name>`` of ``_copies_<name>`` (at most ``chunk``) equal rows that
-    each row stands for. Counting is combined map-side, so a hot key's raw rows
-    are never shuffled."""
-    vals = [c for c in measures.columns if c != on]
+def dealt(rows: DataFrame, copies: str, by: list[str], chunk: int = CHUNK) -> DataFrame:
+    """Every row as often as its column ``copies`` says, which is dropped.
+
+    A row is first cut into chunks of at most ``chunk`` copies, the chunks are
+    dealt out by the columns ``by`` and their number, and only then copied: a
+    row of very many copies is made by as many tasks as it has chunks."""
     size = F.lit(chunk).cast("long")
-    n = measures.groupBy(F.col(on).alias(f"{KEY}_{name}"), *vals).agg(F.count(F.lit(1)).alias("_n"))
-    last = F.floor((F.col("_n") - 1) / size).cast("long")
-    return (n.select("*", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias(f"_chunk_{name}"))
-            .withColumn(f"_copies_{name}", F.least(size, F.col("_n") - F.col(f"_chunk_{name}") * size)).drop("_n"))
+    last = F.floor((F.col(copies) - 1) / size).cast("long")
+    parts = rows.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), last))).withColumn(
+        "_left", F.least(size, F.col(copies) - F.col("_chunk") * size))
+    parts = parts.repartition(*by, "_chunk")
+    return parts.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_left")))).drop(copies, "_chunk", "_left", "_copy")
 
 
 def attach_counted(queryset: DataFrame, *measures: tuple[DataFrame, str], qkey: str = "targetid", chunk: int = CHUNK) -> DataFrame:
     """``queryset LEFT JOIN measures`` for each ``(measures, key column)`` whose
     values are few per key (category scores, flags): the rows of the plain joins.
 
-    All counted frames (:func:`counted`) are joined first, which meets at most
-    (value tuples x chunks) rows a key; then rows are dealt out by key and
-    chunk, and only then copied. A hot key's copies are so spread over as many
-    tasks as it has chunks."""
-    out, names, vals = queryset, [str(i) for i in range(len(measures))], []
-    for name, (frame, on) in zip(names, measures, strict=True):
-        vals += [c for c in frame.columns if c != on]
-        key = f"{KEY}_{name}"
-        out = out.join(counted(frame, on, name, chunk), F.col(qkey) == F.col(key), "left").drop(key)
-    out = out.repartition(qkey, *[f"_chunk_{n}" for n in names])
-    for n in names:
-        copies = F.sequence(F.lit(1).cast("long"), F.coalesce(F.col(f"_copies_{n}"), F.lit(1).cast("long")))
-        out = out.withColumn("_copy", F.explode(copies)).drop("_copy")
-    return out.select(*queryset.columns, *vals)
+    Both sides are counted first, map-side combined: equal rows of the query set
+    become one with a count, and so do equal values of a key. The joins then
+    meet a row per distinct query row and value tuple, whose count is the
+    product; :func:`dealt` makes the copies. So neither an id that a third of
+    the query rows ask for nor one that a third of the measures bear comes to
+    one task. The columns of the query set have to be groupable (no maps)."""
+    asked, vals = queryset.columns, []
+    out = queryset.groupBy(*asked).agg(F.count(F.lit(1)).alias("_copies"))
+    for i, (frame, on) in enumerate(measures):
+        key, own = f"{KEY}_{i}", [c for c in frame.columns if c != on]
+        n = frame.groupBy(F.col(on).alias(key), *own).agg(F.count(F.lit(1)).alias("_n"))
+        out = out.join(n, F.col(qkey) == F.col(key), "left").withColumn("_copies", F.col("_copies") * F.coalesce("_n", F.lit(1))).drop(key, "_n")
+        vals += own
+    return dealt(out, "_copies", [*asked, *vals], chunk).select(*asked, *vals)

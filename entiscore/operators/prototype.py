@@ -10,12 +10,14 @@ from entiscore.functions.measures import bands
 from entiscore.operators.joins import attach
 from entiscore.operators.properties import (
     LOF,
+    MEMBRANE_BIT,
     PROTEIN_CODING,
     _finish,
     _lof,
     _require,
-    term_array,
+    classed_locations,
     mouse_model_counts,
+    term_table,
 )
 
 # Fixed values of the prototype constraint bands.
@@ -34,13 +36,18 @@ def biotype_binary(target: DataFrame, queryset: DataFrame, id_col: str = "id",
     return out.withColumn("Nr_biotype", F.when(F.col("biotype") == PROTEIN_CODING, F.lit(1)).otherwise(F.lit(0)))
 
 
+def in_membrane(classed: str) -> Column:
+    """Whether some classed location's term is in the membrane set."""
+    return F.coalesce(F.exists(classed, lambda x: F.coalesce(x["bits"].bitwiseAND(F.lit(MEMBRANE_BIT)) > 0, F.lit(False))), F.lit(False))
+
+
 def membrane_simple(target: DataFrame, membrane_terms, queryset: DataFrame | None = None,
                     id_col: str = "id", loc_col: str = "subcellularLocations") -> DataFrame:
     """V2: any location term in the membrane list → ``IsinMembrane`` Yes and
     ``Nr_mb`` 1; otherwise null."""
-    base = target.select(F.col(id_col).alias("id"), F.col(loc_col).alias("_locs"), term_array(membrane_terms).alias("_mterms"))
-    hit = F.coalesce(F.exists("_locs", lambda x: F.array_contains(F.col("_mterms"), x["termSL"])), F.lit(False))
-    m = base.select("id", hit.alias("_hit")).select(
+    base = target.select(F.col(id_col).alias("id"), F.col(loc_col).alias("_locs"), term_table(membrane_terms).alias("_terms"))
+    base = base.select("id", classed_locations("_locs", "_terms").alias("_classed"))
+    m = base.select("id", in_membrane("_classed").alias("_hit")).select(
         "id", F.when(F.col("_hit"), F.lit("Yes")).alias("IsinMembrane"), F.when(F.col("_hit"), F.lit(1)).alias("Nr_mb"))
     return _finish(m, queryset)
 

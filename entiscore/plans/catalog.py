@@ -38,9 +38,9 @@ def _q(spark, d):
 
 
 def terms(spark, d):
-    """The membrane and the secreted term set, through H1–H6."""
-    exploded = _exploded_terms(spark, d)
-    return H.terms_for_name(exploded, MEMBRANE_NAME), H.terms_for_name(exploded, SECRETED_NAME)
+    """The two term arguments of the location operators: the membrane and the
+    secreted term set, through H1–H6, as one value, and no second set."""
+    return H.term_bits(_exploded_terms(spark, d), (MEMBRANE_NAME, SECRETED_NAME)), None
 
 
 def _exploded_terms(spark, d):

@@ -67,3 +67,15 @@ def test_matched_triples_shuffles(spark, materialized):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert len(re.findall(r"^\(\d+\) Exchange\b", plan, flags=re.M)) <= 12
+
+
+@pytest.mark.skipif(not os.path.exists(SF), reason="driver tables missing")
+@pytest.mark.parametrize("name,most", [("priority_report", 12), ("nest_report", 12), ("priority_report_v1", 6), ("location_profile", 4), ("membrane_simple", 4)])
+def test_shuffles_of_reports_and_term_lookups(spark, materialized, name, most):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = formatted(CATALOG[name](spark, materialized))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert len(re.findall(r"^\(\d+\) Exchange\b", plan, flags=re.M)) <= most

@@ -118,3 +118,54 @@ def test_copies_of_a_hot_key_are_spread_over_tasks(spark):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
     assert sum(sizes) == 600_000
     assert sizes[-1] <= 2 * sizes[len(sizes) // 2]
+
+
+def test_a_hot_query_id_is_spread_over_tasks(spark):
+    """One id has a third of the query rows; no task makes more than twice the median."""
+    from pyspark.sql import functions as F
+
+    q = spark.range(300_000).select(F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(
+        F.concat(F.lit("K"), (F.col("id") % 20_000).cast("string"))).alias("targetid"))
+    rows = spark.createDataFrame([("HOT", 1), ("HOT", 2), ("K1", 1), ("K4", 1), ("K4", 1)], "id string, v int")
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = attach_counted(q, (rows, "id"), chunk=1 << 10)
+        sizes = sorted(r["count"] for r in out.groupBy(F.spark_partition_id().alias("p")).count().collect())
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+    assert _multiset(out.groupBy("targetid", "v").count()) == _multiset(attach(q, rows, on="id").groupBy("targetid", "v").count())
+    assert sizes[-1] <= 2 * sizes[len(sizes) // 2]
+
+
+def test_counted_join_of_wide_and_repeated_query_rows(spark):
+    q = spark.createDataFrame([("A", 1, [1]), ("A", 1, [1]), ("A", 2, None), (None, 1, []), ("Z", 1, [2])], "targetid string, x int, y array<int>")
+    m = spark.createDataFrame([("A", 1.0), ("A", 1.0), ("A", None), (None, 5.0), ("B", 2.0)], "id string, v double")
+    rows = lambda df: sorted(map(repr, map(tuple, df.collect())))
+    assert rows(attach_counted(q, (m, "id"), chunk=1)) == rows(attach(q, m, on="id"))
+    assert attach_counted(q.limit(0), (m, "id")).count() == 0
+    assert rows(attach_counted(q, (m.limit(0), "id"))) == rows(attach(q, m.limit(0), on="id"))
+
+
+def test_report_of_a_hot_query_id(spark):
+    """The report equals the operator chain where a third of the query rows, and of the side tables, bear one id."""
+    import chained as C
+    from frames import target_df, target_row
+
+    from entiscore.plans import report as R
+
+    rnd = random.Random(4)
+    some = lambda: "HOT" if rnd.random() < 0.33 else rnd.choice(["A", "B", "C", None, "X"])
+    t = target_df(spark, *[target_row(i, subcellularLocations=[("in", "HPA_main", "SL-1"), (None, "uniprot", "SL-2")], constraint=[("lof", 3), ("lof", r)])
+                           for r, i in enumerate(["HOT", "A", "B", "C"])])
+    q = queryset(spark, *[some() for _ in range(60)])
+    ess = spark.createDataFrame([(some(), [(rnd.choice([True, False, None]),)] * rnd.randint(0, 2)) for _ in range(12)], "id string, geneEssentiality array<struct<isEssential:boolean>>")
+    mouse = spark.createDataFrame([(some(), [(rnd.choice(["m1", "m2", "m3", None]), rnd.choice(["l", None]))] * rnd.randint(0, 3)) for _ in range(30)],
+                                  "targetFromSourceId string, modelPhenotypeClasses array<struct<id:string,label:string>>")
+    mol = spark.createDataFrame([(f"D{i}", True, rnd.choice([-1, 0, 3, None]), ([some()],), None) for i in range(20)], MOL_SCHEMA)
+    atlas = spark.createDataFrame([(some(), rnd.choice(["Tissue enriched", "Not detected", None, "new"]), rnd.choice(["Detected in all", "Detected in some", None]), []) for _ in range(15)],
+                                  "Ensembl string, `RNA tissue specificity` string, `RNA tissue distribution` string, Antibody array<string>")
+    scores = spark.createDataFrame([("m1", 0.5), ("m2", 1.0)], "id string, score double")
+    args = (t, ess, mouse, mol, atlas, mouse, scores, ["SL-1"], ["SL-2"])
+    rows = lambda df: sorted(map(repr, map(tuple, df.collect())))
+    assert rows(R.priority_report(*args, queryset=q)) == rows(C.priority_report_chained(*args, queryset=q))
