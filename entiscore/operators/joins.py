@@ -1,7 +1,7 @@
 """Join helpers: attaching measures to a query set.
 
 Every scoring operator ends by right-joining its measures onto the query
-set (``queryset LEFT JOIN measures``). Two helpers cover the two shapes:
+set (``queryset LEFT JOIN measures``). These helpers cover the two shapes:
 
 * keyed measures (at most one row per key, e.g. after ``groupBy(key)``):
   a plain left join. The aggregate already hash-partitions the measures by
@@ -17,6 +17,8 @@ set (``queryset LEFT JOIN measures``). Two helpers cover the two shapes:
     Spark's adaptive skew handling can split a hot key on either side of an
     inner join but never on the null-supplying side of an outer join, so
     this form stays balanced when one key holds a large share of the rows.
+  - :func:`attach_salted` for the same without adaptive handling: heavy keys
+    are found by counting and dealt out over salts.
 """
 
 from __future__ import annotations
@@ -80,3 +82,35 @@ def attach_counted(queryset: DataFrame, *measures: tuple[DataFrame, str], qkey:
         out = out.join(n, F.col(qkey) == F.col(key), "left").withColumn("_copies", F.col("_copies") * F.coalesce("_n", F.lit(1))).drop(key, "_n")
         vals += own
     return dealt(out, "_copies", [*asked, *vals], chunk).select(*asked, *vals)
+
+
+HEAVY_PARTS = 1_000
+
+
+def attach_salted(queryset: DataFrame, measures: DataFrame, on: str, qkey: str = "targetid", parts: int = HEAVY_PARTS) -> DataFrame:
+    """``attach(queryset, measures, on, qkey)`` for open-ended values of which
+    one key may hold a large share: the rows of the plain left join.
+
+    A key is heavy if it has more than one in ``parts`` of all rows of the
+    measures, so there are fewer than ``parts`` heavy keys, which is why they may
+    be broadcast. The rows of a heavy key are dealt out by a hash of their values
+    over as many salts as it has such shares; query rows of that key are copied
+    once for each salt. Query rows without a match are found by an anti join
+    against the distinct keys. Equal rows of the measures are counted first, and
+    copied last (:func:`dealt`). The plan reads ``measures`` four times: pass a
+    stored table."""
+    m = measures.withColumnRenamed(on, KEY).where(F.col(KEY).isNotNull())
+    vals = [c for c in m.columns if c != KEY]
+    total = m.agg(F.count(F.lit(1)).alias("n")).scalar()
+    heavy = m.groupBy(F.col(KEY).alias("_heavy")).agg(F.count(F.lit(1)).alias("_n"))
+    heavy = heavy.select("_heavy", "_n", total.alias("_all")).where(F.col("_n") * parts > F.col("_all"))
+    heavy = F.broadcast(heavy.select("_heavy", F.ceil(F.col("_n") * parts / F.col("_all")).cast("int").alias("_salts")))
+    one = F.lit(1)
+    asked = queryset.join(heavy, F.col(qkey) == F.col("_heavy"), "left").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", one) - 1))).drop("_heavy", "_salts")
+    rows = m.groupBy(KEY, *vals).agg(F.count(F.lit(1)).alias("_copies")).join(heavy, F.col(KEY) == F.col("_heavy"), "left")
+    rows = rows.withColumn("_of", F.pmod(F.xxhash64(*vals), F.coalesce("_salts", one)).cast("int")).drop("_heavy", "_salts")
+    matched = asked.join(rows, (F.col(qkey) == F.col(KEY)) & (F.col("_salt") == F.col("_of"))).drop(KEY, "_of", "_salt")
+    matched = dealt(matched, "_copies", [qkey, *vals])
+    alone = queryset.join(m.select(KEY).distinct(), F.col(qkey) == F.col(KEY), "left_anti")
+    return matched.unionByName(alone, allowMissingColumns=True)

@@ -13,8 +13,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from entiscore.operators.joins import attach
+from entiscore.operators.joins import attach, attach_salted
 from entiscore.operators.properties import _finish
+from entiscore.session import stored
 
 # Partner edges kept from this source above this score.
 PARTNER_SOURCE = "intact"
@@ -152,10 +153,11 @@ def target_drug_pairs(pairs: DataFrame, molecule: DataFrame, interaction: DataFr
                       source: str = PARTNER_SOURCE, min_score: float = PARTNER_MIN_SCORE) -> DataFrame:
     """entity–disease–area rows (N6) with every drug reachable through a
     partner (``ChEMBL``), repeats kept; rows without such a drug keep a null.
-    The pair rows are the preserved side of one left join, whose large
-    partitions Spark can split."""
-    reached = reached_drugs(molecule, interaction, queryset, source, min_score)
-    out = pairs.join(reached, F.col("id") == F.col("entity"), "left")
+    The reached drugs are stored once in the shared scratch folder; an entity that
+    holds a large share of them is dealt out over salts
+    (:func:`~entiscore.operators.joins.attach_salted`), and its pair rows with it."""
+    reached = stored(reached_drugs(molecule, interaction, queryset, source, min_score), "reached-drugs")
+    out = attach_salted(pairs, reached, on="entity", qkey="id")
     return out.select("id", F.col("drug").alias("ChEMBL"), "ind_disease_therapy", "ind_disease_name")
 
 

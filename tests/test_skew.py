@@ -8,7 +8,7 @@ from frames import queryset
 
 from entiscore.operators import network as N
 from entiscore.operators import properties as P
-from entiscore.operators.joins import attach, attach_counted
+from entiscore.operators.joins import attach, attach_counted, attach_salted
 
 MOL_SCHEMA = ("id string, isApproved boolean, maximumClinicalTrialPhase int, linkedTargets struct<rows:array<string>>, "
               "linkedDiseases struct<rows:array<string>>")
@@ -169,3 +169,41 @@ def test_report_of_a_hot_query_id(spark):
     args = (t, ess, mouse, mol, atlas, mouse, scores, ["SL-1"], ["SL-2"])
     rows = lambda df: sorted(map(repr, map(tuple, df.collect())))
     assert rows(R.priority_report(*args, queryset=q)) == rows(C.priority_report_chained(*args, queryset=q))
+
+
+def test_salted_join_deals_out_a_heavy_key(spark):
+    """The rows of the plain left join; one key with a third of the measures, no task with more than twice the median."""
+    from pyspark.sql import functions as F
+
+    rnd = random.Random(6)
+    small = [("HOT", rnd.randint(0, 400)) for _ in range(900)] + [(rnd.choice([None, *"ABCDEFG"]), rnd.randint(0, 5)) for _ in range(600)]
+    m = spark.createDataFrame(small, "k string, v int")
+    q = spark.createDataFrame([(i, x) for i in ["HOT", "A", "Z", None] for x in (1, 1, 2)], "id string, x int")
+    for parts in (1, 3, 1000):
+        assert _multiset(attach_salted(q, m, on="k", qkey="id", parts=parts)) == _multiset(attach(q, m, on="k", qkey="id"))
+    assert _multiset(attach_salted(q, m.limit(0), on="k", qkey="id")) == _multiset(attach(q, m.limit(0), on="k", qkey="id"))
+    big = spark.range(300_000).select(F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(F.concat(F.lit("K"), (F.col("id") % 20_000).cast("string"))).alias("k"), F.col("id").alias("v"))
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = attach_salted(big.select(F.col("k").alias("id")).distinct(), big, on="k", qkey="id")
+        sizes = sorted(r["count"] for r in out.groupBy(F.spark_partition_id().alias("p")).count().where("count > 10").collect())
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+    assert sum(sizes) == 300_000 and sizes[-1] <= 2 * sizes[len(sizes) // 2]
+
+
+def test_first_ids_equal_an_ordered_limit(spark, monkeypatch):
+    monkeypatch.setattr(P, "SAMPLED_IDS", 50)
+    rnd = random.Random(7)
+    ids = [rnd.choice(["HOT", f"K{rnd.randint(0, 900):04d}", f"K{rnd.randint(0, 900):04d}"]) for _ in range(3000)] + [None] * 7
+    t = spark.createDataFrame([(i,) for i in ids], "id string").repartition(4)
+    want = sorted(ids, key=lambda i: (i is not None, i or ""))
+    for n in (0, 1, 5, 40, 300, 1200, 2900, 5000):
+        got = [r[0] for r in P.query_set_limit(t, n).collect()]
+        assert sorted(got, key=lambda i: (i is not None, i or "")) == want[:n]
+    cut = P._cut_off(P.query_set(t), 40)
+    assert 40 <= sum(i is None or i <= cut for i in ids) <= 3000
+    unique = spark.range(20_000).selectExpr("concat('U', lpad(id, 6, '0')) AS id")
+    below = P._cut_off(P.query_set(unique), 500)
+    assert 500 <= unique.where(unique["id"] <= below).count() <= 1000
