@@ -80,11 +80,24 @@ def terms_for_name(exploded: DataFrame, name: str) -> DataFrame:
     return named.select(F.col("_t").alias("term")).unionByName(found).distinct()
 
 
+SHORT = 256
+
+
+def term_struct(entries: str) -> str:
+    """SQL of a term table from its sorted ``array<struct<term, bits>>``:
+    ``struct<entries, first, second>``, where ``first`` and ``second`` are the two
+    sets as plain arrays if there are at most ``SHORT`` entries (in so few a scan
+    beats a search), else null."""
+    def plain(bit: int) -> str:
+        return f"CASE WHEN size({entries}) <= {SHORT} THEN transform(filter({entries}, e -> e.bits & {bit} > 0), e -> e.term) END"
+    return f"named_struct('entries', {entries}, 'first', {plain(1)}, 'second', {plain(2)})"
+
+
 def term_bits(exploded: DataFrame, names: Sequence[str]) -> Column:
     """The search sets (H6) of several named terms as one value, a scalar
-    subquery: ``array<struct<term, bits>>`` sorted by term, where bit i says that
-    the term is in the set of ``names[i]``. A term may stand there more than
-    once, with other bits; its bits are those of all its entries.
+    subquery: a term table (:func:`term_struct`) whose entries are sorted by term;
+    bit i says that the term is in the set of ``names[i]``. A term may stand there
+    more than once, with other bits; its bits are those of all its entries.
 
     One pass finds the ids of the names, another the terms that are one of them
     or directly below: two global aggregates for all names together, and no join."""
@@ -96,4 +109,4 @@ def term_bits(exploded: DataFrame, names: Sequence[str]) -> Column:
     bits = F.expr("""aggregate(filter(_named, e -> coalesce(e.id = SubcellID, false) OR coalesce(e.id = Is_a, false) OR coalesce(e.id = Is_part, false)), 0, (a, e) -> a | e.bit)""")
     found = exploded.select("SubcellID", "Is_a", "Is_part", named.alias("_named")).select(F.col("SubcellID").alias("term"), bits.alias("bits"))
     found = found.where((F.col("bits") > 0) & F.col("term").isNotNull())
-    return found.agg(F.sort_array(F.collect_set(F.struct("term", "bits"))).alias("terms")).scalar()
+    return found.agg(F.sort_array(F.collect_set(F.struct("term", "bits"))).alias("terms")).selectExpr(f"{term_struct('terms')} AS terms").scalar()

@@ -159,10 +159,10 @@ def _choices(values: list[tuple], schema: str) -> str:
     return f"CAST(array({', '.join(f'struct({', '.join(map(text, v))})' for v in values)}) AS array<struct<{schema}>>)"
 
 
-def _held(counts: str, values: str) -> str:
-    """The values with a count, each with it; one row of nulls if there is none."""
-    kept = f"filter(transform({counts}, (n, i) -> struct({values}[i] AS v, n AS n)), x -> x.n > 0)"
-    return f"CASE WHEN size({kept}) > 0 THEN {kept} ELSE array(struct(CAST(NULL AS {{0}}) AS v, 1L AS n)) END"
+def _held(name: str, values: str, kind: str) -> str:
+    """The values with a count, each with it; one row of nulls where nothing was counted."""
+    kept = f"filter(transform({name}, (n, i) -> struct({values}[i] AS v, n AS n)), x -> x.n > 0)"
+    return f"CASE WHEN any_{name} THEN {kept} ELSE array(struct(CAST(NULL AS {kind}) AS v, 1L AS n)) END"
 
 
 def side_measures(queryset, gene_essentiality, mouse, molecule, atlas, mouse_phenotypes, phenotype_scores) -> DataFrame:
@@ -174,7 +174,7 @@ def side_measures(queryset, gene_essentiality, mouse, molecule, atlas, mouse_phe
 
     ``asked`` counts the query rows, ``classes``/``labels`` the phenotype classes
     and their labels (null without any), ``phase`` is the highest phase,
-    ``tissues``/``essentials`` count the values by position, ``scored`` lists
+    ``tissues``/``essentials`` count the values by position (``any_...``: is there one), ``scored`` lists
     ``struct(score, n)``, ``observed`` tells ids of the phenotype table."""
     one = F.lit(1).cast("long")
     partial = [
@@ -192,9 +192,9 @@ def side_measures(queryset, gene_essentiality, mouse, molecule, atlas, mouse_phe
     if queryset is not None:
         partial.append(queryset.select(F.col("targetid").alias("id"), one.alias("asked")))
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), partial)
-    aggregates = ["sum(classes) AS classes", "sum(labels) AS labels", "max(phase) AS phase", f"{_counts('tissue', len(_PAIRS))} AS tissues"]
+    aggregates = ["sum(classes) AS classes", "sum(labels) AS labels", "max(phase) AS phase", f"{_counts('tissue', len(_PAIRS))} AS tissues", "count(tissue) > 0 AS any_tissues"]
     if gene_essentiality is not None:
-        aggregates.append(f"{_counts('essential', len(_ESSENTIALS))} AS essentials")
+        aggregates += [f"{_counts('essential', len(_ESSENTIALS))} AS essentials", "count(essential) > 0 AS any_essentials"]
     if mouse_phenotypes is not None:
         aggregates += ["max(observed) AS observed", "collect_list(CASE WHEN score IS NOT NULL THEN struct(score, scored_n AS n) END) AS scored"]
     if queryset is not None:
@@ -231,7 +231,7 @@ def _wide_report(target, gene_essentiality, mouse, molecule, atlas, mouse_phenot
         fans["essentials"] = (_choices([(v,) for v in _ESSENTIALS], "Nr_essential:int"), "struct<Nr_essential:int>")
     copies = F.col("asked")
     for name, (values, kind) in fans.items():
-        wide = wide.withColumn(f"_{name}", F.explode(F.expr(_held(name, values).format(kind))))
+        wide = wide.withColumn(f"_{name}", F.explode(F.expr(_held(name, values, kind))))
         copies = copies * F.col(f"_{name}.n")
     fanned = [F.col(f"_{n}.v.{c}").alias(c) for n, c in (("tissues", "Nr_specificity"), ("tissues", "Nr_distribution"), ("essentials", "Nr_essential")) if n in fans]
     keep = [src for src, _ in columns if src in wide.columns]
