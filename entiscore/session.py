@@ -71,4 +71,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     later jobs survive lost executors and do not run its plan again."""
     path = scratch_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    frame = df.sparkSession.read.schema(df.schema).parquet(path)
+    frame._stored_at = path
+    return frame
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete the tables of frames that :func:`stored` returned, once every
+    frame that reads them has itself been stored (later reads of them fail)."""
+    for frame in frames:
+        sc = frame.sparkSession.sparkContext
+        path = sc._jvm.org.apache.hadoop.fs.Path(frame._stored_at)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
