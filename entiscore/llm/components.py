@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from entiscore.llm.tables import stored
+from entiscore.llm.tables import discard, stored
 
 
 def _mark(edges: DataFrame) -> tuple:
@@ -29,7 +29,8 @@ def connected(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         # Small star: every smaller neighbour, and the node, to the least of them.
         small = large.groupBy("u").agg(F.min("v").alias("m"))
         step = large.join(small, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small.select("u", F.col("m").alias("v")))
-        now = stored(step.filter("u <> v").distinct(), "edges")
+        last, now = now, stored(step.filter("u <> v").distinct(), "edges")
+        discard(last)
         new = _mark(now)
         if new == mark:
             break

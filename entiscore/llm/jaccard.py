@@ -37,7 +37,7 @@ from pyspark.sql import types as T
 
 from entiscore.llm import textops as tx
 from entiscore.llm.components import connected
-from entiscore.llm.tables import fresh, stored
+from entiscore.llm.tables import discard, fresh, stored
 
 SAMPLE = 4          # one of so many shingles is counted over all texts
 SLACK = (5, 4)      # words of a sketch for each allowed difference, as a fraction
@@ -180,6 +180,11 @@ def _whole(k: int):
     return run
 
 
+def _row(id_col: str, text_col: str) -> Column:
+    """Key of a row's id and text, null ids included: two 64-bit hashes."""
+    return F.struct(F.xxhash64(id_col, text_col).alias("x"), F.xxhash64(text_col, id_col, F.lit(1)).alias("y"))
+
+
 def signatures(docs: DataFrame, k: int, text_col: str, keep: list[str]) -> DataFrame:
     """The kept columns, ``n_shingles`` and ``node`` (hash of the shingle set; null if it is empty)."""
     h = fresh(docs.select(*keep), "text", "node", "n_shingles")
@@ -219,23 +224,31 @@ def _verified(pairs: DataFrame, rest: DataFrame, num: int, den: int) -> DataFram
 
 def links(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100, id_col: str = "doc_id", text_col: str = "text",
           sig: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """(classes ``node, n, doc``; ``node, root`` of the classes that link to
-    another). ``sig`` has ``doc, n_shingles, node`` of the rows, if at hand."""
+    """(classes ``node, n, doc, row``; ``node, root`` of the classes that link
+    to another). ``doc`` is the smallest id of a class and ``row`` the key of a
+    row that has it. ``sig`` has ``doc, row, n_shingles, node`` of the rows, if
+    at hand."""
     if 3 * num < 2 * den:
         raise ValueError("size bands reach 1.5 times their first size: the threshold has to be two thirds or more")
+    docs = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"), _row(id_col, text_col).alias("row"))
     if sig is None:
-        sig = signatures(docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text")), k, "text", ["doc"])
-    classes = sig.filter("node IS NOT NULL").groupBy("node").agg(F.first("n_shingles").cast("int").alias("n"), F.min("doc").alias("doc"))
-    lone = _lone(docs.select(F.col(text_col).alias("text")).mapInArrow(_sampled(k, SAMPLE), "s long, node long")).groupBy("node").agg(
+        sig = signatures(docs, k, "text", ["doc", "row"])
+    # One row stands for a class, found by its key, so rows without an id take part.
+    classes = (sig.filter("node IS NOT NULL").groupBy("node")
+               .agg(F.first("n_shingles").cast("int").alias("n"), F.min(F.struct(F.col("doc").isNull().alias("none"), "doc", "row")).alias("w"))
+               .select("node", "n", F.col("w.doc").alias("doc"), F.col("w.row").alias("row")))
+    lone = _lone(docs.select("text").mapInArrow(_sampled(k, SAMPLE), "s long, node long")).groupBy("node").agg(
         F.count("*").alias("lone"))
     enough = den * (F.col("n") - F.coalesce(F.col("lone"), F.lit(0))) >= num * F.col("n")
-    left = classes.join(lone, "node", "left").filter(enough).select("node", "doc")
-    texts = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text")).join(left, "doc")
+    left = classes.join(lone, "node", "left").filter(enough).select("node", "row")
+    texts = docs.select("row", "text").join(left, "row").select("text", "node")
     whole = stored(texts.mapInArrow(_whole(k), "node long, n int, shingles array<long>"), "jaccard-left")
     alone = _lone(whole.select("node", F.explode("shingles").alias("s"))).groupBy("node").agg(F.collect_list("s").alias("alone"))
-    rest = whole.join(alone, "node", "left").withColumn("alone", F.coalesce("alone", F.array().cast("array<long>")))
+    # Repeated rows have brought their text once each.
+    rest = whole.dropDuplicates(["node"]).join(alone, "node", "left").withColumn("alone", F.coalesce("alone", F.array().cast("array<long>")))
     rest = rest.withColumn("lone", F.size("alone")).filter(enough)
     rest = stored(rest.select("node", "n", "lone", F.array_except("shingles", "alone").alias("rest")), "jaccard-rest")
+    discard(whole)
     keys = stored(rest.mapInArrow(_keys(num, den), "key long, node long, n int, lone int, words int, level int"), "jaccard-keys")
 
     # Each class with one of its bucket.
@@ -251,7 +264,9 @@ def links(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100, id_col: st
     named = keys.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = named.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x < y").select("key")
     bits = [f"p{j}" for j in range(PARITY)]
-    named = stored(named.join(mixed, "key"), "jaccard-mixed").join(
+    several = stored(named.join(mixed, "key"), "jaccard-mixed")
+    discard(keys)
+    named = several.join(
         rest.mapInArrow(_parity, ", ".join(["node long", *(f"{b} long" for b in bits)])), "node")
     x = named.select("key", *(F.col(c).alias(f"x_{c}") for c in ("node", "n", "lone", "root", *bits)), "words", "level")
     y = named.select(F.col("key").alias("y_key"), *(F.col(c).alias(f"y_{c}") for c in ("node", "n", "lone", "root", *bits)))
@@ -262,7 +277,8 @@ def links(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100, id_col: st
     here = has_room(size(F.col("level")), budget) & ((size(F.col("level")) == 1) | ~has_room(size(F.col("level") + 1), budget))
     cross = x.join(y, (F.col("key") == F.col("y_key")) & (F.col("x_node") < F.col("y_node")) & (F.col("x_root") != F.col("y_root")) & ok & here)
     second = cross.select(F.col("x_node").alias("a"), F.col("y_node").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
-    more = _verified(second, rest, num, den)
+    more = stored(_verified(second, rest, num, den), "jaccard-links")
+    discard(rest, several, first)
     return classes, connected(found.unionByName(more))
 
 
@@ -282,11 +298,11 @@ def components(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100, id_co
     """
     keep = [c for c in (docs.columns if keep is None else keep) if c.lower() not in ("n_shingles", "component_id")]
     carry = keep if id_col in keep else [id_col, *keep]
-    h = fresh(docs.select(*carry), "node")
-    rows = signatures(docs, k, text_col, carry)
+    h = fresh(docs, "node", "row")
+    rows = signatures(docs.withColumn(h["row"], _row(id_col, text_col)), k, text_col, [*carry, h["row"]])
     if set(carry) <= {id_col}:  # narrow enough to be kept instead of made again
         rows = stored(rows, "jaccard-sets")
-    sig = rows.select(F.col(id_col).alias("doc"), "n_shingles", F.col(h["node"]).alias("node"))
+    sig = rows.select(F.col(id_col).alias("doc"), F.col(h["row"]).alias("row"), "n_shingles", F.col(h["node"]).alias("node"))
     classes, roots = links(docs, k, num, den, id_col, text_col, sig)
     grown = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = grown.groupBy("root").agg(F.min("doc").alias("least"))
@@ -300,14 +316,14 @@ def keep_one(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100, id_col:
     """One row of each component of linked texts (a row with its smallest id; a
     null id only if there is no other), columns as they are. Rows without
     shingles link with nothing and stay."""
-    h = fresh(docs, "node", "n_shingles", "c_node", "c_doc")
+    h = fresh(docs, "row", "c_row")
     plain = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
-    classes, roots = links(plain, k, num, den, "doc", "text", stored(signatures(plain, k, "text", ["doc"]), "jaccard-sets"))
+    sig = stored(signatures(plain.select("*", _row("doc", "text").alias("row")), k, "text", ["doc", "row"]), "jaccard-sets")
+    classes, roots = links(plain, k, num, den, "doc", "text", sig)
     best = (classes.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root"))
-            .agg(F.min(F.struct(F.col("doc").isNull().alias("none"), "doc", "node")).alias("w"))
-            .select(F.col("w.node").alias(h["c_node"]), F.col("w.doc").alias(h["c_doc"])))
-    rows = signatures(docs, k, text_col, docs.columns)
-    # Only the winners' rows meet here, so no group of copies gathers in a task.
-    chosen = rows.join(best, (F.col(h["node"]) == F.col(h["c_node"])) & F.col(id_col).eqNullSafe(F.col(h["c_doc"])))
-    chosen = chosen.dropDuplicates([h["node"], id_col]).select(*docs.columns)
+            .agg(F.min(F.struct(F.col("doc").isNull().alias("none"), "doc", "row")).alias("w"))
+            .select(F.col("w.row").alias(h["c_row"])))
+    # Repeated rows become one before the shuffle; then each winner meets one row.
+    rows = docs.withColumn(h["row"], _row(id_col, text_col)).dropDuplicates([h["row"]])
+    chosen = rows.join(best, F.col(h["row"]) == F.col(h["c_row"])).select(*docs.columns)
     return chosen.unionByName(docs.filter(~F.coalesce(F.col(text_col).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))))

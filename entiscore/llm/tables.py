@@ -8,9 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from entiscore.session import stored
+from entiscore.session import discard, stored
 
-__all__ = ["fresh", "shielded", "stored"]
+__all__ = ["discard", "fresh", "shielded", "stored"]
 
 
 def fresh(df: DataFrame, *names: str) -> dict[str, str]:

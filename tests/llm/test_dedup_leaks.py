@@ -137,6 +137,17 @@ def test_jaccard_edge_rows(spark):
     assert jaccard.components(docs(spark, [])).count() == 0 and jaccard.keep_one(docs(spark, [])).count() == 0
 
 
+def test_near_copies_without_an_id(spark):
+    base = [f"w{i}" for i in range(120)]
+    near, far = " ".join([*base[:119], "other"]), " ".join(f"x{i}" for i in range(60))
+    rows = [(None, " ".join(base)), (None, near), (None, near), (None, far), (3, far + " end"), (3, "else"), (3, "else")]
+    out = sorted(((r["doc_id"], r["text"], r["component_id"]) for r in jaccard.components(docs(spark, rows)).collect()), key=repr)
+    assert out == sorted([(i, t, 3 if t[0] != "w" else None) for i, t in rows], key=repr)
+    kept = [(r["doc_id"], r["text"]) for r in jaccard.keep_one(docs(spark, rows)).collect()]
+    assert len(kept) == 3 and sorted(kept[0:3], key=repr)[:2] == [(3, "else"), (3, far + " end")]
+    assert [i for i, _ in kept].count(None) == 1
+
+
 def test_connected_components(spark):
     chain = [(i, i + 1) for i in range(40)] + [(100, 90), (90, 95), (7, 7)]
     out = {r["node"]: r["root"] for r in connected(spark.createDataFrame(chain, "a long, b long")).collect()}
