@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from entiscore.session import stored
+
 # Declared schemas of the delimited / JSON inputs.
 TERM_SCHEMA = "`Name` string, `Subcellular location ID` string, `Is a` string, `Is part of` string"
 PHENOTYPE_SCORE_SCHEMA = "id string, label string, score double"
@@ -81,6 +83,30 @@ def scan_json_records(spark: SparkSession, path: str, columns: Sequence[str] = A
     return df.select(*[F.col(f"`{c}`") for c in columns])
 
 
+def scan_json_tolerant(spark: SparkSession, path: str, quarantine: str, columns: Sequence[str] = ATLAS_COLUMNS,
+                       schema: str = ATLAS_SCHEMA, multi_line: bool = False) -> tuple[DataFrame, int]:
+    """S3 for inputs with bad records: (the records that parse, the number that
+    do not). A bad record's text is written, as JSON lines, to the folder
+    ``quarantine``, which must not exist; nothing is written if there is none.
+    A record is bad if its text does not parse or a value does not fit its
+    type. The records are parsed once, into a table in the shared checkpoint
+    folder; an empty input gives no rows and 0."""
+    bad = "_corrupt_record"
+    declared = T.StructType.fromDDL(schema)
+    missing = [c for c in columns if c not in declared.names]
+    if missing:
+        raise ValueError(f"the schema has no column {', '.join(missing)}")
+    rows = (spark.read.option("multiLine", multi_line).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", bad)
+            .schema(T.StructType([*declared.fields, T.StructField(bad, T.StringType())])).json(path))
+    # Parsed once, with every column: a record is bad by any of them, also by one that later plans do not read.
+    rows = stored(rows, "json-records")
+    broken = rows.filter(F.col(bad).isNotNull()).select(F.col(bad).alias("record"))
+    n = broken.count()
+    if n:
+        broken.write.mode("errorifexists").json(quarantine)
+    return rows.filter(F.col(bad).isNull()).select(*[F.col(f"`{c}`") for c in columns]), n
+
+
 def write_json_report(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     """Write a report as JSON lines; the file count is left to Spark
     (no ``coalesce(1)``: the write stays parallel). Returns ``path``."""

@@ -40,6 +40,19 @@ def test_malformed_input_fails(spark, tmp_path):
         io.scan_json_records(spark, str(tmp_path / "bad.json"), columns=("Ensembl", "Gene"))
 
 
+def test_bad_json_records_are_counted_and_kept_aside(spark, tmp_path):
+    lines = ['{"Ensembl": "A", "Antibody": ["HPA1"]}', '{"Ensembl": ', '{"Ensembl": "B", "Antibody": 3}', '{"Ensembl": "C"}']
+    (tmp_path / "some.jsonl").write_text("\n".join(lines))
+    rows, n = io.scan_json_tolerant(spark, str(tmp_path / "some.jsonl"), str(tmp_path / "aside"), columns=("Ensembl",))
+    assert n == 2 and sorted(r["Ensembl"] for r in rows.collect()) == ["A", "C"]
+    assert sorted(r["record"] for r in spark.read.json(str(tmp_path / "aside")).collect()) == sorted(lines[1:3])
+    (tmp_path / "good.jsonl").write_text("\n".join([lines[0], lines[3]]))
+    rows, n = io.scan_json_tolerant(spark, str(tmp_path / "good.jsonl"), str(tmp_path / "none"), columns=("Ensembl",))
+    assert n == 0 and rows.count() == 2 and not (tmp_path / "none").exists()
+    with pytest.raises(ValueError, match="Gene"):
+        io.scan_json_tolerant(spark, str(tmp_path / "good.jsonl"), str(tmp_path / "none"), columns=("Gene",))
+
+
 def test_tsv_term_list(spark, tmp_path):
     path = tmp_path / "terms.tsv"
     path.write_text("Name\tSubcellular location ID\tIs a\tIs part of\n"
