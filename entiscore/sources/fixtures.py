@@ -57,18 +57,18 @@ FLAT_VIEWS: dict[str, tuple[str, list[str]]] = {
     ]),
     "f_location": ("lineitem", [
         "concat('P', l_partkey) as id",
-        "case when l_quantity > 6 then 'GO' when l_returnflag = 'R' then 'HPA_main' when l_returnflag = 'A' then 'uniprot' when l_linestatus = 'F' then 'HPA_additional' else 'HPA_extracellular_location' end as source",
+        "case when l_linenumber = 7 or l_partkey % 5 = 4 then 'GO' when l_partkey % 5 = 0 then 'uniprot' when l_partkey % 5 = 1 and l_linestatus = 'F' then 'HPA_additional' when l_partkey % 5 = 1 then 'HPA_main' when l_partkey % 5 = 2 and l_returnflag = 'R' then 'HPA_extracellular_location' when l_partkey % 5 = 2 then 'uniprot' when l_returnflag = 'R' then 'HPA_main' when l_returnflag = 'A' then 'uniprot' when l_linestatus = 'F' then 'HPA_additional' else 'HPA_extracellular_location' end as source",
         "case when l_linenumber = 4 then null else concat('SL-', l_suppkey) end as termSL",
         "case when l_tax = 0 and l_quantity > 40 then null else concat('L', l_linenumber) end as location",
     ]),
     "f_tractability": ("lineitem", [
         "concat('P', l_partkey) as id",
-        "case when l_quantity > 3 then 'Approved Drug' when l_suppkey % 3 = 0 then 'High-Quality Ligand' when l_suppkey % 3 = 1 then 'High-Quality Pocket' else 'Small Molecule Binder' end as category",
-        "l_returnflag = 'R' as value",
+        "case when l_linenumber = 7 then 'Approved Drug' when l_suppkey % 3 = 0 then 'High-Quality Ligand' when l_suppkey % 3 = 1 then 'High-Quality Pocket' else 'Small Molecule Binder' end as category",
+        "l_returnflag = 'R' and l_quantity <= 20 as value",
     ]),
     "f_safety": ("lineitem", [
         "concat('P', l_partkey) as id",
-        "case when l_quantity = 9 and l_tax > 0 then concat('E', l_linenumber) end as event",
+        "case when l_partkey % 7 > 0 and l_linenumber < 6 then concat('E', l_suppkey % 50) end as event",
     ]),
     "f_constraint": ("part", [
         "concat('P', p_partkey) as id",
@@ -77,13 +77,13 @@ FLAT_VIEWS: dict[str, tuple[str, list[str]]] = {
     ]),
     "f_homologue": ("lineitem", [
         "concat('P', l_partkey) as id",
-        "case when l_quantity > 3 then 'gene_split' when l_linenumber % 4 = 0 then 'ortholog_one2one' when l_linenumber % 4 = 1 then 'within_species_paralog' when l_linenumber % 4 = 2 then 'other_paralog' else 'ortholog_one2many' end as homologyType",
+        "case when l_linenumber = 7 then 'gene_split' when l_linenumber % 4 = 0 then 'ortholog_one2one' when l_linenumber % 4 = 1 then 'within_species_paralog' when l_linenumber % 4 = 2 then 'other_paralog' else 'ortholog_one2many' end as homologyType",
         "case when l_linestatus = 'F' then 'Mouse' else 'Rat' end as speciesName",
-        "cast(50 + 5 * cast(round(l_discount * 100) as int) as double) as queryPercentageIdentity",
+        "cast(5 * (l_partkey % 11) + 5 * cast(round(l_discount * 100) as int) as double) as queryPercentageIdentity",
     ]),
     "f_hallmark": ("lineitem", [
         "concat('P', l_partkey) as id",
-        "case when l_quantity <> 15 then 'invasion' when l_linenumber = 1 then 'TSG' when l_linenumber = 2 then 'oncogene' when l_linenumber = 3 then 'fusion' when l_linenumber = 4 then null else 'Oncogene' end as description",
+        "case when l_partkey % 3 = 0 then 'invasion' when l_linenumber = 1 then 'TSG' when l_linenumber = 2 then 'oncogene' when l_linenumber = 3 then 'fusion' when l_linenumber = 4 then null else 'Oncogene' end as description",
     ]),
     "f_essential": ("orders", [
         "concat('P', o_custkey) as id",
@@ -91,14 +91,14 @@ FLAT_VIEWS: dict[str, tuple[str, list[str]]] = {
     ]),
     "f_probe": ("lineitem", [
         "concat('P', l_partkey) as id",
-        "case when l_quantity = 17 then l_returnflag = 'R' end as isHighQuality",
-        "case when l_linenumber = 7 then null else concat('MOA', l_linenumber % 3) end as mechanismOfAction",
+        "case when l_linenumber < 7 and l_partkey % 9 > 0 then l_returnflag = 'R' and l_partkey % 2 = 0 end as isHighQuality",
+        "case when l_linenumber = 7 then null else concat('MOA', l_suppkey % 12) end as mechanismOfAction",
         "cast(l_suppkey % 3 as int) as n_urls",
     ]),
     "f_phenotype": ("lineitem", [
         "case when l_quantity = 50 then 'P1' else concat('P', l_partkey) end as id",
         "concat('MP:', l_suppkey * 20 + l_orderkey % 25) as class_id",
-        "case when l_quantity in (18, 19) and l_linenumber < 7 then concat('class ', l_suppkey * 20 + l_orderkey % 25) end as label",
+        "case when l_partkey % 8 > 0 and l_linenumber < 7 then concat('class ', l_suppkey * 20 + l_orderkey % 25) end as label",
         "l_orderkey as record",
     ]),
     "f_score": ("part", [
@@ -113,7 +113,7 @@ FLAT_VIEWS: dict[str, tuple[str, list[str]]] = {
     ]),
     "f_linked_target": ("lineitem", [
         "concat('D', l_orderkey) as drug_id",
-        "case when l_quantity <= 10 then concat('P', l_partkey) end as target_id",
+        "case when l_quantity <= 30 then concat('P', l_partkey) end as target_id",
     ]),
     "f_mechanism": ("lineitem", [
         "concat('ACT', l_suppkey % 3) as actionType",
