@@ -34,11 +34,29 @@ def tractability_true(target: DataFrame, queryset: DataFrame | None = None, id_c
 
 def drug_target_pairs(molecule: DataFrame, targets_col: str = "linkedTargets.rows") -> DataFrame:
     """Long form of N2: one ``(target, drug)`` row per linked target entry
-    (repeated links kept)."""
+    (repeated links kept). A frame of stored links (:func:`stored_links`) is
+    taken as it is."""
+    if set(molecule.columns) == {"target", "drug"}:
+        return molecule
     return (molecule.select(F.col("id").alias("drug"), F.explode(F.col(targets_col)).alias("target"))
             .where(F.col("target").isNotNull()).select("target", "drug"))
 
 
+def stored_links(molecule: DataFrame, table: str, buckets: int, targets_col: str = "linkedTargets.rows",
+                 path: str | None = None) -> DataFrame:
+    """The links of :func:`drug_target_pairs`, exploded and shuffled once into a
+    table (in the warehouse, or below ``path``) with ``buckets`` buckets of
+    ``target``, sorted in each. N2, N3 and N7 take the frame in place of
+    ``molecule`` and then plan no Exchange on its side. The table must not exist. A target that holds
+    a large part of all links fills one bucket: ``buckets`` follows the data,
+    and N8, which deals such a target out, keeps to ``molecule``."""
+    links = drug_target_pairs(molecule, targets_col)
+    writer = (links.repartition(buckets, "target").write.mode("errorifexists").option("compression", "zstd")
+              .bucketBy(buckets, "target").sortBy("target"))
+    (writer.option("path", path) if path else writer).saveAsTable(table)
+    return molecule.sparkSession.table(table)
+
+
 def drugs_per_target(molecule: DataFrame, targets_col: str = "linkedTargets.rows") -> DataFrame:
     """Per target the sorted list of linked drug ids, repeats kept."""
     return (drug_target_pairs(molecule, targets_col)

@@ -46,10 +46,53 @@ def scan_parquet(spark: SparkSession, path: str, columns: Sequence[str] | None =
     return df.select(*[F.col(f"`{c}`") for c in columns]) if columns else df
 
 
-def scan_entities(spark: SparkSession, path: str, schema: str = ENTITY_READ_SCHEMA) -> DataFrame:
+def scan_entities(spark: SparkSession, path: str | Sequence[str], schema: str = ENTITY_READ_SCHEMA) -> DataFrame:
     """S1 for the entity table: parquet read with the declared nested schema,
-    so only the struct fields the operators use are read from disk."""
-    return spark.read.schema(schema).parquet(path)
+    so only the struct fields the operators use are read from disk. Several
+    paths are releases whose schemas may differ (:func:`scan_releases`)."""
+    if isinstance(path, str):
+        return spark.read.schema(schema).parquet(path)
+    return scan_releases(spark, path, schema)
+
+
+def _as_written(wanted: T.DataType, written: T.DataType | None, where: str) -> T.DataType:
+    """The type to read ``wanted`` with: its own nesting and field names, and
+    the leaf types of the file. Fields that the file lacks keep their type."""
+    if written is None:
+        return wanted
+    if isinstance(wanted, T.StructType) and isinstance(written, T.StructType):
+        there = {f.name: f.dataType for f in written.fields}
+        return T.StructType([T.StructField(f.name, _as_written(f.dataType, there.get(f.name), f"{where}.{f.name}".lstrip(".")))
+                             for f in wanted.fields])
+    if isinstance(wanted, T.ArrayType) and isinstance(written, T.ArrayType):
+        return T.ArrayType(_as_written(wanted.elementType, written.elementType, f"{where}[]"))
+    nested = (T.StructType, T.ArrayType, T.MapType)
+    if isinstance(wanted, nested) or isinstance(written, nested):
+        raise ValueError(f"{where} is {written.simpleString()} in the file, {wanted.simpleString()} was asked for")
+    return written
+
+
+def scan_releases(spark: SparkSession, paths: Sequence[str], schema: str = ENTITY_READ_SCHEMA) -> DataFrame:
+    """S1 for parquet folders written by several releases: one frame in the
+    declared schema, with the rows of all of them.
+
+    The schema of each path is taken from its footers, which Spark merges in a
+    job, and reconciled with the declared one: a column or struct field that a
+    release lacks is null, others are not read, and a leaf of another type is
+    cast. A value that does not fit the declared type fails the read (ANSI
+    casts); a field that is nested in one and a plain value in the other, or two
+    files of one path that contradict each other, raise at once."""
+    wanted = T.StructType.fromDDL(schema)
+    out = None
+    for path in paths:
+        read = _as_written(wanted, spark.read.option("mergeSchema", True).parquet(path).schema, "")
+        rows = spark.read.schema(read).parquet(path).select(
+            *[F.col(f"`{f.name}`") if read[f.name].dataType == f.dataType else F.col(f"`{f.name}`").cast(f.dataType).alias(f.name)
+              for f in wanted.fields])
+        out = rows if out is None else out.unionByName(rows)
+    if out is None:
+        raise ValueError("no path to read")
+    return out
 
 
 def scan_delimited(spark: SparkSession, path: str, sep: str = "\t", header: bool = True,
@@ -69,6 +112,38 @@ def scan_delimited(spark: SparkSession, path: str, sep: str = "\t", header: bool
     return rows.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in wanted])
 
 
+def scan_delimited_tolerant(spark: SparkSession, path: str, quarantine: str, sep: str = "\t",
+                            schema: str | None = None) -> tuple[DataFrame, int]:
+    """S2 for inputs with bad lines: (the lines that parse, the number that do
+    not). A bad line's text is written to ``quarantine`` as in
+    :func:`scan_json_tolerant`. A line is bad if it has more or fewer values than
+    the header, or a value of ``schema`` that does not fit its type; values of
+    columns that the schema does not name are not looked at. The columns are
+    those of :func:`scan_delimited`; a header without lines gives no rows and 0."""
+    names = spark.read.option("sep", sep).option("header", True).csv(path).columns
+    typed = {f.name: f.dataType for f in T.StructType.fromDDL(schema).fields} if schema else dict.fromkeys(names, T.StringType())
+    missing = [c for c in typed if c not in names]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}; its header is {names}")
+    full = T.StructType([T.StructField(c, typed.get(c, T.StringType())) for c in names] + [T.StructField(_BAD, T.StringType())])
+    rows = (spark.read.option("sep", sep).option("header", True).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", _BAD).schema(full).csv(path))
+    return _set_bad_aside(rows, quarantine, list(typed), "delimited-lines")
+
+
+_BAD = "_corrupt_record"
+
+
+def _set_bad_aside(rows: DataFrame, quarantine: str, columns: Sequence[str], name: str) -> tuple[DataFrame, int]:
+    # Parsed once, with every column: a record is bad by any of them, also by one that later plans do not read.
+    rows = stored(rows, name)
+    broken = rows.filter(F.col(_BAD).isNotNull()).select(F.col(_BAD).alias("record"))
+    n = broken.count()
+    if n:
+        broken.write.mode("errorifexists").json(quarantine)
+    return rows.filter(F.col(_BAD).isNull()).select(*[F.col(f"`{c}`") for c in columns]), n
+
+
 def scan_json_records(spark: SparkSession, path: str, columns: Sequence[str] = ATLAS_COLUMNS,
                       schema: str = ATLAS_SCHEMA, multi_line: bool = False) -> DataFrame:
     """S3: JSON records (one per line, or a single array per line), keeping
@@ -91,20 +166,13 @@ def scan_json_tolerant(spark: SparkSession, path: str, quarantine: str, columns:
     A record is bad if its text does not parse or a value does not fit its
     type. The records are parsed once, into a table in the shared checkpoint
     folder; an empty input gives no rows and 0."""
-    bad = "_corrupt_record"
     declared = T.StructType.fromDDL(schema)
     missing = [c for c in columns if c not in declared.names]
     if missing:
         raise ValueError(f"the schema has no column {', '.join(missing)}")
-    rows = (spark.read.option("multiLine", multi_line).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", bad)
-            .schema(T.StructType([*declared.fields, T.StructField(bad, T.StringType())])).json(path))
-    # Parsed once, with every column: a record is bad by any of them, also by one that later plans do not read.
-    rows = stored(rows, "json-records")
-    broken = rows.filter(F.col(bad).isNotNull()).select(F.col(bad).alias("record"))
-    n = broken.count()
-    if n:
-        broken.write.mode("errorifexists").json(quarantine)
-    return rows.filter(F.col(bad).isNull()).select(*[F.col(f"`{c}`") for c in columns]), n
+    rows = (spark.read.option("multiLine", multi_line).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _BAD)
+            .schema(T.StructType([*declared.fields, T.StructField(_BAD, T.StringType())])).json(path))
+    return _set_bad_aside(rows, quarantine, columns, "json-records")
 
 
 def write_json_report(df: DataFrame, path: str, mode: str = "overwrite") -> str:

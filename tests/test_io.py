@@ -53,6 +53,45 @@ def test_bad_json_records_are_counted_and_kept_aside(spark, tmp_path):
         io.scan_json_tolerant(spark, str(tmp_path / "good.jsonl"), str(tmp_path / "none"), columns=("Gene",))
 
 
+def test_bad_lines_are_counted_and_kept_aside(spark, tmp_path):
+    lines = ["MP:1,a phenotype,1,", "MP:2,b,not a number,*", "MP:3", "MP:4,d,0.5,,more", "MP:5,e,,x"]
+    (tmp_path / "some.csv").write_text("\n".join(["id,label,score,", *lines]))
+    rows, n = io.scan_delimited_tolerant(spark, str(tmp_path / "some.csv"), str(tmp_path / "aside"), ",", "score double, id string")
+    assert n == 3 and sorted(map(tuple, rows.collect()), key=str) == [(1.0, "MP:1"), (None, "MP:5")]
+    assert sorted(r["record"] for r in spark.read.json(str(tmp_path / "aside")).collect()) == sorted(lines[1:4])
+    (tmp_path / "good.csv").write_text("\n".join(["id,label,score,", lines[0], lines[4]]))
+    rows, n = io.scan_delimited_tolerant(spark, str(tmp_path / "good.csv"), str(tmp_path / "none"), ",")
+    assert n == 0 and rows.columns == ["id", "label", "score", "_c3"] and rows.count() == 2 and not (tmp_path / "none").exists()
+    (tmp_path / "empty.csv").write_text("id,label\n")
+    rows, n = io.scan_delimited_tolerant(spark, str(tmp_path / "empty.csv"), str(tmp_path / "none"), ",")
+    assert n == 0 and rows.count() == 0
+    with pytest.raises(ValueError, match="symbol"):
+        io.scan_delimited_tolerant(spark, str(tmp_path / "good.csv"), str(tmp_path / "none"), ",", "symbol string")
+
+
+def test_releases_with_other_types_and_fields_are_read_together(spark, tmp_path):
+    old, new, odd, big = (str(tmp_path / n) for n in ("old", "new", "odd", "big"))
+    ddl = "id string, constraint array<struct<constraintType:string,upperRank:{}>>{}"
+    spark.createDataFrame([("A", [("lof", 7)]), ("B", None), ("C", [])], ddl.format("int", "")).write.parquet(old)
+    spark.createDataFrame([("D", [("lof", 9), (None, None)], (None, "text"), 1)],
+                          ddl.format("bigint", ", tep struct<uri:string,description:string>, other int")).write.parquet(new)
+    want = ddl.format("int", ", tep struct<description:string>")
+    got = {r["id"]: r for r in io.scan_entities(spark, [old, new], want).collect()}
+    assert set(got) == {"A", "B", "C", "D"} and got["A"]["tep"] is None and got["D"]["tep"]["description"] == "text"
+    assert got["A"]["constraint"] == [("lof", 7)] and got["B"]["constraint"] is None and got["C"]["constraint"] == []
+    assert got["D"]["constraint"] == [("lof", 9), (None, None)]
+    both = io.scan_entities(spark, [old, new])  # the full entity schema: all other columns null
+    assert {r["targetid"]: r["cal_score"] for r in P.constraint_minmax(both).collect()} == {"A": -1.0, "B": None, "C": None, "D": 1.0}
+    spark.createDataFrame([("E", "text")], "id string, tep string").write.parquet(odd)
+    with pytest.raises(ValueError, match="tep"):
+        io.scan_entities(spark, [old, odd], want)
+    spark.createDataFrame([("F", [("lof", 2**40)])], ddl.format("bigint", "")).write.parquet(big)
+    with pytest.raises(Exception, match="(?i)overflow"):
+        io.scan_entities(spark, [old, big], want).collect()
+    with pytest.raises(ValueError, match="no path"):
+        io.scan_entities(spark, [], want)
+
+
 def test_tsv_term_list(spark, tmp_path):
     path = tmp_path / "terms.tsv"
     path.write_text("Name\tSubcellular location ID\tIs a\tIs part of\n"

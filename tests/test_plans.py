@@ -79,3 +79,24 @@ def test_shuffles_of_reports_and_term_lookups(spark, materialized, name, most):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert len(re.findall(r"^\(\d+\) Exchange\b", plan, flags=re.M)) <= most
+
+
+@pytest.mark.skipif(not os.path.exists(SF), reason="driver tables missing")
+def test_stored_links_need_no_exchange(spark, materialized, tmp_path):
+    from entiscore.sources import fixtures as fx
+
+    mol, edges, q, t = (f(spark, materialized) for f in (fx.molecule, fx.interaction, fx.query_ids, fx.target))
+    links = N.stored_links(mol, "links_by_target", 8, path=str(tmp_path / "links"))
+    forms = {"n2": lambda m: N.drugs_per_target(m), "n3": lambda m: N.partner_drugs(m, edges, q), "n7": lambda m: N.partner_names(m, edges, q, t)}
+    rows = lambda df: sorted(map(repr, map(tuple, df.collect())))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name, form in forms.items():
+            plain, bucketed = formatted(form(mol)), formatted(form(links))
+            shuffles = [len(re.findall(r"^\(\d+\) Exchange\b", p, flags=re.M)) for p in (plain, bucketed)]
+            assert shuffles[1] == shuffles[0] - 1, (name, shuffles)
+            assert rows(form(links)) == rows(form(mol)), name
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.sql("DROP TABLE links_by_target")
