@@ -81,7 +81,7 @@ def targets(totals: DataFrame, weights=WEIGHTS, curriculum=CURRICULUM, most: int
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, curriculum=CURRICULUM, most: int = 3, id_col: str = "doc_id", source_col: str = "source",
-        size: Column | None = None, seed: int = 17, bucket_rows: int = 20_000, keep: list[str] | None = None) -> DataFrame:
+        size: Column | None = None, seed: int = 17, bucket_rows: int = 20_000, keep: list[str] | None = None, text_col: str = "text") -> DataFrame:
     """One row per input row with ``size``, ``source_size``, ``target``,
     ``taken``, ``passes`` (whole uses), ``cut`` (words of one more, partial use)
     and ``positions`` (one training position per use, at most ``most``).
@@ -92,14 +92,16 @@ def mix(docs: DataFrame, weights=WEIGHTS, curriculum=CURRICULUM, most: int = 3,
     sums to its rounded target. Null sources form a source of their own; rows
     of size 0 take nothing and get no position; repeated rows count each; an
     empty table gives an empty result. Input columns named like an output are
-    replaced; ``keep`` names the columns to carry (all by default).
+    replaced; ``keep`` names the columns to carry (all by default). The stream
+    order, and with it the bucket, follows a hash of id and text, so rows that
+    share an id (or have none) are spread; only rows equal in both share a bucket.
     """
     outs = ("size", "source_size", "target", "taken", "passes", "cut", "positions")
     keep = [c for c in (docs.columns if keep is None else keep) if c.lower() not in outs]
     h = fresh(docs.select(*keep), "src", "key", "bucket", "start", "whole", "rest", "place", "sum", "rows_in")
-    size = word_count(F.col("text")) if size is None else size
+    size = word_count(F.col(text_col)) if size is None else size
     rows = docs.select(*keep, size.alias("size"), F.col(source_col).alias(h["src"]),
-                       F.xxhash64(F.lit(seed), F.col(id_col)).alias(h["key"]))
+                       F.xxhash64(F.lit(seed), F.col(id_col), *([F.col(text_col)] if text_col in docs.columns else [])).alias(h["key"]))
     # Sums over fine hash buckets first; their number follows the rows.
     n_rows = docs.count()
     bits = max(6, (n_rows // bucket_rows).bit_length())
@@ -136,14 +138,19 @@ def mix(docs: DataFrame, weights=WEIGHTS, curriculum=CURRICULUM, most: int = 3,
                        F.filter(F.array(*spots), lambda x: x.isNotNull()).alias("positions"))
 
 
-def training_order(plan: DataFrame, text_col: str = "text", id_col: str = "doc_id", chars_col: str | None = "n_chars") -> DataFrame:
+def training_order(plan: DataFrame, text_col: str = "text", id_col: str = "doc_id", chars_col: str | None = "n_chars",
+                   whole: bool = False) -> DataFrame:
     """The plan's uses as rows in training order: a row per use with
     ``position`` (range-sorted). A partial use holds the first ``cut`` words of
-    the text, joined by single spaces."""
+    the text, joined by single spaces; with ``whole`` it is a use of the whole
+    text as it stands, so that a source's words pass its target by less than
+    one document."""
     mine = ("size", "source_size", "target", "taken", "passes", "cut", "positions", "position")
     columns = [c for c in plan.columns if c.lower() not in mine]
     h = fresh(plan.select(*columns), "use", "short")
     uses = plan.select(*columns, "passes", "cut", F.posexplode("positions").alias(h["use"], "position"))
+    if whole:
+        return uses.orderBy("position", id_col, h["use"]).select(*columns, "position")
     uses = uses.withColumn(h["short"], (F.col(h["use"]) >= F.col("passes")) & (F.col("cut") < word_count(F.col(text_col))))
     words = F.array_join(F.slice(F.regexp_extract_all(F.col(text_col), F.lit(WORD), F.lit(0)), F.lit(1), F.col("cut").cast("int")), " ")
     uses = uses.withColumn(text_col, F.when(F.col(h["short"]), words).otherwise(F.col(text_col)))

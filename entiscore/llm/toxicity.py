@@ -128,7 +128,8 @@ def train(docs: DataFrame, labels: DataFrame, s: Settings = Settings(), id_col:
 
     The sample is bounded by its parameter, so it is broadcast as ids, trained
     on in one task, and one weight vector returns. Null labels and ids are left
-    out; an id labelled more than once counts as toxic if any label says so.
+    out; an id labelled more than once counts as toxic if any label says so, and
+    of an id with several texts one (that of the least hash) is trained on.
     """
     known = (labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).filter("id IS NOT NULL AND y IN (0, 1)")
              .groupBy("id").agg(F.max("y").alias("y")))
@@ -137,6 +138,7 @@ def train(docs: DataFrame, labels: DataFrame, s: Settings = Settings(), id_col:
         part = known.filter(F.col("y") == y).orderBy(F.xxhash64(F.lit(s.seed), "id"), "id").limit(s.sample_per_class)
         picked = part if picked is None else picked.unionByName(part)
     sample = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(picked), "id")
+              .groupBy("id", "y").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
               .repartition(1).sortWithinPartitions("id", "text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -15,6 +15,8 @@ from entiscore.llm import langid, licenses, quality, queries, toxicity, warc
 from entiscore.session import scratch_path
 
 SF = "/root/testdata/sf0.01"
+BIG = "/root/testdata/sf0.1"
+needs_big = pytest.mark.skipif(not os.path.exists(BIG), reason="driver tables missing")
 needs_data = pytest.mark.skipif(not os.path.exists(SF), reason="driver tables missing")
 
 
@@ -33,6 +35,27 @@ def test_toxicity_held_out(spark):
     assert sum(out[r["doc_id"]]["predicted"] for r in plain) <= 0.02 * len(plain)
 
 
+@needs_big
+def test_toxicity_held_out_all_labels(spark):
+    """All held-out labels, those that no abuse in the text bears out included: these cap
+    the recall (about a third of the label-1 rows), so ranking and clean rows are held to."""
+    out = queries.op1_toxicity(spark, BIG).filter("held_out")
+    labels = spark.read.parquet(f"{BIG}/labels.parquet").select("doc_id", "toxic").filter("toxic IS NOT NULL")
+    rows = sorted((r["score"], r["toxic"], r["predicted"]) for r in out.join(labels, "doc_id").collect())
+    bad, good = [i for i, r in enumerate(rows) if r[1] == 1], [i for i, r in enumerate(rows) if r[1] == 0]
+    auc = (sum(bad) - len(bad) * (len(bad) - 1) / 2) / (len(bad) * len(good))
+    recall, wrong = (sum(rows[i][2] for i in x) / len(x) for x in (bad, good))
+    print(f"held out: AUC {auc:.3f}, label 1 caught {recall:.3f} of {len(bad)}, label 0 rejected {wrong:.4f} of {len(good)}")
+    assert auc >= 0.95 and recall >= 0.4 and wrong <= 0.005
+
+
+def test_toxicity_repeated_ids_are_bounded(spark):
+    rows = [(1, f"vile words {i}") for i in range(500)] + [(2, "kind words"), (3, None), (3, "more kind words")]
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, toxic int")
+    a, b = (toxicity.train(docs(spark, rows).repartition(n), labels) for n in (1, 5))
+    assert np.array_equal(a[0], b[0]) and a[1] == b[1]
+
+
 def test_toxicity_edge_rows(spark):
     frame, _ = wide(spark, EDGE_ROWS + [(9, "a vile insult here"), (10, "a kind word here")])
     labels = spark.createDataFrame([(9, 1), (10, 0), (9, 0), (None, 1), (4, None), (77, 1)], "doc_id long, toxic int")

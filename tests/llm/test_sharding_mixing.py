@@ -124,6 +124,34 @@ def test_training_order(spark):
     assert got == {k: v for k, v in used.items() if v}
 
 
+def test_training_order_keeps_whole_texts(spark):
+    rows = [(i, f"a{i}\n b\tc " * (1 + i % 7), f"s{i % 3}", 0) for i in range(60)] + [(None, "x\n\ny " * 90, "s1", 0), (3, "one more\n", None, 0)]
+    frame = docs(spark, rows, "doc_id long, text string, source string, n_chars long")
+    plan = mixing.mix(frame)
+    used = {(r["doc_id"], r["text"]): (r["passes"] + (r["cut"] > 0), r["source"], r["target"]) for r in plan.collect()}
+    stream = mixing.training_order(plan, whole=True).collect()
+    seen, taken = {}, {}
+    for r in stream:
+        key = (r["doc_id"], r["text"])
+        seen[key] = seen.get(key, 0) + 1
+        taken[r["source"]] = taken.get(r["source"], 0) + len(words(r["text"]))
+    assert {tuple(r)[:2] for r in rows} >= set(seen)  # every text as it came, byte for byte
+    assert seen == {k: u for k, (u, _, _) in used.items() if u}
+    longest = max(len(words(t)) for _, t, _, _ in rows)
+    for source, target in {(s, t) for _, s, t in used.values()}:
+        assert round(target) <= taken[source] < round(target) + longest
+
+
+def test_rows_without_id_are_spread(spark):
+    rows = [(None if i % 3 else i, f"text {i}", "s") for i in range(3000)]
+    out = mixing.mix(docs(spark, rows, "doc_id long, text string, source string"), bucket_rows=30)
+    sums = mixing.mix(docs(spark, rows, "doc_id long, text string, source string"), bucket_rows=30).selectExpr("sum(taken)").first()[0]
+    assert out.count() == 3000 and sums == 6000
+    key = F.shiftright(F.xxhash64(F.lit(17), "doc_id", "text"), 64 - 7)
+    sizes = [r["count"] for r in docs(spark, rows, "doc_id long, text string, source string").groupBy(key).count().collect()]
+    assert max(sizes) <= 4 * 3000 / 128
+
+
 def test_mixing_edge_rows(spark):
     frame, _ = wide(spark, EDGE_ROWS)
     out = mixing.mix(frame)
