@@ -28,8 +28,9 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The uses of documents that the mix takes, a row each, in training order."""
-    return shielded(docs, ("doc_id", "text", "source", "n_chars"), lambda d: mixing.training_order(mixing.mix(d)))
+    """The uses of documents that the mix takes, a row each with its whole text; the next stage
+    orders by text, so the curriculum decides how often a document is used, not where."""
+    return shielded(docs, ("doc_id", "text", "source", "n_chars"), lambda d: mixing.training_order(mixing.mix(d), whole=True))
 
 
 def into_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
