@@ -100,3 +100,12 @@ def test_stored_links_need_no_exchange(spark, materialized, tmp_path):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
         spark.sql("DROP TABLE links_by_target")
+
+
+@pytest.mark.skipif(not os.path.exists(SF), reason="driver tables missing")
+@pytest.mark.parametrize("name", ["target", "mouse_phenotypes", "molecule"])
+def test_stand_ins_shuffle_plain_rows_not_arrays(spark, name):
+    from entiscore.sources import fixtures as fx
+
+    inputs = re.findall(r"^\(\d+\) Exchange\nInput \[\d+\]: \[(.*)\]", formatted(getattr(fx, name).uncached(spark, SF)), flags=re.M)
+    assert inputs and not [i for i in inputs if "buf#" in i], name
