@@ -6,6 +6,8 @@ from collections import Counter, defaultdict
 
 from frames import queryset
 
+from pyspark.sql import functions as F
+
 from entiscore.operators import network as N
 from entiscore.operators import properties as P
 from entiscore.operators.joins import attach, attach_counted, attach_salted
@@ -207,3 +209,16 @@ def test_first_ids_equal_an_ordered_limit(spark, monkeypatch):
     unique = spark.range(20_000).selectExpr("concat('U', lpad(id, 6, '0')) AS id")
     below = P._cut_off(P.query_set(unique), 500)
     assert 500 <= unique.where(unique["id"] <= below).count() <= 1000
+
+
+def test_attach_salted_copies_where_it_joined(spark):
+    """A row that stands there more often than a chunk holds is copied in full,
+    and the joined rows are not shuffled again."""
+    from entiscore.operators.joins import CHUNK
+
+    n = 2 * CHUNK + 10
+    m = spark.range(n).select(F.lit("hot").alias("k"), F.lit(1).alias("v")).unionByName(spark.createDataFrame([("a", 1), ("a", 2), ("a", 2), (None, 3)], "k string, v int"))
+    q = spark.createDataFrame([("hot",), ("a",), ("a",), ("none",), (None,)], "id string")
+    out = attach_salted(q, m, on="k", qkey="id", parts=10)
+    assert {tuple(r) for r in out.groupBy("id", "v").count().collect()} == {("hot", 1, n), ("a", 1, 2), ("a", 2, 4), ("none", None, 1), (None, None, 1)}
+    assert "REPARTITION_BY_COL" not in out._jdf.queryExecution().executedPlan().toString()
