@@ -82,14 +82,9 @@ def partner_edges(interaction: DataFrame, queryset: DataFrame, source: str = PAR
 
 
 def reached_drugs(molecule: DataFrame, interaction: DataFrame, queryset: DataFrame, source: str = PARTNER_SOURCE,
-                  min_score: float = PARTNER_MIN_SCORE, repeats: bool = True) -> DataFrame:
+                  min_score: float = PARTNER_MIN_SCORE) -> DataFrame:
     """``(entity, drug)`` for every drug link of every partner of a query-set
-    id (inner joins; repeats kept, or each pair once)."""
-    if not repeats:  # then repeated edges need no step of their own
-        edges = interaction.where((F.col("sourceDatabase") == F.lit(source)) & (F.col("scoring") > F.lit(min_score))).select("targetA", "targetB")
-        met = edges.join(drug_target_pairs(molecule), F.col("targetB") == F.col("target"), "inner")
-        pairs = met.groupBy(F.col("targetA").alias("entity"), "drug").agg(F.lit(1).alias("_one")).drop("_one")
-        return pairs.join(queryset, F.col("entity") == F.col("targetid"), "left_semi")
+    id (inner joins; repeats kept)."""
     ids = queryset.select("targetid").distinct()
     edges = kept_edges(interaction, source, min_score).select("targetA", "targetB")
     mine = edges.join(ids, F.col("targetA") == F.col("targetid"), "inner").select(F.col("targetid").alias("entity"), "targetB")
@@ -184,17 +179,19 @@ def matched_triples(pairs: DataFrame, molecule: DataFrame, interaction: DataFram
     """Distinct (entity, drug, area) present on both sides: N8 rows matched
     to N5 rows on area, entity and drug.
 
-    Both sides hold the same (entity, drug) pairs, so those are made once, as
-    distinct ones, then joined with the entity's areas (N6) and kept where one
-    of the drug's diseases has that area."""
-    reached = reached_drugs(molecule, interaction, queryset, source, min_score, repeats=False)
+    Edges get the areas of their entity (N6) and drug links those of the drug's
+    diseases, a list each, before they meet at the partner: only areas in both
+    become rows, which are made distinct, and no join takes all (entity, drug) pairs."""
     # An entity's areas: at most the number of therapy areas there are.
     wanted = (pairs.where(F.col("ind_disease_therapy").isNotNull()).groupBy("id").agg(F.collect_set("ind_disease_therapy").alias("_areas")))
+    edges = interaction.where((F.col("sourceDatabase") == F.lit(source)) & (F.col("scoring") > F.lit(min_score))).select("targetA", "targetB")
+    edges = edges.join(queryset, F.col("targetA") == F.col("targetid"), "left_semi").join(wanted, F.col("targetA") == F.col("id"))
     disease = molecule.select(F.col("id").alias("_d"), F.explode("linkedDiseases.rows").alias("_dis"))
     areas = disease_areas(diseases).where(F.col("IndTherArea").isNotNull()).withColumnRenamed("id", "_area_of")
-    drug_areas = disease.join(areas, F.col("_dis") == F.col("_area_of")).select("_d", "IndTherArea")
-    both = reached.join(wanted, F.col("entity") == F.col("id")).select("id", "drug", F.explode("_areas").alias("ind_disease_therapy")).join(
-        drug_areas, (F.col("drug") == F.col("_d")) & (F.col("ind_disease_therapy") == F.col("IndTherArea")), "left_semi")
+    drug_areas = disease.join(areas, F.col("_dis") == F.col("_area_of")).groupBy("_d").agg(F.collect_set("IndTherArea").alias("_has"))
+    links = drug_target_pairs(molecule).join(drug_areas, F.col("drug") == F.col("_d"))
+    met = edges.join(links, F.col("targetB") == F.col("target")).select("id", "drug", F.explode(F.array_intersect("_areas", "_has")).alias("ind_disease_therapy"))
+    both = met.distinct()
     return both.select("id", F.col("drug").alias("ChEMBL"), "ind_disease_therapy", F.col("ind_disease_therapy").alias("IndTherAreaDrug"))
 
 

@@ -109,3 +109,14 @@ def test_stand_ins_shuffle_plain_rows_not_arrays(spark, name):
 
     inputs = re.findall(r"^\(\d+\) Exchange\nInput \[\d+\]: \[(.*)\]", formatted(getattr(fx, name).uncached(spark, SF)), flags=re.M)
     assert inputs and not [i for i in inputs if "buf#" in i], name
+
+
+@pytest.mark.skipif(not os.path.exists(SF), reason="driver tables missing")
+def test_matched_triples_join_no_row_per_area(spark, materialized):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = formatted(CATALOG["matched_triples"](spark, materialized))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert not re.search(r"hashpartitioning\(entity#\d+, drug#\d+, \d+\)|hashpartitioning\(drug#\d+, ind_disease_therapy#\d+, \d+\)", plan)
