@@ -170,7 +170,7 @@ def side_measures(queryset, gene_essentiality, mouse, molecule, atlas, mouse_phe
     a row per id: one union of partial rows that bear an id and the columns of
     one measure, aggregated once. Counts, sums and maxima are combined map-side,
     so a hot id is few rows in the shuffle; the lists are as long as there are
-    phenotype classes.
+    distinct scores.
 
     ``asked`` counts the query rows, ``classes``/``labels`` the phenotype classes
     and their labels (null without any), ``phase`` is the highest phase,

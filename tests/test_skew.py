@@ -222,3 +222,13 @@ def test_attach_salted_copies_where_it_joined(spark):
     out = attach_salted(q, m, on="k", qkey="id", parts=10)
     assert {tuple(r) for r in out.groupBy("id", "v").count().collect()} == {("hot", 1, n), ("a", 1, 2), ("a", 2, 4), ("none", None, 1), (None, None, 1)}
     assert "REPARTITION_BY_COL" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_scored_classes_are_counted_by_score(spark):
+    """An entity of many classes has a row per score, in parts that are not merged by their bytes."""
+    mouse = spark.createDataFrame([("HOT", [(f"MP:{i}", None) for i in range(500)]), ("NONE", None)],
+                                  "targetFromSourceId string, modelPhenotypeClasses array<struct<id:string,label:string>>")
+    scores = spark.createDataFrame([(f"MP:{i}", float(i % 2)) for i in range(400)], "id string, score double")
+    out = P.scored_classes(mouse, scores)
+    assert {tuple(r) for r in out.collect()} == {("HOT", 0.0, 200), ("HOT", 1.0, 200), ("HOT", None, 100), ("NONE", None, 1)}
+    assert "REPARTITION_BY_NUM" in out._jdf.queryExecution().executedPlan().toString()
