@@ -2,6 +2,7 @@
 records (lines and pretty-printed arrays), JSON report round trip."""
 
 import json
+import os
 
 import pytest
 
@@ -162,3 +163,11 @@ def test_report_from_files_equals_in_memory_report(spark, tmp_path):
                              fx.phenotype_scores(spark, d), H.terms_for_name(sets, name),
                              H.terms_for_name(sets, "Supplier#000000002"))
     assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, map(tuple, want.collect())))
+
+
+def test_json_report_is_compressed_unless_asked(spark, tmp_path):
+    df = spark.range(1000).selectExpr("concat('P', id) AS targetid", "id AS aLongColumnName")
+    files = lambda p: [f for f in os.listdir(p) if f.startswith("part-")]
+    packed, plain = io.write_json_report(df, str(tmp_path / "a")), io.write_json_report(df, str(tmp_path / "b"), compression="none")
+    assert all(f.endswith(".json.gz") for f in files(packed)) and all(f.endswith(".json") for f in files(plain))
+    assert sorted(map(tuple, spark.read.schema(df.schema).json(packed).collect())) == sorted(map(tuple, df.collect()))
