@@ -188,6 +188,29 @@ def test_licence_model_learns_from_every_line(spark):
     assert model.judged(parts[1]).filter(F.col("family") != licenses.UNKNOWN).count() <= 0.01 * len(found[1])
 
 
+def test_licence_texts_are_parted_into_words_once(spark):
+    """A paragraph's n-grams and bound come from its lines and the runs across their ends."""
+    wrapped = "Permission is hereby granted,\n---\nfree\nof charge, to\nany person obtaining a copy of this software and associated\n42"
+    plain = [f"The {a} went\nto the\n{b}\n\n{b} {a} of the\n \r\n1\n2" for a in ("cat", "dog", "fox", "ox") for b in ("hill", "lake", "sea")]
+    rows = [wrapped, "Licensed under the ISC license.", "x\nGPL-3.0-or-later\ny", "the the the the of the\nthe", "", None, "\n\n", *plain, *plain]
+    frame = docs(spark, list(enumerate(rows)))
+    for kept_out in (False, True):
+        parts = licenses.other_parts(frame, "text", kept_out, 3)
+        got = Counter({r["gram"]: r["n"] for r in licenses.other_grams(parts).groupBy("gram").agg(F.sum("n").alias("n")).collect()})
+        assert got and got == Counter(g for r in licenses.other_units(frame, "text", kept_out, 3).collect() for g in r["grams"])
+    model = licenses.train(spark, frame)
+    text = lambda x: licenses.features(x.select("text", licenses.words_of(F.col("text")).alias("words")))
+    parts = model.bounded_parts(licenses.hashed(licenses.paragraphs(frame, "doc_id", "text"))).collect()
+    units = [(x["line"], b) for r in parts for x, b in zip(r["lines"], r["bounds"], strict=True)] + [(" ".join(x["line"] for x in r["lines"]), r["bound"]) for r in parts]
+    bounds = {r["text"]: r["bound"] for r in model.bounded(text(docs(spark, [(0, t) for t, _ in units]))).collect()}
+    assert len(units) > 100 and all(math.isclose(b, bounds[t], abs_tol=1e-6) for t, b in units)
+    path = scratch_path(spark, "licence-docs")
+    frame.write.parquet(path)
+    out = licenses.scan(spark.read.parquet(path), model)
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1  # lines and paragraphs in one pass
+    assert {(r["doc_id"], r["paragraph"], r["family"]) for r in out.filter("confirmed").collect()} >= {(0, 0, "MIT"), (0, 4, "MIT"), (1, 0, "ISC"), (2, 1, "GPL")}
+
+
 PAGES = [(3, "http://a", "x" * 200), (1, "http://b", "x" * 200), (2, "http://c", "short"), (4, "http://d é", "short"), (5, None, None),
          (6, "http://e", "WARC/1.1\r\nWARC-Type: response\r\n\r\n" * 9), (7, "http://f\r\n", "é" * 60), (8, "http://g", "é" * 60),
          (None, "http://h", "x" * 200), (9, "http://i", "z" * 3_000_000)]
